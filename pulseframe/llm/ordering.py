@@ -1,0 +1,36 @@
+"""Global running totals over a total order, without a single-task sort."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from pulseframe.llm.scratch import stage
+
+
+def prefix_sums(rows: DataFrame, order: list[Column], value: str, name: str) -> DataFrame:
+    """Add ``position`` (0-based rank) and ``before`` (sum of ``value`` over all earlier rows).
+
+    The rows are laid out by range of ``order`` and staged with their range number, so
+    both passes see the same layout. Each range is totalled on its own; the totals (one
+    row a range) become offsets, and the rest is a window within each range. ``order``
+    should end in a unique column, so that no range can outgrow a task; rows equal in all
+    of it are ordered arbitrarily, which their own columns can't show. ``value`` must not
+    be null.
+    """
+    laid = stage(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), name)
+    ranges = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        laid.groupBy("_range")
+        .agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_v"))
+        .select("_range", F.coalesce(F.sum("_n").over(ranges), F.lit(0)).alias("_n0"), F.coalesce(F.sum("_v").over(ranges), F.lit(0)).alias("_v0"))
+    )
+    within = Window.partitionBy("_range").orderBy(*order)
+    earlier = within.rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        # one row for each range partition, so the broadcast is bounded by their number
+        laid.join(F.broadcast(offsets), "_range")
+        .withColumn("position", F.col("_n0") + F.row_number().over(within) - 1)
+        .withColumn("before", F.col("_v0") + F.coalesce(F.sum(value).over(earlier), F.lit(0)))
+        .drop("_range", "_n0", "_v0")
+    )

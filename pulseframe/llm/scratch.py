@@ -1,0 +1,37 @@
+"""Intermediate tables in the folder that driver and executors share.
+
+Lineage is cut by writing Parquet, which outlives lost executors. The folder is the
+session's ``spark.checkpoint.dir``; only where that is unset (a local test run) a
+temporary folder of this machine is used.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+_local: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder, or a temporary one if none is configured."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if "folder" not in _local:
+        _local["folder"] = "file://" + tempfile.mkdtemp(prefix="pulseframe-")
+    return _local["folder"]
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
