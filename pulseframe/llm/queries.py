@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import chat, mixing, scratch, sharding, token_counts, url_lists
+from pulseframe.llm import chat, langid, minhash, mixing, scratch, sharding, token_counts, url_lists
+from pulseframe.llm.text import id_remainder
 
 SHARDS = 40
 TOKEN_LIMIT = 2048
@@ -35,6 +36,16 @@ def op2_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", id_remainder(F.col("doc_id"), 3) == 1)
+    model = langid.fit(docs.where("not held_out"))
+    return langid.predict(docs.select("doc_id", "text", "held_out"), model).drop("text")
+
+
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(
         table(spark, sf_dir, "documents"),
@@ -91,6 +102,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
         "op2_shard": op2_shard,
+        "op3_language": op3_language,
+        "op4_near_duplicates": op4_near_duplicates,
         "op8_token_counts": op8_token_counts,
         "op9_chat": op9_chat,
         "op10_url_lists": op10_url_lists,
