@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import io
 import uuid
-from collections.abc import Callable
+import wave
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import chat, langid, minhash, mixing, scratch, sharding, token_counts, url_lists
+from pulseframe.llm import chat, chroma, decontam, langid, minhash, mixing, scratch, sharding, token_counts, url_lists
 from pulseframe.llm.text import id_remainder
 
 SHARDS = 40
@@ -46,6 +50,46 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+def op6_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def vector_recordings(embeddings: DataFrame) -> DataFrame:
+    """A recording (rec_id, audio as WAV) of each vector, since no table has audio.
+
+    Two coordinates at a time sound as a chord of 0.2 s, low and high; a coordinate's note
+    is its quarter among coordinates. Every recording begins with up to four hops of silence.
+    """
+
+    def play(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        beat = chroma.RATE // 5
+        t = np.arange(beat) / chroma.RATE
+        notes = np.sin(2 * np.pi * t * 220 * 2 ** (np.arange(24)[:, None] / 12)) * np.hanning(beat)
+        for b in batches:
+            audio = []
+            for i, v in zip(b["vec_id"], b["embedding"], strict=True):
+                v = np.asarray(v if v is not None else [], dtype=np.float64)
+                v = np.nan_to_num(v[: len(v) // 2 * 2])
+                step = np.searchsorted([-0.084, 0.0, 0.084], v) * 3  # quartiles of a coordinate of a random unit vector of 64
+                sound = (notes[step[0::2]] + notes[12 + step[1::2]]).ravel()
+                pcm = np.concatenate([np.zeros(int(i) % 5 * chroma.HOP), 12000 * sound]).astype("<i2")
+                with io.BytesIO() as f:
+                    with wave.open(f, "wb") as w:
+                        w.setnchannels(1)
+                        w.setsampwidth(2)
+                        w.setframerate(chroma.RATE)
+                        w.writeframes(pcm.tobytes())
+                    audio.append(f.getvalue())
+            yield pd.DataFrame({"rec_id": b["vec_id"], "audio": audio})
+
+    return embeddings.where("vec_id is not null").select(F.col("vec_id").cast("long"), "embedding").mapInPandas(play, "rec_id long, audio binary")
+
+
+def op7_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Searches: every recording whose id is divisible by 100, against all."""
+    return chroma.match_recordings(vector_recordings(table(spark, sf_dir, "embeddings")), F.col("rec_id") % 100 == 0)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(
         table(spark, sf_dir, "documents"),
@@ -104,9 +148,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_shard": op2_shard,
         "op3_language": op3_language,
         "op4_near_duplicates": op4_near_duplicates,
+        "op6_benchmark_passages": op6_benchmark_passages,
+        "op7_chroma": op7_chroma,
         "op8_token_counts": op8_token_counts,
         "op9_chat": op9_chat,
         "op10_url_lists": op10_url_lists,
+        "pipeline": pipeline,
     }
 
 
