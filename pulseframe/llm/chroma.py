@@ -17,6 +17,8 @@ from pulseframe.llm.scratch import stage
 RATE, FRAME, HOP = 4000, 1024, 256
 #: Frames that a fingerprint looks at.
 SPAN = 12
+#: Bits at the end of an integer that voting leaves out, so that a few wrong bits still vote.
+LOOSE = np.uint32(12)
 #: Queries in one pass over all recordings; each is held against all of them.
 BLOCK = 2000
 #: Frames that are transformed at a time.
@@ -110,10 +112,10 @@ def _bit_error(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[float, int]:
     return (int(np.bitwise_count(a[lo:hi] ^ b[lo + offset : hi + offset]).sum()) / (32 * n), n) if n > 0 else (1.0, 0)
 
 
-def align(recordings: DataFrame, queries: DataFrame, most_errors: float = 0.15, least_frames: int = 16) -> DataFrame:
+def align(recordings: DataFrame, queries: DataFrame, most_errors: float = 0.22, least_frames: int = 16) -> DataFrame:
     """Recordings of which a stretch is also in a query, both as ``fingerprints`` gives them.
 
-    Equal integers of query and recording vote for an offset; at the offset with most votes
+    Integers of query and recording that agree in all but their last bits vote for an offset; at the offset with most votes
     (of equal ones the smallest) the overlap's bits are compared. Returns query_id, rec_id,
     offset (frames of the recording before the query begins), votes, n_frames (overlap) and
     bit_error, where the overlap has at least ``least_frames`` and the error is at most
@@ -131,7 +133,7 @@ def align(recordings: DataFrame, queries: DataFrame, most_errors: float = 0.15,
 
         def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             ids, prints = [i for i, _ in shared.value], [p for _, p in shared.value]
-            values = np.concatenate([*prints, np.zeros(0, np.uint32)])
+            values = np.concatenate([*prints, np.zeros(0, np.uint32)]) >> LOOSE
             query = np.repeat(np.arange(len(prints)), [len(p) for p in prints])
             place = np.concatenate([*map(np.arange, map(len, prints)), np.zeros(0, int)]).astype(np.int64)
             order = np.argsort(values, kind="stable")
@@ -140,7 +142,7 @@ def align(recordings: DataFrame, queries: DataFrame, most_errors: float = 0.15,
                 rows = []
                 for rec, raw in zip(b["rec_id"], b["print"], strict=True):
                     own = np.frombuffer(raw, np.uint32)
-                    first, last = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
+                    first, last = np.searchsorted(values, own >> LOOSE, "left"), np.searchsorted(values, own >> LOOSE, "right")
                     m = last - first
                     if not m.sum():
                         continue
