@@ -112,7 +112,7 @@ def _bit_error(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[float, int]:
     return (int(np.bitwise_count(a[lo:hi] ^ b[lo + offset : hi + offset]).sum()) / (32 * n), n) if n > 0 else (1.0, 0)
 
 
-def align(recordings: DataFrame, queries: DataFrame, most_errors: float = 0.22, least_frames: int = 16) -> DataFrame:
+def align(recordings: DataFrame, queries: DataFrame, most_errors: float = 0.22, least_frames: int = 48) -> DataFrame:
     """Recordings of which a stretch is also in a query, both as ``fingerprints`` gives them.
 
     Integers of query and recording that agree in all but their last bits vote for an offset; at the offset with most votes
