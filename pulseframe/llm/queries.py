@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import chat, chroma, decontam, langid, minhash, mixing, scratch, sharding, token_counts, url_lists
+from pulseframe.llm import chat, chroma, decontam, langid, minhash, mixing, pitman_yor, scratch, sharding, token_counts, url_lists
 from pulseframe.llm.text import id_remainder
 
 SHARDS = 40
@@ -50,6 +50,11 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = pitman_yor.score_documents(table(spark, sf_dir, "documents"), id_remainder(F.col("doc_id"), 7) == 2)
+    return scored.withColumn("held_out", id_remainder(F.col("doc_id"), 7) == 2)
+
+
 def op6_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -148,6 +153,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_shard": op2_shard,
         "op3_language": op3_language,
         "op4_near_duplicates": op4_near_duplicates,
+        "op5_language_model": op5_language_model,
         "op6_benchmark_passages": op6_benchmark_passages,
         "op7_chroma": op7_chroma,
         "op8_token_counts": op8_token_counts,
