@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.llm.scratch import shuffle_partitions, stage
+from pulseframe.sources.staging import shuffle_partitions, stage
 from pulseframe.llm.shingles import mix64, word_hashes
 
 #: Bytes of text in a block, and about how many tokens a bucket gets.

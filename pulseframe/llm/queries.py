@@ -12,8 +12,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import chat, chroma, decontam, langid, minhash, mixing, pitman_yor, scratch, sharding, token_counts, url_lists
+from pulseframe.llm import chat, chroma, decontam, langid, minhash, mixing, pitman_yor, sharding, token_counts, url_lists
 from pulseframe.llm.text import id_remainder
+from pulseframe.sources import staging
 
 SHARDS = 40
 TOKEN_LIMIT = 2048
@@ -99,7 +100,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(
         table(spark, sf_dir, "documents"),
         tokenizer_path("word_bpe_49k.json"),
-        f"{scratch.shared_folder(spark)}/token-cache-{uuid.uuid4().hex}",
+        f"{staging.shared_folder(spark)}/token-cache-{uuid.uuid4().hex}",
         token_counts.collapse_white_space,
         token_counts.count_pieces,
     )
