@@ -7,6 +7,7 @@ temporary folder of this machine is used.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -25,13 +26,27 @@ def shared_folder(spark: SparkSession) -> str:
     return _local["folder"]
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a staged table that nothing will read again."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark clean up the shuffles of finished steps: it does so once the driver's JVM has collected its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
