@@ -22,7 +22,7 @@ LOOSE = np.uint32(12)
 #: Queries in one pass over all recordings; each is held against all of them.
 BLOCK = 2000
 #: Frames that are transformed at a time.
-CHUNK = 4096
+CHUNK = 512
 
 
 def _pitch_classes() -> np.ndarray:

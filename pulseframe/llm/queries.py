@@ -71,7 +71,8 @@ def vector_recordings(embeddings: DataFrame) -> DataFrame:
         beat = chroma.RATE // 5
         t = np.arange(beat) / chroma.RATE
         notes = np.sin(2 * np.pi * t * 220 * 2 ** (np.arange(24)[:, None] / 12)) * np.hanning(beat)
-        for b in batches:
+        # a few recordings at a time: their samples are many times their vectors
+        for b in (b.iloc[k : k + 256] for b in batches for k in range(0, len(b), 256)):
             audio = []
             for i, v in zip(b["vec_id"], b["embedding"], strict=True):
                 v = np.asarray(v if v is not None else [], dtype=np.float64)
