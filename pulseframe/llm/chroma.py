@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.sources.staging import stage
@@ -112,7 +112,7 @@ def _bit_error(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[float, int]:
     return (int(np.bitwise_count(a[lo:hi] ^ b[lo + offset : hi + offset]).sum()) / (32 * n), n) if n > 0 else (1.0, 0)
 
 
-def align(recordings: DataFrame, queries: DataFrame, most_errors: float = 0.22, least_frames: int = 48) -> DataFrame:
+def align(recordings: DataFrame, queries: DataFrame, most_errors: float = 0.22, least_frames: int = 48, best: bool = False) -> DataFrame:
     """Recordings of which a stretch is also in a query, both as ``fingerprints`` gives them.
 
     Integers of query and recording that agree in all but their last bits vote for an offset; at the offset with most votes
@@ -122,8 +122,12 @@ def align(recordings: DataFrame, queries: DataFrame, most_errors: float = 0.22,
     ``most_errors``; a query doesn't match its own id. The queries go in blocks of BLOCK,
     each held against all recordings in one pass, so no integer's rows meet in one group,
     however common it is.
+
+    With ``best``, a recording gives one row for each block, so the result doesn't grow
+    with the square of a group of copies: the alignment of least bit error, of equal ones
+    that of the smallest query, and in n_links how many there are.
     """
-    schema = "query_id long, rec_id long, offset long, votes long, n_frames long, bit_error double"
+    schema = "query_id long, rec_id long, offset long, votes long, n_frames long, bit_error double, n_links long, block int"
     spark = recordings.sparkSession
     n = -(-queries.count() // BLOCK)
     out = spark.createDataFrame([], schema)
@@ -131,7 +135,7 @@ def align(recordings: DataFrame, queries: DataFrame, most_errors: float = 0.22,
         block = queries.where(F.pmod(F.xxhash64("rec_id"), F.lit(n)) == k).toPandas().sort_values("rec_id")
         shared = spark.sparkContext.broadcast([(int(i), np.frombuffer(p, np.uint32)) for i, p in zip(block["rec_id"], block["print"], strict=True)])
 
-        def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+        def search(batches: Iterator[pd.DataFrame], shared=shared, k=k) -> Iterator[pd.DataFrame]:
             ids, prints = [i for i, _ in shared.value], [p for _, p in shared.value]
             values = np.concatenate([*prints, np.zeros(0, np.uint32)]) >> LOOSE
             query = np.repeat(np.arange(len(prints)), [len(p) for p in prints])
@@ -151,20 +155,37 @@ def align(recordings: DataFrame, queries: DataFrame, most_errors: float = 0.22,
                     base = int(place.max()) + 1
                     keys, votes = np.unique(q * (base + len(own)) + offset + base, return_counts=True)
                     of, offset = keys // (base + len(own)), keys % (base + len(own)) - base
-                    best = np.lexsort((offset, -votes, of))
-                    best = best[np.concatenate([[True], of[best][1:] != of[best][:-1]])]
-                    for j in best:
+                    top = np.lexsort((offset, -votes, of))
+                    top = top[np.concatenate([[True], of[top][1:] != of[top][:-1]])]
+                    found = []
+                    for j in top:
                         if ids[of[j]] != rec:
                             error, frames = _bit_error(prints[of[j]], own, int(offset[j]))
                             if frames >= least_frames and error <= most_errors:
-                                rows.append((ids[of[j]], rec, int(offset[j]), int(votes[j]), frames, error))
-                yield pd.DataFrame(rows, columns=["query_id", "rec_id", "offset", "votes", "n_frames", "bit_error"])
+                                found.append((ids[of[j]], rec, int(offset[j]), int(votes[j]), frames, error))
+                    if best and found:
+                        rows.append((*min(found, key=lambda x: (x[5], x[0])), len(found), k))
+                    elif found:
+                        rows += [(*x, 1, k) for x in found]
+                yield pd.DataFrame(rows, columns=["query_id", "rec_id", "offset", "votes", "n_frames", "bit_error", "n_links", "block"])
 
         out = out.unionByName(recordings.select("rec_id", "print").mapInPandas(search, schema))
     return out
 
 
-def match_recordings(recordings: DataFrame, is_query) -> DataFrame:
-    """Fingerprint all ``recordings`` once and align those that meet the condition ``is_query`` with all."""
+def match_recordings(recordings: DataFrame, is_query: Column) -> DataFrame:
+    """Each recording's place among those that meet the condition ``is_query``.
+
+    All ``recordings`` (rec_id, audio) are fingerprinted once. Returns one row for each
+    rec_id: rec_id, n_frames (of its fingerprint), n_links (queries it aligns with, not
+    itself), and query_id, offset, votes, overlap and bit_error of the best alignment, null
+    where there is none. Rows of one rec_id count as one recording: the most links and the
+    best alignment of any; rows without rec_id are left out.
+    """
     prints = stage(fingerprints(recordings), "fingerprints")
-    return align(prints, prints.where(is_query))
+    found = align(prints, prints.where(is_query), best=True)
+    choice = F.min(F.struct("bit_error", "query_id", "offset", "votes", F.col("n_frames").alias("overlap"))).alias("m")
+    of_block = found.groupBy("rec_id", "block").agg(F.max("n_links").alias("n_links"), choice)
+    matched = of_block.groupBy("rec_id").agg(F.sum("n_links").alias("n_links"), F.min("m").alias("m"))
+    every = prints.groupBy("rec_id").agg(F.max("n_frames").alias("n_frames"))
+    return every.join(matched, "rec_id", "left").select("rec_id", "n_frames", F.coalesce("n_links", F.lit(0)).alias("n_links"), "m.query_id", "m.offset", "m.votes", "m.overlap", "m.bit_error")

@@ -101,9 +101,13 @@ def test_recordings_align(spark):
     tunes = [[rng.randrange(12) for _ in range(40)] for _ in range(6)]
     recs = [(k, tone(t)) for k, t in enumerate(tunes)] + [(10 + k, tone(t, silence=k)) for k, t in enumerate(tunes)] + [(20, None), (21, b"junk"), (22, tone([])), (23, tone([1])), (None, tone(tunes[0])), (3, tone(tunes[3]))]
     df = spark.createDataFrame([(i, a, "x") for i, a in recs], "rec_id long, audio binary, votes string")
-    out = chroma.match_recordings(df, F.col("rec_id") < 6).collect()
-    got = {(r["query_id"], r["rec_id"]): r["offset"] for r in out if r["rec_id"] >= 10}
-    assert got == {(k, 10 + k): k for k in range(6)}
+    out = {r["rec_id"]: r for r in chroma.match_recordings(df, F.col("rec_id") < 6).collect()}
+    assert set(out) == {*range(6), *range(10, 16), *range(20, 24)}
+    assert {(out[10 + k]["query_id"], out[10 + k]["offset"]) for k in range(6)} == {(k, k) for k in range(6)}
+    assert all(out[k]["n_links"] == 0 and out[k]["query_id"] is None for k in range(20, 24))
+    prints = chroma.fingerprints(df)
+    pairs = chroma.align(prints, prints.where("rec_id < 6 or rec_id = 13"))
+    assert {(r["query_id"], r["rec_id"], r["offset"]) for r in pairs.collect()} >= {(k, 10 + k, k) for k in range(6)} | {(13, 3, -3)}
     assert chroma.match_recordings(df.where("false"), F.lit(True)).count() == 0
     assert chroma.fingerprints(df).where("n_frames = 0").count() == 4
 
@@ -114,7 +118,7 @@ def test_vectors_alike_sound_alike(spark):
     vectors = [(100 * k, [float(x) for x in v]) for k, v in enumerate(base)] + [(100 * k + 1, [float(x) for x in v + rng.normal(size=64) / 100]) for k, v in enumerate(base)]
     recs = Q.vector_recordings(spark.createDataFrame(vectors, "vec_id long, embedding array<float>"))
     out = chroma.match_recordings(recs, F.col("rec_id") % 100 == 0)
-    got = {(r["query_id"], r["rec_id"]) for r in out.collect()}
+    got = {(r["query_id"], r["rec_id"]) for r in out.collect() if r["n_links"]}
     want = {(100 * k, 100 * k + 1) for k in range(30)}
     assert len(got & want) >= 27 and len(got - want) <= 2
 
