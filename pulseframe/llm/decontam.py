@@ -191,8 +191,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     characters with a twelfth of edits is found, and items of fewer characters as a whole.
     Texts are searched whole. Returns doc_id, item_id, n_windows (found), passage_start,
     passage_end (hull of the stretches, in the normalised text), edits (of the best window),
-    a row for each document and item found in it; repeated documents each have theirs. Null
-    or empty texts and items hold nothing, items under SHORTEST characters are no evidence.
+    a row for each doc_id and item found; rows of one doc_id count as one document, whose
+    windows add up. Rows without doc_id, null or empty texts and items hold nothing, items
+    under SHORTEST characters are no evidence. Other columns are ignored.
     """
     schema = "doc_id long, item_id long, n_windows long, passage_start long, passage_end long, edits long"
     out = docs.sparkSession.createDataFrame([], schema)
