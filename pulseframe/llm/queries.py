@@ -207,6 +207,21 @@ dealt AS (SELECT *, least(39, ((2 * ahead + size) * 40) // (2 * total))::int AS
 SELECT doc_id, size::bigint AS size, crc::bigint AS text_crc32, 'bytes' AS law, shard,
        row_number() OVER (PARTITION BY shard ORDER BY crc NULLS FIRST, doc_id NULLS FIRST, size) - 1 AS slot, NULL::int AS grown_shard
 FROM dealt""",
+    "op4_near_duplicates": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM words),
+numbered AS (SELECT doc_id, dense_rank() OVER (ORDER BY s) AS s FROM shingles),
+sizes AS (SELECT doc_id, count(*) AS n FROM numbered GROUP BY doc_id),
+sized AS (SELECT doc_id, s, n FROM numbered JOIN sizes USING (doc_id)),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM sized a JOIN sized b ON a.s = b.s AND a.doc_id < b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, t.b FROM reach r JOIN edges t ON r.b = t.a)
+SELECT a AS doc_id, coalesce(any_value(n), 0)::bigint AS n_shingles, min(b) AS component_id, a = min(b) AS kept
+FROM reach LEFT JOIN sizes ON a = sizes.doc_id GROUP BY a""",
     "op9_chat": """
 WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
 convs AS (
