@@ -18,19 +18,24 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.sources.staging import shuffle_partitions, stage
 from pulseframe.llm.shingles import mix64, word_hashes
-
-#: Bytes of text in a block, and about how many tokens a bucket gets.
-BLOCK, BUCKET = 8_000_000, 1_000_000
-#: Counts up to this are drawn exactly; more customers sit down in groups of an eighth of those seated.
-EXACT = 24
+from pulseframe.sources.staging import discard, release, stage
+
+#: Bytes of text in a block, and about how many fall to a bucket.
+BLOCK, BUCKET = 6_000_000, 6_000_000
+#: Bytes of text that are hashed at a time.
+STEP = 250_000
+#: Counts up to this are drawn exactly; for larger ones Stirling numbers are scaled from it, and
+#: tables drawn from a grid of so many points.
+EXACT, GRID = 100, 256
 END, BEGIN = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
 #: What the phases hand on: packed arrays, for a bucket or a block.
 SCHEMA = "kind string, bucket long, block long, a binary, b binary, c binary, d binary, total double, extra double"
@@ -38,10 +43,32 @@ COLUMNS = ["kind", "bucket", "block", "a", "b", "c", "d", "total", "extra"]
 
 
 def _row(kind: str, bucket: int, block: int, *arrays: np.ndarray, total: float = 0.0, extra: float = 0.0) -> tuple:
-    packed = [x.tobytes() for x in arrays]
+    packed = [_planes(x) for x in arrays]
     return (kind, int(bucket), int(block), *packed, *[b""] * (4 - len(packed)), float(total), float(extra))
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Values as one plane for each of their bytes, compressed; single bytes are hashes and stay."""
+    if x.dtype.itemsize == 1:
+        return x.tobytes()
+    planes = np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.dtype.itemsize).T)
+    return zstandard.compress(planes.tobytes(), 1)
+
+
+def read(raw: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(raw), np.uint8) if raw else np.zeros(0, np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def read_all(column: pd.Series, kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *[read(x, kind) for x in column]])
+
+
+def _rising(x: np.ndarray) -> np.ndarray:
+    """Sorted values as steps; ``np.cumsum`` gives them back."""
+    return np.diff(x, prepend=x.dtype.type(0))
+
+
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=COLUMNS)
 
@@ -51,15 +78,15 @@ def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def pack48(h: np.ndarray) -> np.ndarray:
-    """The upper 48 bits of hashes as bytes; within a context they tell words apart."""
-    return np.ascontiguousarray((h >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+def pack(h: np.ndarray) -> np.ndarray:
+    """The upper 40 bits of hashes as bytes; of a billion words they confuse one in two thousand."""
+    return np.ascontiguousarray((h >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5])
 
 
-def unpack48(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel() << np.uint64(16)
+def unpack(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
+    return out.view("<u8").ravel() << np.uint64(24)
 
 
 def in_blocks(batches: Iterator[pd.DataFrame], size: int = BLOCK) -> Iterator[pd.DataFrame]:
@@ -80,27 +107,37 @@ def in_blocks(batches: Iterator[pd.DataFrame], size: int = BLOCK) -> Iterator[pd
         yield pd.concat(held, ignore_index=True)
 
 
-def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def tokens_of(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of all texts, each text's words and then END, and the tokens in each."""
-    words, bounds = word_hashes(texts)
-    return np.insert(words, bounds[1:], END), np.diff(bounds) + 1
+    tokens, lengths = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for part in in_blocks(iter([pd.DataFrame({"text": texts})]), STEP):
+        words, bounds = word_hashes([t.encode() for t in part["text"]])
+        tokens.append(np.insert(words, bounds[1:], END))
+        lengths.append(np.diff(bounds) + 1)
+    return np.concatenate(tokens), np.concatenate(lengths)
+
+
+def merge_words(asked: DataFrame) -> DataFrame:
+    """A bucket's words with their training counts (``words``), from what the blocks sent; none of count 0."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        w, place = np.unique(np.concatenate([np.cumsum(read(x, np.uint64), dtype=np.uint64) for x in rows["a"]]), return_inverse=True)
+        n = np.bincount(place, read_all(rows["b"], np.int64), len(w)).astype(np.int64)
+        return _frame([_row("words", rows["bucket"].iloc[0], -1, w[n > 0], n[n > 0], total=n.sum(), extra=(n > 0).sum())])
 
+    return asked.groupBy("bucket").applyInPandas(run, SCHEMA)
 
-def count_words(train: DataFrame) -> DataFrame:
-    """w (64-bit hash) and n: how often each token is in the texts of ``train``."""
+
+def hot_words(words: DataFrame, least: float) -> np.ndarray:
+    """Words with more than ``least`` occurrences."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for b in in_blocks(batches, 2_000_000):
-            new, n = np.unique(tokens_of([t.encode() for t in b["text"]])[0], return_counts=True)
-            keys, inverse = np.unique(np.concatenate([keys, new]), return_inverse=True)
-            counts = np.bincount(inverse, np.concatenate([counts, n]), len(keys)).astype(np.int64)
-            if len(keys) > 3_000_000:
-                yield pd.DataFrame({"w": keys.view(np.int64), "n": counts})
-                keys, counts = keys[:0], counts[:0]
-        yield pd.DataFrame({"w": keys.view(np.int64), "n": counts})
+        for b in batches:
+            for x, y in zip(b["a"], b["b"], strict=True):
+                yield pd.DataFrame({"w": read(x, np.uint64)[read(y, np.int64) > least].view(np.int64)})
 
-    return train.select("text").mapInPandas(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    found = [r["w"] for r in words.select("a", "b").mapInPandas(run, "w long").collect()]
+    return np.array(found, np.int64).view(np.uint64)
 
 
 @dataclass(frozen=True)
@@ -133,23 +170,35 @@ def _segments(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
             yield int(bucket[a]), slice(a, b)
 
 
-def cut_blocks(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
-    """For each block its documents, its distinct words by bucket (``ask``) and its pairs with training counts by bucket (``pairs``)."""
+def cut_blocks(docs: DataFrame, hot: np.ndarray, buckets: int, pairs: bool) -> DataFrame:
+    """A block's pairs with training counts by bucket (``pairs``), or its documents (``docs``) and distinct words with training counts by bucket (``ask``).
+
+    Both are cut the same way from the same scan, so nothing but the documents' side has
+    to be kept; a block whose answers don't fit is an error in the end.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for number, b in enumerate(in_blocks(batches)):
             block = (int(b["part"].iloc[0]) << 24) + number
-            tokens, lengths = tokens_of([t.encode() for t in b["text"]])
+            tokens, lengths = tokens_of(b["text"])
             vocabulary, index = np.unique(tokens, return_inverse=True)
-            pairs = Pairs.of(vocabulary, index, lengths, hot, buckets)
+            if not pairs:
+                counts = np.bincount(index[np.repeat(~b["held_out"].to_numpy(bool), lengths)], minlength=len(vocabulary))
+                # by rank of frequency, so that most numbers are small
+                order = np.argsort(-np.bincount(index), kind="stable")
+                rank = np.empty(len(order), np.int32)
+                rank[order] = np.arange(len(order))
+                rows = [_row("docs", -1, block, b["id"].to_numpy(np.int64), lengths.astype(np.int32), rank[index], order.astype(np.int32))]
+                yield _frame(rows + [_row("ask", k, block, _rising(vocabulary[s]), counts[s].astype(np.int64), total=counts[s].sum()) for k, s in _segments(bucket_of(vocabulary, buckets))])
+                continue
+            own = Pairs.of(vocabulary, index, lengths, hot, buckets)
             counted = np.repeat(~b["held_out"].to_numpy(bool), lengths)
-            counts = np.bincount(pairs.place[counted], minlength=len(pairs.u)).astype(np.int32)
-            rows = [_row("docs", -1, block, b["id"].to_numpy(np.int64), lengths.astype(np.int32), index.astype(np.int32), vocabulary)]
-            rows += [_row("ask", k, block, vocabulary[s]) for k, s in _segments(bucket_of(vocabulary, buckets))]
-            for k, s in _segments(pairs.bucket):
-                u = pairs.u[s]
+            counts = np.bincount(own.place[counted], minlength=len(own.u)).astype(np.int32)
+            rows = []
+            for k, s in _segments(own.bucket):
+                u = own.u[s]
                 starts = np.concatenate([[0], np.flatnonzero(u[1:] != u[:-1]) + 1])
-                rows.append(_row("pairs", k, block, u[starts], np.diff(np.append(starts, len(u))).astype(np.int32), pack48(pairs.w[s]), counts[s]))
+                rows.append(_row("pairs", k, block, u[starts], np.diff(np.append(starts, len(u))).astype(np.int32), pack(own.w[s]), counts[s]))
             yield _frame(rows)
 
     return docs.select("id", "held_out", "text", F.spark_partition_id().cast("long").alias("part")).mapInPandas(run, SCHEMA)
@@ -159,23 +208,25 @@ def _by_word(kind: str, bucket: int, w: np.ndarray, values: np.ndarray, buckets:
     """Sums of ``values`` by word, in a row for each bucket of words; ``block`` names the sender."""
     words, inverse = np.unique(w, return_inverse=True)
     sums = np.bincount(inverse, values, len(words))
-    return [_row(kind, k, bucket, pack48(words[s]), sums[s], total=sums[s].sum()) for k, s in _segments(bucket_of(words, buckets))]
+    return [_row(kind, k, bucket, pack(words[s]), sums[s].astype(np.float32), total=sums[s].sum()) for k, s in _segments(bucket_of(words, buckets))]
 
 
 def merge_pairs(lists: DataFrame, buckets: int) -> DataFrame:
     """A bucket's pairs merged over the blocks.
 
-    ``state``: counts, contexts and their lengths, words of pairs seen twice or more;
-    ``where``: which pairs each block asked for; ``single`` and ``multi``: customers for
+    ``state``: contexts, their customers and pairs seen once; ``many``: of pairs seen twice or
+    more the words, counts and contexts; ``where``: which pairs each block asked for and
+    all counts; ``single`` and ``multi``: customers for
     the parent from pairs seen once and from the others, one table each to begin with.
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("block")
         bucket = rows["bucket"].iloc[0]
-        u = np.concatenate([np.repeat(np.frombuffer(a, np.uint64), np.frombuffer(b, np.int32)) for a, b in zip(rows["a"], rows["b"], strict=True)])
-        w = unpack48(b"".join(rows["c"]))
-        counts = np.frombuffer(b"".join(rows["d"]), np.int32)
+        u = np.repeat(read_all(rows["a"], np.uint64), read_all(rows["b"], np.int32))
+        w = unpack(b"".join(rows["c"]))
+        sent = [read(x, np.int32) for x in rows["d"]]
+        counts = np.concatenate(sent)
         order = np.lexsort((w, u))
         u, w = u[order], w[order]
         new = np.concatenate([[True], (u[1:] != u[:-1]) | (w[1:] != w[:-1])])
@@ -185,10 +236,10 @@ def merge_pairs(lists: DataFrame, buckets: int) -> DataFrame:
         c = np.add.reduceat(counts[order].astype(np.int64), firsts)
         u, w = u[firsts], w[firsts]
         starts = np.concatenate([[0], np.flatnonzero(u[1:] != u[:-1]) + 1])
-        sizes = [len(x) // 4 for x in rows["d"]]
         out = [
-            _row("state", bucket, -1, c, u[starts], np.diff(np.append(starts, len(u))).astype(np.int32), w[c >= 2], total=(c == 1).sum(), extra=(c == 2).sum()),
-            _row("where", bucket, -1, rows["block"].to_numpy(np.int64), np.array(sizes, np.int32), np.diff(index, prepend=np.int32(0)).astype(np.int32)),
+            _row("state", bucket, -1, u[starts], np.add.reduceat(c, starts), np.add.reduceat((c == 1).astype(np.int64), starts).astype(np.int32), total=(c == 1).sum(), extra=(c == 2).sum()),
+            _row("many", bucket, -1, pack(w[c >= 2]), c[c >= 2], np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.append(starts, len(u))))[c >= 2]),
+            _row("where", bucket, -1, rows["block"].to_numpy(np.int64), np.array([len(x) for x in sent], np.int32), np.diff(index, prepend=np.int32(0)), c.astype(np.float32)),
             *_by_word("single", bucket, w[c == 1], np.ones(int((c == 1).sum())), buckets),
             *_by_word("multi", bucket, w[c >= 2], np.ones(int((c >= 2).sum())), buckets),
         ]
@@ -197,37 +248,63 @@ def merge_pairs(lists: DataFrame, buckets: int) -> DataFrame:
     return lists.groupBy("bucket").applyInPandas(run, SCHEMA)
 
 
+@cache
 def stirling(discount: float) -> np.ndarray:
     """log of the generalised Stirling numbers S(c, t) for c, t up to EXACT."""
-    s = np.zeros((EXACT + 1, EXACT + 1))
-    s[0, 0] = 1
-    for c in range(EXACT):
-        s[c + 1, 1:] = s[c, :-1] + np.maximum(c - discount * np.arange(1, EXACT + 1), 0) * s[c, 1:]
+    s = np.full((EXACT + 1, EXACT + 1), -np.inf)
+    s[0, 0] = 0
     with np.errstate(divide="ignore"):
-        return np.log(s)
+        for c in range(EXACT):
+            s[c + 1, 1:] = np.logaddexp(s[c, :-1], np.log(np.maximum(c - discount * np.arange(1, EXACT + 1), 0)) + s[c, 1:])
+    return s
 
 
 def draw_tables(rng: np.random.Generator, c: np.ndarray, others: np.ndarray, p: np.ndarray, discount: float, strength: float) -> np.ndarray:
-    """Tables of dishes with ``c`` customers, given the restaurants' other tables and the parent's ``p``."""
+    """Tables of dishes with ``c`` customers, given the restaurants' other tables and the parent's ``p``.
+
+    Up to EXACT customers the draw is exact. Beyond, S(c, t) t! discount^t / Gamma(c) is
+    taken as the function of t / c^discount that it tends to, read off at EXACT.
+    """
     t, log_s = np.ones(len(c), np.int64), stirling(discount)
+    r = strength / discount + others
     for k in range(2, EXACT + 1):
         rows = np.flatnonzero(c == k)
         if len(rows):
             tables = np.arange(1, k + 1)
-            weight = log_s[k, 1 : k + 1] + tables * np.log(p[rows])[:, None] + np.cumsum(np.log(strength + discount * (others[rows][:, None] + tables - 1)), axis=1)
+            weight = log_s[k, 1 : k + 1] + tables * np.log(discount * p[rows])[:, None] + np.cumsum(np.log(r[rows][:, None] + tables - 1), axis=1)
             t[rows] = 1 + (weight + rng.gumbel(size=weight.shape)).argmax(axis=1)
-    rows = np.flatnonzero(c > EXACT)
-    seated = np.ones(len(rows), np.int64)
-    while len(rows):
-        group = np.minimum(c[rows] - seated, np.maximum(seated // 8, 1))
-        a = (strength + discount * (others[rows] + t[rows])) * p[rows]
-        t[rows] += rng.binomial(group, a / (a + seated - discount * t[rows]))
-        seated += group
-        more = seated < c[rows]
-        rows, seated = rows[more], seated[more]
+    tables = np.arange(1, EXACT + 1)
+    limit = log_s[EXACT, 1:] - gammaln(EXACT) + gammaln(tables + 1) + tables * np.log(discount)
+    large = np.flatnonzero(c > EXACT)
+    for k in range(0, len(large), 2000):
+        rows = large[k : k + 2000]
+        # without the limit the tables but one are negative binomial, and it only makes them fewer
+        mean = (r[rows] + 1) * p[rows] / (1 - p[rows])
+        spread = 8 * np.sqrt(mean / (1 - p[rows])) + 8
+        top = np.minimum(c[rows], 1 + mean + spread)
+        bottom = np.where(mean > 0.5 * c[rows] ** discount, 1, np.maximum(1, mean - spread))
+        grid = np.floor(bottom[:, None] + (top - bottom)[:, None] * np.linspace(0, 1, GRID))
+        fine = np.minimum(bottom[:, None].astype(np.int64) + np.arange(GRID), top[:, None].astype(np.int64))
+        grid = np.where((top - bottom < GRID)[:, None], fine, grid)
+        x = np.interp(grid / c[rows][:, None] ** discount, tables / EXACT**discount, limit)
+        weight = x - gammaln(grid + 1) + grid * np.log(p[rows])[:, None] + gammaln(r[rows][:, None] + grid) - gammaln(r[rows])[:, None]
+        weight[:, 1:][grid[:, 1:] == grid[:, :-1]] = -np.inf
+        t[rows] = grid[np.arange(len(rows)), (weight + rng.gumbel(size=weight.shape)).argmax(axis=1)].astype(np.int64)
     return t
 
 
+def gammaln(x: np.ndarray | float) -> np.ndarray:
+    """log Gamma for x > 0 by Stirling's series, from 8 up after recursion."""
+    x = np.asarray(x, dtype=np.float64)
+    shift = np.zeros_like(x)
+    y = x.copy()
+    for _ in range(8):
+        low = y < 8
+        shift = shift + np.where(low, np.log(np.where(low, y, 1.0)), 0.0)
+        y = np.where(low, y + 1, y)
+    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - shift
+
+
 @dataclass(frozen=True)
 class Level:
     """The parent restaurant's scalars: discount, strength, customers, tables, words it may serve."""
@@ -255,7 +332,7 @@ def seat_words(rows: DataFrame, last: bool, level: Level, seed: int) -> DataFram
         kinds = {k: g.sort_values("block") for k, g in group.groupby("kind")}
         bucket = group["bucket"].iloc[0]
         rng = np.random.default_rng([seed, int(bucket)])
-        lists = {k: [(i, unpack48(a), np.frombuffer(b, np.float64)) for i, a, b in zip(g["block"], g["a"], g["b"], strict=True)] for k, g in kinds.items() if k in ("single", "multi")}
+        lists = {k: [(i, unpack(a), read(b, np.float32)) for i, a, b in zip(g["block"], g["a"], g["b"], strict=True)] for k, g in kinds.items() if k in ("single", "multi")}
         both = [x for v in lists.values() for x in v]
         words, inverse = np.unique(np.concatenate([np.zeros(0, np.uint64), *[w for _, w, _ in both]]), return_inverse=True)
         mean = np.bincount(inverse, np.concatenate([np.zeros(0), *[n for *_, n in both]]), len(words))
@@ -267,25 +344,23 @@ def seat_words(rows: DataFrame, last: bool, level: Level, seed: int) -> DataFram
             t = np.mean([draw_tables(rng, c, np.maximum(level.tables - t, 0), p, level.discount, level.strength) for _ in range(runs)], axis=0)
         numerator = mean - level.discount * t
         out = [_row("seated", bucket, -1, total=t.sum(), extra=mean.sum())]
+        if not level.tables and lists.get("single"):
+            once, place = np.unique(np.concatenate([w for _, w, _ in lists["single"]]), return_inverse=True)
+            n = np.bincount(place, np.concatenate([n for *_, n in lists["single"]]), len(once))
+            out.append(_row("single", bucket, -1, pack(once), n.astype(np.float32), total=n.sum()))
         if not last:
-            out += [_row("served", i, bucket, w, numerator[np.searchsorted(words, w)]) for i, w, _ in lists.get("multi", [])]
+            out += [_row("served", i, bucket, pack(w), numerator[np.searchsorted(words, w)].astype(np.float32)) for i, w, _ in lists.get("multi", [])]
             return _frame(out)
-        known = kinds.get("words")
-        full = np.frombuffer(b"".join(known["a"]), np.uint64) if known is not None else np.zeros(0, np.uint64)
-        count = np.frombuffer(b"".join(known["b"]), np.int64) if known is not None else np.zeros(0, np.int64)
-        order = np.argsort(full)
-        full, count = np.append(full[order], np.uint64(2**64 - 1)), np.append(count[order], 0)
-        if (g := kinds.get("contexts")) is not None:
-            cu, place = np.unique(np.frombuffer(b"".join(g["a"]), np.uint64), return_inverse=True)
-            customers = np.bincount(place, np.frombuffer(b"".join(g["b"]), np.float64), len(cu))
-            tables = np.bincount(place, np.frombuffer(b"".join(g["c"]), np.float64), len(cu))
-        else:
-            cu, customers, tables = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
+        none = pd.DataFrame(columns=COLUMNS)
+        known, g = kinds.get("words", none), kinds.get("contexts", none)
+        full, count = np.append(read_all(known["a"], np.uint64), np.uint64(2**64 - 1)), np.append(read_all(known["b"], np.int64), 0)
+        cu, place = np.unique(read_all(g["a"], np.uint64), return_inverse=True)
+        customers, tables = (np.bincount(place, read_all(g[x], np.float64), len(cu)) for x in "bc")
         pick = lambda keys, values, w: np.where((k := np.minimum(np.searchsorted(keys, w), len(keys) - 1), keys[k] == w)[1], values[k], 0) if len(keys) else np.zeros(len(w))
         if (g := kinds.get("ask")) is not None:
             for block, raw in zip(g["block"], g["a"], strict=True):
-                w = np.frombuffer(raw, np.uint64)
-                out.append(_row("told", bucket, block, pick(full, count, w).astype(np.int64), pick(words, numerator, w >> np.uint64(16) << np.uint64(16)).astype(np.float32), pick(cu, customers, w).astype(np.int64), pick(cu, tables, w).astype(np.float32)))
+                w = np.cumsum(read(raw, np.uint64), dtype=np.uint64)
+                out.append(_row("told", bucket, block, pick(full, count, w).astype(np.int64), pick(words, numerator, w >> np.uint64(24) << np.uint64(24)).astype(np.float32), pick(cu, customers, w).astype(np.float32), pick(cu, tables, w).astype(np.float32)))
         # the beginning of a text is a context, but no word of any block
         if len(cu) and (cu == BEGIN).any():
             out.append(_row("begin", -1, -1, total=customers[cu == BEGIN][0], extra=tables[cu == BEGIN][0]))
@@ -309,24 +384,20 @@ def seat_pairs(rows: DataFrame, last: bool, parent: Level, discount: float, stre
         s = kinds["state"].iloc[0]
         bucket = int(s["bucket"])
         rng = np.random.default_rng([seed, bucket])
-        c, u, runs = np.frombuffer(s["a"], np.int64), np.frombuffer(s["b"], np.uint64), np.frombuffer(s["c"], np.int32)
-        starts = np.cumsum(runs) - runs
-        context = np.repeat(np.arange(len(u)), runs)
-        many = c >= 2
-        w, cm, um = np.frombuffer(s["d"], np.uint64), c[many], context[many]
-        fixed = np.add.reduceat((c == 1).astype(np.int64), starts)
+        u, cu, fixed = read(s["a"], np.uint64), read(s["b"], np.int64).astype(np.float64), read(s["c"], np.int32)
+        m = kinds["many"].iloc[0]
+        w, cm, um = unpack(m["a"]), read(m["b"], np.int64), read(m["c"], np.int32)
         # hot contexts have dishes in other buckets too; their tables are those of the pass before
         elsewhere = np.zeros(len(u))
-        mine = np.bincount(um, np.ones(len(um)), len(u)) if "tables" not in kinds else None
-        tm = np.ones(len(cm)) if "tables" not in kinds else np.frombuffer(kinds["tables"].iloc[0]["a"], np.int32).astype(np.float64)
-        mine = np.bincount(um, tm, len(u)) if mine is None else mine
+        tm = np.ones(len(cm)) if "tables" not in kinds else read(kinds["tables"].iloc[0]["a"], np.int32).astype(np.float64)
+        mine = np.bincount(um, tm, len(u))
         for k in np.flatnonzero(np.isin(u, np.array(list(hot), np.uint64))) if hot else []:
             elsewhere[k] = max(hot[int(u[k])][1] - fixed[k] - mine[k], 0)
         mean, mean_total = np.zeros(len(cm)), np.zeros(len(u))
         if len(cm):
-            keys = np.concatenate([np.frombuffer(x, np.uint64) for x in kinds["served"]["a"]])
+            keys = np.concatenate([unpack(x) for x in kinds["served"]["a"]])
             order = np.argsort(keys)
-            numerator = np.concatenate([np.frombuffer(x, np.float64) for x in kinds["served"]["b"]])[order]
+            numerator = read_all(kinds["served"]["b"], np.float32)[order].astype(np.float64)
             p = parent.probability(numerator[np.searchsorted(keys[order], w)])
         for k in range(sweeps):
             if len(cm):
@@ -336,7 +407,6 @@ def seat_pairs(rows: DataFrame, last: bool, parent: Level, discount: float, stre
                 mean += tm / samples
                 mean_total += (fixed + np.bincount(um, tm, len(u))) / samples
         out = [_row("tables", bucket, -1, tm.astype(np.int32)), *_by_word("multi", bucket, w, mean if last else tm, buckets)]
-        cu = np.add.reduceat(c, starts).astype(np.float64)
         if not last:
             local = fixed + np.bincount(um, tm, len(u))
             out += [_row("hot", -1, -1, u[k : k + 1], total=cu[k], extra=local[k]) for k in (np.flatnonzero(np.isin(u, np.array(list(hot), np.uint64))) if hot else [])]
@@ -345,12 +415,13 @@ def seat_pairs(rows: DataFrame, last: bool, parent: Level, discount: float, stre
         order = np.argsort(bucket_of(u[seen], buckets), kind="stable")
         un, cn, tn = u[seen][order], cu[seen][order], mean_total[seen][order]
         out += [_row("contexts", k, bucket, un[x], cn[x], tn[x]) for k, x in _segments(bucket_of(un, buckets))]
-        tables = (c == 1).astype(np.float32)
-        tables[many] = mean
         at = kinds["where"].iloc[0]
-        index = np.cumsum(np.frombuffer(at["c"], np.int32), dtype=np.int64)
-        ends = np.cumsum(np.frombuffer(at["b"], np.int32))
-        for block, a, b in zip(np.frombuffer(at["a"], np.int64), [0, *ends[:-1]], ends, strict=True):
+        c = read(at["d"], np.float32)
+        tables = (c == 1).astype(np.float32)
+        tables[c >= 2] = mean
+        index = np.cumsum(read(at["c"], np.int32), dtype=np.int64)
+        ends = np.cumsum(read(at["b"], np.int32))
+        for block, a, b in zip(read(at["a"], np.int64), [0, *ends[:-1]], ends, strict=True):
             out.append(_row("answer", bucket, block, c[index[a:b]], tables[index[a:b]]))
         return _frame(out)
 
@@ -363,12 +434,14 @@ def score_blocks(rows: DataFrame, parent: Level, discount: float, strength: floa
     def run(group: pd.DataFrame) -> pd.DataFrame:
         kinds = {k: g.sort_values("bucket") for k, g in group.groupby("kind")}
         d, told, answer = kinds["docs"].iloc[0], kinds["told"], kinds["answer"]
-        ids, lengths, tokens, vocabulary = (np.frombuffer(d[x], t) for x, t in (("a", np.int64), ("b", np.int32), ("c", np.int32), ("d", np.uint64)))
-        count, numerator, cu, tu = (np.frombuffer(b"".join(told[x]), t) for x, t in (("a", np.int64), ("b", np.float32), ("c", np.int64), ("d", np.float32)))
+        ids, lengths, tokens = read(d["a"], np.int64), read(d["b"], np.int32), read(d["d"], np.int32)[read(d["c"], np.int32)]
+        vocabulary = np.concatenate([np.cumsum(read(x, np.uint64), dtype=np.uint64) for x in kinds["ask"]["a"]])
+        count, numerator, cu, tu = (read_all(told[x], t) for x, t in (("a", np.int64), ("b", np.float32), ("c", np.float32), ("d", np.float32)))
         pairs = Pairs.of(vocabulary, tokens, lengths, hot, buckets)
-        c, t = (np.frombuffer(b"".join(answer[x]), k)[pairs.place] for x, k in (("a", np.int64), ("b", np.float32)))
-        if len(count) != len(vocabulary) or len(b"".join(answer["b"])) // 4 != len(pairs.u):
-            raise ValueError("a block's answers don't fit its questions")
+        c, t = (read_all(answer[x], np.float32) for x in "ab")
+        if len(count) != len(vocabulary) or len(t) != len(pairs.u):
+            raise ValueError(f"a block's answers don't fit its questions: {len(count)} for {len(vocabulary)} words, {len(t)} for {len(pairs.u)} pairs")
+        c, t = c[pairs.place].astype(np.float64), t[pairs.place].astype(np.float64)
         first = np.cumsum(lengths) - lengths
         before = np.concatenate([[0], tokens[:-1]])
         customers, tables = cu[before].astype(np.float64), tu[before].astype(np.float64)
@@ -387,7 +460,7 @@ def score_blocks(rows: DataFrame, parent: Level, discount: float, strength: floa
     return rows.groupBy("block").applyInPandas(run, "id long, n_tokens long, n_known long, base_score double, score double")
 
 
-def score_documents(docs: DataFrame, held_out: Column, strength: float = 1.0, sweeps: int = 3, samples: int = 5, seed: int = 5) -> DataFrame:
+def score_documents(docs: DataFrame, held_out: Column, strength: float = 1.0, sweeps: int = 2, samples: int = 4, seed: int = 5) -> DataFrame:
     """log10 probabilities of all whole texts of ``docs`` (doc_id, text), learned from those not ``held_out``.
 
     Tokens are the words, A-Z as a-z, and one end for each text. Discounts follow from how
@@ -404,48 +477,45 @@ def score_documents(docs: DataFrame, held_out: Column, strength: float = 1.0, sw
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
     # packed ids can't be null
     text = text.withColumn("id", F.coalesce("doc_id", F.lit(-(2**63))))
-    counts = stage(count_words(text.where("not held_out")), "word-counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    buckets = max(shuffle_partitions(spark), -(-total // BUCKET), 1)
+    size = text.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0))).first()[0]
+    buckets = max(1, -(-size // BUCKET))  # by size alone: a block writes to each of them
+    blocks = stage(cut_blocks(text, np.zeros(0, np.uint64), buckets, pairs=False), "blocks", "zstd")
+    words = stage(merge_words(blocks.where("kind = 'ask'").select(*COLUMNS)), "words", "zstd")
+    total, distinct = (int(x) for x in words.agg(F.coalesce(F.sum("total"), F.lit(0.0)), F.coalesce(F.sum("extra"), F.lit(0.0))).first())
     # at most 4 x buckets of them
-    hot = np.array([r["w"] for r in counts.where(F.col("n") > total / (4 * buckets)).select("w").collect()] + [BEGIN.astype(np.int64)], np.int64).view(np.uint64)
-
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            w, n = b["w"].to_numpy(np.int64).view(np.uint64), b["n"].to_numpy(np.int64)
-            order = np.argsort(w)
-            w, n = w[order], n[order]
-            yield _frame([_row("words", k, -1, w[s], n[s]) for k, s in _segments(bucket_of(w, buckets))])
-
-    words = counts.mapInPandas(packed, SCHEMA)
-    blocks = stage(cut_blocks(text, hot, buckets), "blocks")
-    merged = stage(merge_pairs(blocks.where("kind = 'pairs'"), buckets), "pairs")
+    hot = np.append(hot_words(words, total / (4 * buckets)), BEGIN)
+    merged = stage(merge_pairs(cut_blocks(text, hot, buckets, pairs=True), buckets), "pairs", "zstd")
+    release(spark)
     kind = lambda df, *kinds: df.where(F.col("kind").isin(*kinds))
-    n1, n2 = merged.where("kind = 'state'").agg(F.coalesce(F.sum("total"), F.lit(0.0)), F.coalesce(F.sum("extra"), F.lit(0.0))).first()
+    n1, n2 = kind(merged, "state").agg(F.coalesce(F.sum("total"), F.lit(0.0)), F.coalesce(F.sum("extra"), F.lit(0.0))).first()
     discount = float(np.clip(n1 / max(n1 + 2 * n2, 1), 0.1, 0.9))
-    multi, tables = kind(merged, "multi"), None
+    single, multi, tables = kind(merged, "single"), kind(merged, "multi"), None
     hot_totals: dict[int, tuple[float, float]] = {int(h): (0.0, 0.0) for h in hot}
     root_tables = 0.0
     for step in range(3):
         last = step == 2
-        level = Level(discount, strength, 0.0, root_tables, distinct + 1)
-        words_in = kind(merged, "single").unionByName(multi)
+        words_in = single.unionByName(multi)
         if last:
             words_in = words_in.unionByName(words).unionByName(kind(seated, "contexts")).unionByName(kind(blocks, "ask"))
-        served = stage(seat_words(words_in, last, level, seed + step), "served")
-        root_tables, customers = served.where("kind = 'seated'").agg(F.coalesce(F.sum("total"), F.lit(0.0)), F.coalesce(F.sum("extra"), F.lit(0.0))).first()
+        served = stage(seat_words(words_in, last, Level(discount, strength, 0.0, root_tables, distinct + 1), seed + step), "served", "zstd")
+        if not step:
+            single = kind(served, "single")
+        root_tables, customers = kind(served, "seated").agg(F.coalesce(F.sum("total"), F.lit(0.0)), F.coalesce(F.sum("extra"), F.lit(0.0))).first()
         level = Level(discount, strength, customers, root_tables, distinct + 1)
+        release(spark)
         if last:
             break
-        pairs_in = kind(merged, "state", "where").unionByName(kind(served, "served"))
+        pairs_in = kind(merged, "state", "many", *["where"] * (step == 1)).unionByName(kind(served, "served"))
         if tables is not None:
             pairs_in = pairs_in.unionByName(tables)
-        seated = stage(seat_pairs(pairs_in, step == 1, level, discount, strength, hot_totals, buckets, sweeps + samples * (step == 1), samples, seed + step), "seated")
+        seated = stage(seat_pairs(pairs_in, step == 1, level, discount, strength, hot_totals, buckets, sweeps + samples * (step == 1), samples, seed + step), "seated", "zstd")
         multi, tables = kind(seated, "multi"), kind(seated, "tables")
         sums = kind(seated, "hot").groupBy("a").agg(F.sum("total").alias("c"), F.sum("extra").alias("t")).collect()  # a row for each hot context
-        hot_totals = {int(np.frombuffer(r["a"], np.uint64)[0]): (r["c"], r["t"]) for r in sums}
+        hot_totals = {int(read(r["a"], np.uint64)[0]): (r["c"], r["t"]) for r in sums}
+        release(spark)
+    discard(merged)
     begin = kind(served, "begin").agg(F.coalesce(F.sum("total"), F.lit(0.0)), F.coalesce(F.sum("extra"), F.lit(0.0))).first()
-    answers = kind(blocks, "docs").unionByName(kind(served, "told")).unionByName(kind(seated, "answer"))
+    answers = kind(blocks, "docs", "ask").unionByName(kind(served, "told")).unionByName(kind(seated, "answer"))
     scored = score_blocks(answers, level, discount, strength, hot, buckets, tuple(begin), total, distinct)
     return scored.select(
         F.when(F.col("id") != -(2**63), F.col("id")).alias("doc_id"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"
