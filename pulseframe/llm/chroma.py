@@ -18,7 +18,7 @@ RATE, FRAME, HOP = 4000, 1024, 256
 #: Frames that a fingerprint looks at.
 SPAN = 12
 #: Bits at the end of an integer that voting leaves out, so that a few wrong bits still vote.
-LOOSE = np.uint32(12)
+LOOSE = np.uint32(8)
 #: Queries in one pass over all recordings; each is held against all of them.
 BLOCK = 2000
 #: Frames that are transformed at a time.
@@ -112,14 +112,15 @@ def _bit_error(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[float, int]:
     return (int(np.bitwise_count(a[lo:hi] ^ b[lo + offset : hi + offset]).sum()) / (32 * n), n) if n > 0 else (1.0, 0)
 
 
-def align(recordings: DataFrame, queries: DataFrame, most_errors: float = 0.22, least_frames: int = 48, best: bool = False) -> DataFrame:
+def align(recordings: DataFrame, queries: DataFrame, most_errors: float = 0.22, least_frames: int = 48, least_votes: int = 4, best: bool = False) -> DataFrame:
     """Recordings of which a stretch is also in a query, both as ``fingerprints`` gives them.
 
     Integers of query and recording that agree in all but their last bits vote for an offset; at the offset with most votes
     (of equal ones the smallest) the overlap's bits are compared. Returns query_id, rec_id,
     offset (frames of the recording before the query begins), votes, n_frames (overlap) and
-    bit_error, where the overlap has at least ``least_frames`` and the error is at most
-    ``most_errors``; a query doesn't match its own id. The queries go in blocks of BLOCK,
+    bit_error, where there are at least ``least_votes`` (fewer agree by chance), the overlap
+    has at least ``least_frames`` and the error is at most ``most_errors``; a query doesn't
+    match its own id. The queries go in blocks of BLOCK,
     each held against all recordings in one pass, so no integer's rows meet in one group,
     however common it is.
 
@@ -154,6 +155,9 @@ def align(recordings: DataFrame, queries: DataFrame, most_errors: float = 0.22,
                     q, offset = query[hit], np.repeat(np.arange(len(own)), m) - place[hit]
                     base = int(place.max()) + 1
                     keys, votes = np.unique(q * (base + len(own)) + offset + base, return_counts=True)
+                    keys, votes = keys[votes >= least_votes], votes[votes >= least_votes]
+                    if not len(keys):
+                        continue
                     of, offset = keys // (base + len(own)), keys % (base + len(own)) - base
                     top = np.lexsort((offset, -votes, of))
                     top = top[np.concatenate([[True], of[top][1:] != of[top][:-1]])]
