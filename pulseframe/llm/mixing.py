@@ -58,12 +58,15 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int =
     before (words before it). A null text has size 0; documents without words are never
     drawn; a null source is a source of its own; repeated rows are drawn each by itself.
     """
-    sized = docs.select(
-        "doc_id",
-        "source",
-        word_count(F.col("text")).alias("size"),
-        F.xxhash64("text").alias("text_key"),
-        F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"))), 1, 15), 16, 10).cast("long").alias("_place"),
+    sized = stage(
+        docs.select(
+            "doc_id",
+            "source",
+            word_count(F.col("text")).alias("size"),
+            F.xxhash64("text").alias("text_key"),
+            F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 15), 16, 10).cast("long").alias("_place"),
+        ),
+        "mix-sizes",
     )
     order = [F.col("source").asc_nulls_last(), F.col("_place"), F.col("doc_id"), F.col("size"), F.col("text_key")]
     placed = prefix_sums(sized, order, "size", "mix-sources")
