@@ -17,12 +17,17 @@ from pulseframe.sources.staging import stage
 RATE, FRAME, HOP = 4000, 1024, 256
 #: Frames that a fingerprint looks at.
 SPAN = 12
-#: Bits at the end of an integer that voting leaves out, so that a few wrong bits still vote.
-LOOSE = np.uint32(8)
+#: Bits at the end of an integer that votes leave out.
+LOOSE = np.uint32(12)
+#: Frames that an overlap has at least: half of the shorter print, but LEAST of any and ENOUGH of the longest. Of
+#: pairs of unlike 86-frame prints 0.03 % align by chance over 32 frames or more, 0.6 % over 16.
+LEAST, ENOUGH = 16, 32
 #: Queries in one pass over all recordings; each is held against all of them.
 BLOCK = 2000
 #: Frames that are transformed at a time.
 CHUNK = 512
+#: Frames of queries whose spectra are held at a time, and frames of recordings times queries that meet them.
+QUERY_FRAMES, OWN_FRAMES = 20_000, 1_500_000
 
 
 def _pitch_classes() -> np.ndarray:
@@ -112,66 +117,104 @@ def _bit_error(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[float, int]:
     return (int(np.bitwise_count(a[lo:hi] ^ b[lo + offset : hi + offset]).sum()) / (32 * n), n) if n > 0 else (1.0, 0)
 
 
-def align(recordings: DataFrame, queries: DataFrame, most_errors: float = 0.22, least_frames: int = 48, least_votes: int = 4, best: bool = False) -> DataFrame:
+def _signs(prints: list[np.ndarray]) -> np.ndarray:
+    """Bits of prints as 1 and -1 (32 x prints x frames), and 0 past a print's end."""
+    out = np.zeros((32, len(prints), max(map(len, prints))), np.float32)
+    for k, p in enumerate(prints):
+        out[:, k, : len(p)] = ((p >> np.arange(32, dtype=np.uint32)[:, None]) & 1) * np.float32(2) - 1
+    return out
+
+
+def _spectra(prints: list[np.ndarray], n: int) -> np.ndarray:
+    """Frequencies x prints x 32, of ``n`` frames."""
+    return np.ascontiguousarray(np.fft.rfft(_signs(prints), n, axis=2).transpose(2, 1, 0))
+
+
+def _fast_length(n: int) -> int:
+    """The least 2^a 3^b 5^c that is at least ``n``."""
+    fives = [5**c * 3**b for b in range(12) for c in range(9)]
+    return min(x << max(0, (-(-n // x) - 1).bit_length()) for x in fives)
+
+
+def _of_like_length(prints: list[np.ndarray], most: int) -> Iterator[np.ndarray]:
+    """Places of prints in groups of at most ``most`` frames altogether (or one print), whose lengths differ by a tenth at most."""
+    lengths = np.array([len(p) for p in prints], np.int64)
+    order, a = np.argsort(lengths, kind="stable"), 0
+    for k in range(1, len(order) + 1):
+        if k == len(order) or 10 * lengths[order[k]] > 11 * lengths[order[a]] or (k + 1 - a) * lengths[order[k]] > most:
+            yield order[a:k]
+            a = k
+
+
+def best_offsets(own: list[np.ndarray], queries: list[np.ndarray], most_errors: float, least_frames: int, enough_frames: int) -> Iterator[tuple[int, int, int]]:
+    """Places in ``own`` and ``queries`` of all pairs that align, and the offset where most bits are equal, less those that differ.
+
+    Equal less different bits are counted at every offset, by Fourier transforms: nothing
+    has to agree exactly for an offset to be looked at.
+    """
+    share = 32 * (1 - 2 * most_errors)
+    for qs in _of_like_length(queries, QUERY_FRAMES):
+        held = [queries[j] for j in qs]
+        q_len = np.array([len(p) for p in held])
+        spectra: dict[int, np.ndarray] = {}
+        for rs in _of_like_length(own, max(OWN_FRAMES // len(qs), 1)):
+            mine = [own[i] for i in rs]
+            r_len = np.array([len(p) for p in mine])
+            if min(q_len[-1], r_len[-1]) < least_frames:
+                continue
+            least = int(np.clip(min(q_len[0], r_len[0]) // 2, least_frames, enough_frames))
+            # shorter than both together: only overlaps of too few frames meet others
+            n = _fast_length(int(q_len[-1] + r_len[-1]) - least)
+            if n not in spectra:
+                spectra = {n: np.ascontiguousarray(np.conj(_spectra(held, n)).transpose(0, 2, 1))}
+            offsets = np.arange(-int(q_len[-1] - least), int(r_len[-1] - least) + 1)
+            equal = np.fft.irfft(_spectra(mine, n) @ spectra[n], n, axis=0)
+            slack = 0.5 + 1e-5 * 32 * min(q_len[-1], r_len[-1])
+            fewest = np.minimum(q_len[0], r_len[0] - offsets) - np.maximum(0, -offsets)
+            floor = (share * np.maximum(fewest, least) - slack).astype(np.float32)
+            at, i, j = np.concatenate([np.stack(np.nonzero(equal[offsets[part] % n] >= floor[part, None, None])) + [[part.start], [0], [0]] for part in (slice(k, k + 32) for k in range(0, len(offsets), 32))], axis=1)
+            o = offsets[at]
+            frames = np.minimum(q_len[j], r_len[i] - o) - np.maximum(0, -o)
+            value = np.rint(equal[o % n, i, j])
+            good = (frames >= np.clip(np.minimum(q_len[j], r_len[i]) // 2, least_frames, enough_frames)) & (value >= share * frames - 1e-6)
+            o, i, j, value = o[good], i[good], j[good], value[good]
+            top = np.lexsort((o, -value, j, i))
+            yield from ((int(rs[i[k]]), int(qs[j[k]]), int(o[k])) for k in top[np.concatenate([[True], (i[top][1:] != i[top][:-1]) | (j[top][1:] != j[top][:-1])])[: len(top)]])
+
+
+def align(recordings: DataFrame, queries: DataFrame, most_errors: float = 0.22, least_frames: int = LEAST, enough_frames: int = ENOUGH) -> DataFrame:
     """Recordings of which a stretch is also in a query, both as ``fingerprints`` gives them.
 
-    Integers of query and recording that agree in all but their last bits vote for an offset; at the offset with most votes
-    (of equal ones the smallest) the overlap's bits are compared. Returns query_id, rec_id,
-    offset (frames of the recording before the query begins), votes, n_frames (overlap) and
-    bit_error, where there are at least ``least_votes`` (fewer agree by chance), the overlap
-    has at least ``least_frames`` and the error is at most ``most_errors``; a query doesn't
-    match its own id. The queries go in blocks of BLOCK,
-    each held against all recordings in one pass, so no integer's rows meet in one group,
-    however common it is.
-
-    With ``best``, a recording gives one row for each block, so the result doesn't grow
-    with the square of a group of copies: the alignment of least bit error, of equal ones
-    that of the smallest query, and in n_links how many there are.
+    The overlap's bits are compared at every offset. Returns query_id, rec_id, offset
+    (frames of the recording before the query begins), votes (integers that agree in all
+    but their last bits), n_frames (overlap) and bit_error for each pair with an offset
+    where the overlap has at least half of the shorter print's frames, but ``least_frames``
+    of any and ``enough_frames`` of the longest, and the error is at most ``most_errors``;
+    of several offsets that with most equal bits less different ones, of
+    equal ones the smallest. A query doesn't match its own id. The queries go in blocks of
+    BLOCK, each held against all recordings in one pass, so no rows meet in a group.
     """
-    schema = "query_id long, rec_id long, offset long, votes long, n_frames long, bit_error double, n_links long, block int"
+    kinds = [df.schema["rec_id"].dataType.simpleString() for df in (queries, recordings)]
+    schema = f"query_id {kinds[0]}, rec_id {kinds[1]}, offset long, votes long, n_frames long, bit_error double"
     spark = recordings.sparkSession
     n = -(-queries.count() // BLOCK)
     out = spark.createDataFrame([], schema)
     for k in range(n):
         block = queries.where(F.pmod(F.xxhash64("rec_id"), F.lit(n)) == k).toPandas().sort_values("rec_id")
-        shared = spark.sparkContext.broadcast([(int(i), np.frombuffer(p, np.uint32)) for i, p in zip(block["rec_id"], block["print"], strict=True)])
-
-        def search(batches: Iterator[pd.DataFrame], shared=shared, k=k) -> Iterator[pd.DataFrame]:
-            ids, prints = [i for i, _ in shared.value], [p for _, p in shared.value]
-            values = np.concatenate([*prints, np.zeros(0, np.uint32)]) >> LOOSE
-            query = np.repeat(np.arange(len(prints)), [len(p) for p in prints])
-            place = np.concatenate([*map(np.arange, map(len, prints)), np.zeros(0, int)]).astype(np.int64)
-            order = np.argsort(values, kind="stable")
-            values, query, place = values[order], query[order], place[order]
+        shared = spark.sparkContext.broadcast((list(block["rec_id"]), [np.frombuffer(p, np.uint32) for p in block["print"]]))
+
+        def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            ids, prints = shared.value
             for b in batches:
+                recs, own = list(b["rec_id"]), [np.frombuffer(p, np.uint32) for p in b["print"]]
                 rows = []
-                for rec, raw in zip(b["rec_id"], b["print"], strict=True):
-                    own = np.frombuffer(raw, np.uint32)
-                    first, last = np.searchsorted(values, own >> LOOSE, "left"), np.searchsorted(values, own >> LOOSE, "right")
-                    m = last - first
-                    if not m.sum():
-                        continue
-                    hit = np.repeat(first - np.cumsum(m) + m, m) + np.arange(int(m.sum()))
-                    q, offset = query[hit], np.repeat(np.arange(len(own)), m) - place[hit]
-                    base = int(place.max()) + 1
-                    keys, votes = np.unique(q * (base + len(own)) + offset + base, return_counts=True)
-                    keys, votes = keys[votes >= least_votes], votes[votes >= least_votes]
-                    if not len(keys):
-                        continue
-                    of, offset = keys // (base + len(own)), keys % (base + len(own)) - base
-                    top = np.lexsort((offset, -votes, of))
-                    top = top[np.concatenate([[True], of[top][1:] != of[top][:-1]])]
-                    found = []
-                    for j in top:
-                        if ids[of[j]] != rec:
-                            error, frames = _bit_error(prints[of[j]], own, int(offset[j]))
-                            if frames >= least_frames and error <= most_errors:
-                                found.append((ids[of[j]], rec, int(offset[j]), int(votes[j]), frames, error))
-                    if best and found:
-                        rows.append((*min(found, key=lambda x: (x[5], x[0])), len(found), k))
-                    elif found:
-                        rows += [(*x, 1, k) for x in found]
-                yield pd.DataFrame(rows, columns=["query_id", "rec_id", "offset", "votes", "n_frames", "bit_error", "n_links", "block"])
+                for i, j, offset in best_offsets(own, prints, most_errors, least_frames, enough_frames):
+                    error, frames = _bit_error(prints[j], own[i], offset)
+                    if error <= most_errors and ids[j] != recs[i]:
+                        lo = max(0, -offset)
+                        votes = (prints[j][lo : lo + frames] >> LOOSE == own[i][lo + offset : lo + offset + frames] >> LOOSE).sum()
+                        rows.append((ids[j], recs[i], offset, int(votes), frames, error))
+                yield pd.DataFrame(rows, columns=["query_id", "rec_id", "offset", "votes", "n_frames", "bit_error"])
 
         out = out.unionByName(recordings.select("rec_id", "print").mapInPandas(search, schema))
     return out
@@ -187,9 +230,8 @@ def match_recordings(recordings: DataFrame, is_query: Column) -> DataFrame:
     best alignment of any; rows without rec_id are left out.
     """
     prints = stage(fingerprints(recordings), "fingerprints")
-    found = align(prints, prints.where(is_query), best=True)
-    choice = F.min(F.struct("bit_error", "query_id", "offset", "votes", F.col("n_frames").alias("overlap"))).alias("m")
-    of_block = found.groupBy("rec_id", "block").agg(F.max("n_links").alias("n_links"), choice)
-    matched = of_block.groupBy("rec_id").agg(F.sum("n_links").alias("n_links"), F.min("m").alias("m"))
+    found = align(prints, prints.where(is_query))
+    choice = F.min(F.struct("bit_error", "query_id", "offset", "votes", F.col("n_frames").alias("overlap")))
+    matched = found.groupBy("rec_id").agg(F.count_distinct("query_id").alias("n_links"), choice.alias("m"))
     every = prints.groupBy("rec_id").agg(F.max("n_frames").alias("n_frames"))
     return every.join(matched, "rec_id", "left").select("rec_id", "n_frames", F.coalesce("n_links", F.lit(0)).alias("n_links"), "m.query_id", "m.offset", "m.votes", "m.overlap", "m.bit_error")

@@ -112,6 +112,29 @@ def test_recordings_align(spark):
     assert chroma.fingerprints(df).where("n_frames = 0").count() == 4
 
 
+def test_alignments_match_brute_force(spark):
+    """At errors up to the most allowed and overlaps down to the least."""
+    rng = np.random.default_rng(7)
+    queries = [(k, rng.integers(0, 2**32, n, dtype=np.uint32)) for k, n in enumerate((20, 40, 86, 90, 200, 86))]
+    recs = []
+    for k, q in queries:
+        for error in (0.0, 0.05, 0.1, 0.15, 0.2, 0.22, 0.25):
+            for cut in (0, len(q) // 2, len(q) - 31):
+                part = q[max(cut, 0) :] ^ np.packbits(rng.random((len(q) - max(cut, 0), 32)) < error, axis=1).view(np.uint32).ravel()
+                recs.append((100 + len(recs), np.concatenate([part, rng.integers(0, 2**32, int(rng.integers(0, 80)), dtype=np.uint32)])))
+
+    def brute(a, b):
+        least = min(max(min(len(a), len(b)) // 2, 16), 32)
+        found = [(n * 32 * (1 - 2 * e), -o, e) for o in range(-len(a), len(b)) for e, n in [chroma._bit_error(a, b, o)] if n >= least and e <= 0.22]
+        return -max(found)[1] if found else None
+
+    want = {(i, j, o) for i, a in queries for j, b in recs if (o := brute(a, b)) is not None}
+    frame = lambda rows: spark.createDataFrame([(i, bytearray(p.tobytes())) for i, p in rows], "rec_id long, print binary")
+    got = chroma.align(frame(recs), frame(queries)).collect()
+    assert len(want) > 60 and {(r["query_id"], r["rec_id"], r["offset"]) for r in got} == want
+    assert max(r["bit_error"] for r in got) > 0.18
+
+
 def test_vectors_alike_sound_alike(spark):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(30, 64)) / 8
