@@ -221,17 +221,53 @@ def align(recordings: DataFrame, queries: DataFrame, most_errors: float = 0.22,
 
 
 def match_recordings(recordings: DataFrame, is_query: Column) -> DataFrame:
-    """Each recording's place among those that meet the condition ``is_query``.
-
-    All ``recordings`` (rec_id, audio) are fingerprinted once. Returns one row for each
-    rec_id: rec_id, n_frames (of its fingerprint), n_links (queries it aligns with, not
-    itself), and query_id, offset, votes, overlap and bit_error of the best alignment, null
-    where there is none. Rows of one rec_id count as one recording: the most links and the
-    best alignment of any; rows without rec_id are left out.
+    """All alignments of recordings with those that meet the condition ``is_query``.
+
+    All ``recordings`` (rec_id, audio) are fingerprinted once. Equal fingerprints of LEAST
+    frames or more are one class, named by its smallest rec_id (class_id), and only classes
+    are aligned, so the result doesn't grow with the square of a group of copies. Returns
+    rec_id, n_frames (of its fingerprint), class_id, n_links (queries it aligns with, not
+    itself), and query_id, query_class, offset, votes, overlap and bit_error of an
+    alignment, in these rows:
+
+    - for the recording that names a class, a row for each class of queries that it aligns
+      with; query_id is the smallest query of that class;
+    - for each recording with a query in its own class, a row with the smallest (not itself);
+    - for any other recording one row without alignment.
+
+    A member aligns with what its class's rows name, and with all members of query_class.
+    Repeated rows count once; rows without rec_id are left out; different audio under one
+    rec_id counts as different recordings.
     """
-    prints = stage(fingerprints(recordings), "fingerprints")
-    found = align(prints, prints.where(is_query))
-    choice = F.min(F.struct("bit_error", "query_id", "offset", "votes", F.col("n_frames").alias("overlap")))
-    matched = found.groupBy("rec_id").agg(F.count_distinct("query_id").alias("n_links"), choice.alias("m"))
-    every = prints.groupBy("rec_id").agg(F.max("n_frames").alias("n_frames"))
-    return every.join(matched, "rec_id", "left").select("rec_id", "n_frames", F.coalesce("n_links", F.lit(0)).alias("n_links"), "m.query_id", "m.offset", "m.votes", "m.overlap", "m.bit_error")
+    prints = stage(fingerprints(recordings).withColumn("key", F.when(F.col("n_frames") >= LEAST, F.sha2("print", 256))), "fingerprints")
+    members = prints.select("rec_id", "n_frames", F.coalesce(is_query, F.lit(False)).alias("q"), "key").distinct()
+    asks = F.when(F.col("q"), F.col("rec_id"))
+    classes = members.where("key is not null").groupBy("key").agg(F.min("rec_id").alias("class_id"), F.count(asks).alias("asking"), F.min(asks).alias("first"))
+    # the first query's own row needs the second
+    second = members.where("q").join(classes.where("asking > 1").select("key", "first"), "key").where("rec_id <> first").groupBy("key").agg(F.min("rec_id").alias("second"))
+    classes = stage(classes.join(second, "key", "left"), "classes")
+    distinct = stage(prints.where("key is not null").groupBy("key").agg(F.first("print").alias("print")).withColumnRenamed("key", "rec_id"), "prints")
+    asked = distinct.join(classes.where("asking > 0").select(F.col("key").alias("rec_id")), "rec_id", "left_semi")
+    query = classes.select(F.col("key").alias("query_id"), F.col("class_id").alias("query_class"), F.col("first").alias("query"), F.col("asking").alias("n"))
+    found = align(distinct, asked).join(query, "query_id").select(F.col("rec_id").alias("key"), "query_class", "query", "n", "offset", "votes", F.col("n_frames").alias("overlap"), "bit_error")
+    found = stage(found, "alignments")
+    others = found.groupBy("key").agg(F.sum("n").alias("others"))
+    every = members.join(classes, "key", "left").join(others, "key", "left")
+    own = F.when(F.col("rec_id") == F.col("first"), F.col("second")).otherwise(F.col("first"))
+    links = F.coalesce("asking", F.lit(0)) - F.when(F.col("q") & F.col("key").isNotNull(), 1).otherwise(0) + F.coalesce("others", F.lit(0))
+    every = every.select("rec_id", "n_frames", "key", F.coalesce("class_id", "rec_id").alias("class_id"), links.alias("n_links"), own.alias("own"), F.coalesce(F.col("others").isNotNull() & (F.col("rec_id") == F.col("class_id")), F.lit(False)).alias("names"))
+    every = stage(every, "members")
+    base = ["rec_id", "n_frames", "class_id", "n_links"]
+    linked = every.where("names").join(found, "key").select(*base, F.col("query").alias("query_id"), "query_class", "offset", "votes", "overlap", "bit_error")
+    has = F.col("own").isNotNull()
+    at = lambda value: F.when(has, value)
+    alone = every.where(has | ~F.col("names")).select(
+        *base,
+        F.col("own").alias("query_id"),
+        at(F.col("class_id")).alias("query_class"),
+        at(F.lit(0).cast("long")).alias("offset"),
+        at(F.col("n_frames")).alias("votes"),
+        at(F.col("n_frames")).alias("overlap"),
+        at(F.lit(0.0)).alias("bit_error"),
+    )
+    return linked.unionByName(alone)

@@ -135,6 +135,21 @@ def test_alignments_match_brute_force(spark):
     assert max(r["bit_error"] for r in got) > 0.18
 
 
+def test_all_partners_of_a_recording_are_named(spark):
+    rng = random.Random(6)
+    parts = [[rng.randrange(12) for _ in range(40)] for _ in range(3)]
+    whole = tone(parts[0] + parts[1] + parts[2])
+    recs = [(k + 1, tone(p)) for k, p in enumerate(parts)] + [(7, tone(parts[1])), (10, whole), (11, whole), (12, whole), (13, None)]
+    df = spark.createDataFrame(recs, "rec_id long, audio binary")
+    out = chroma.match_recordings(df, F.col("rec_id") < 10).collect()
+    links = sorted((r["query_id"], r["offset"], r["query_class"], r["n_links"]) for r in out if r["rec_id"] == 10)
+    assert [(q, c, n) for q, _, c, n in links] == [(1, 1, 4), (2, 2, 4), (3, 3, 4)]
+    assert all(abs(o - 125 * k) <= 1 for k, (_, o, _, _) in enumerate(links))
+    rest = {r["rec_id"]: (r["class_id"], r["n_links"], r["query_id"]) for r in out if r["rec_id"] in (2, 7, 11, 12, 13)}
+    assert rest == {2: (2, 1, 7), 7: (2, 1, 2), 11: (10, 4, None), 12: (10, 4, None), 13: (13, 0, None)}
+    assert len(out) == 10
+
+
 def test_vectors_alike_sound_alike(spark):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(30, 64)) / 8
