@@ -4,23 +4,46 @@ from __future__ import annotations
 
 import hashlib
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from typing import BinaryIO
 
+import pandas as pd
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.sources.tables import write_tables
 
 WEEK = 7 * 24 * 3600
-#: Files over this are known by name, length and time instead of their bytes.
-WHOLE = 2_000_000_000
+#: Files over this are hashed in chunks as they are read; smaller ones are rows.
+WHOLE = 100_000_000
+CHUNK = 1 << 22
+
+
+def _open(path: str) -> BinaryIO:
+    if path.startswith("file:"):
+        return open("/" + path.removeprefix("file:").lstrip("/"), "rb")
+    system, inside = pyarrow.fs.FileSystem.from_uri(path)
+    return system.open_input_stream(inside)
 
 
 def file_digests(spark: SparkSession, folder: str, suffix: str = ".parquet") -> DataFrame:
-    """name and digest of each file of a folder, hashed where it is read."""
+    """name and SHA-256 of the bytes of each file of a folder, hashed where it is read."""
+
+    def streamed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            digests = []
+            for path in b["path"]:
+                digest = hashlib.sha256()
+                with _open(path) as f:
+                    while chunk := f.read(CHUNK):
+                        digest.update(chunk)
+                digests.append(digest.hexdigest())
+            yield pd.DataFrame({"name": b["name"], "digest": digests})
+
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder)
     name = F.element_at(F.split("path", "/"), -1)
-    large = files.where(F.col("length") > WHOLE).select(name.alias("name"), F.sha2(F.concat_ws("|", "length", "modificationTime"), 256).alias("digest"))
+    large = files.where(F.col("length") > WHOLE).select("path", name.alias("name")).mapInPandas(streamed, "name string, digest string")
     return files.where(F.col("length") <= WHOLE).select(name.alias("name"), F.sha2("content", 256).alias("digest")).unionByName(large)
 
 

@@ -1,3 +1,6 @@
+import hashlib
+import os
+
 import pytest
 from conftest import rows
 
@@ -58,6 +61,20 @@ def test_fingerprint_follows_names_bytes_and_settings(spark, tmp_path):
     assert reuse.fingerprint(spark, str(d), "s") != renamed
 
 
+def test_large_files_are_known_by_their_bytes(spark, tmp_path, monkeypatch):
+    (tmp_path / "a b.parquet").write_bytes(b"first bytes")
+    (tmp_path / "c.parquet").write_bytes(b"1")
+    digests = lambda: rows(reuse.file_digests(spark, str(tmp_path)), "name", "digest")
+    whole, key = digests(), reuse.fingerprint(spark, str(tmp_path), "s")
+    monkeypatch.setattr(reuse, "WHOLE", 5)
+    assert digests() == whole == [(n, hashlib.sha256(b).hexdigest()) for n, b in (("a b.parquet", b"first bytes"), ("c.parquet", b"1"))]
+    os.utime(tmp_path / "a b.parquet", (1, 1))
+    assert reuse.fingerprint(spark, str(tmp_path), "s") == key
+    (tmp_path / "a b.parquet").write_bytes(b"other bytes")
+    os.utime(tmp_path / "a b.parquet", (1, 1))
+    assert reuse.fingerprint(spark, str(tmp_path), "s") != key
+
+
 def test_build_is_reused(spark, tmp_path):
     calls = []
 
