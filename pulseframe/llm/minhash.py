@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.llm.components import components
@@ -273,7 +273,14 @@ def _components(members: DataFrame, sets: DataFrame, percent: int, rounds: int)
 
 
 def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that no smaller doc_id near-duplicates, one for each doc_id, unchanged."""
-    kept = near_duplicates(docs, width, percent).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    return docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+    """One row of each group of near duplicates in ``docs``, unchanged: that of the smallest doc_id, one without only if all are.
+
+    Rows are told apart by a number of their own, not by doc_id, so rows without doc_id and
+    different texts under one are documents like any other. A row without words is in no
+    group and stays.
+    """
+    order = [F.col("doc_id").cast("long").asc_nulls_last(), F.xxhash64("text"), F.col("_at")]
+    laid = docs.withColumn("_at", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = stage(laid.drop("_at").withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    kept = near_duplicates(numbered.select(F.col("_row").alias("doc_id"), "text"), width, percent).where("kept").select(F.col("doc_id").alias("_row"))
+    return numbered.join(kept, "_row", "left_semi").select(*docs.columns)

@@ -83,6 +83,12 @@ def test_one_of_each_group_stays(spark):
     assert sorted(tuple(r) for r in kept.collect()) == [(2, "a b c d e f", "y", 2), (5, None, None, None)]
 
 
+def test_rows_without_or_with_equal_ids_stay(spark):
+    docs = [(None, "only here of all the rows"), (None, "two rows say this much"), (None, "two rows say this much"), (None, "a b c d e f"), (4, "a b c d e f"), (3, "A b c d e f"), (7, "one text of seven here"), (7, "another of seven over there"), (None, None)]
+    kept = minhash.keep_first(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, [docs[0], docs[1], docs[5], docs[6], docs[7], docs[8]]))
+
+
 def test_signature_estimates_similarity():
     rng = np.random.default_rng(0)
     pool = rng.integers(0, 2**63, 3000, dtype=np.uint64)
