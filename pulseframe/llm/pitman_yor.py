@@ -36,6 +36,8 @@ STEP = 250_000
 #: Counts up to this are drawn exactly; for larger ones Stirling numbers are scaled from it, and
 #: tables drawn from a grid of so many points.
 EXACT, GRID = 100, 256
+#: Draws that settle the words' tables from one each.
+SETTLE = 20
 END, BEGIN = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
 #: What the phases hand on: packed arrays, for a bucket or a block.
 SCHEMA = "kind string, bucket long, block long, a binary, b binary, c binary, d binary, total double, extra double"
@@ -319,8 +321,28 @@ class Level:
         return (numerator + (self.strength + self.discount * self.tables) / self.words) / (self.strength + self.customers)
 
 
-def seat_words(rows: DataFrame, last: bool, level: Level, seed: int) -> DataFrame:
-    """The parent's seating, a bucket of words at a time.
+def words_seen(customers: DataFrame) -> tuple[float, float]:
+    """Words with one and with two customers (``single`` and ``multi`` together)."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        words, inverse = np.unique(np.concatenate([unpack(x) for x in group["a"]]), return_inverse=True)
+        c = np.bincount(inverse, np.concatenate([read(x, np.float32) for x in group["b"]]), len(words))
+        return pd.DataFrame({"once": [float((c == 1).sum())], "twice": [float((c == 2).sum())], "words": [float(len(words))]})
+
+    found = customers.groupBy("bucket").applyInPandas(run, "once double, twice double, words double")
+    return tuple(found.agg(*[F.coalesce(F.sum(x), F.lit(0.0)) for x in ("once", "twice", "words")]).first())
+
+
+def discount_of(once: float, twice: float) -> float:
+    return float(np.clip(once / max(once + 2 * twice, 1), 0.1, 0.9))
+
+
+def seat_words(rows: DataFrame, first: bool, last: bool, level: Level, sweeps: int, samples: int, seed: int) -> DataFrame:
+    """The parent's seating, a bucket of words at a time: ``sweeps`` draws to settle, SETTLE at first, then the mean of ``samples``.
+
+    Tables carry on from the pass before (``root``) and from draw to draw; so does the total,
+    for which the tables of other buckets (``level`` has the sum) are taken to change as
+    the bucket's own. In the first pass there is one table for each word.
 
     ``rows``: ``words`` (hash and training count), ``single`` and ``multi`` customers, and
     in the last pass ``contexts`` (customers and tables by context) and ``ask``. Answers
@@ -336,15 +358,25 @@ def seat_words(rows: DataFrame, last: bool, level: Level, seed: int) -> DataFram
         both = [x for v in lists.values() for x in v]
         words, inverse = np.unique(np.concatenate([np.zeros(0, np.uint64), *[w for _, w, _ in both]]), return_inverse=True)
         mean = np.bincount(inverse, np.concatenate([np.zeros(0), *[n for *_, n in both]]), len(words))
-        c, runs = np.rint(mean).astype(np.int64), 5
-        t = np.minimum(mean, 1.0)
-        if level.tables:
-            p = np.full(len(c), 1 / level.words)
-            # each draw against the totals of the pass before; their mean is what predicts
-            t = np.mean([draw_tables(rng, c, np.maximum(level.tables - t, 0), p, level.discount, level.strength) for _ in range(runs)], axis=0)
+        c = np.rint(mean).astype(np.int64)
+        now, t = np.minimum(mean, 1.0), np.zeros(len(words))
+        if "root" in kinds and len(words):
+            held = kinds["root"].iloc[0]
+            keys, tables = unpack(held["a"]), read(held["b"], np.float32)
+            k = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
+            now = np.where(keys[k] == words, np.minimum(tables[k], np.maximum(c, 1)), now)
+        if len(words):
+            began, p = now.sum(), np.full(len(c), 1 / level.words)
+            burn = max(sweeps, SETTLE) if first else sweeps
+            for k in range(burn + samples):
+                total = max(level.tables, began) * now.sum() / began
+                now = draw_tables(rng, c, np.maximum(total - now, 0), p, level.discount, level.strength).astype(np.float64)
+                t += (k >= burn) * now / samples
         numerator = mean - level.discount * t
         out = [_row("seated", bucket, -1, total=t.sum(), extra=mean.sum())]
-        if not level.tables and lists.get("single"):
+        if not last:
+            out.append(_row("root", bucket, -1, pack(words), now.astype(np.float32), total=now.sum()))
+        if first and lists.get("single"):
             once, place = np.unique(np.concatenate([w for _, w, _ in lists["single"]]), return_inverse=True)
             n = np.bincount(place, np.concatenate([n for *_, n in lists["single"]]), len(once))
             out.append(_row("single", bucket, -1, pack(once), n.astype(np.float32), total=n.sum()))
@@ -460,12 +492,13 @@ def score_blocks(rows: DataFrame, parent: Level, discount: float, strength: floa
     return rows.groupBy("block").applyInPandas(run, "id long, n_tokens long, n_known long, base_score double, score double")
 
 
-def score_documents(docs: DataFrame, held_out: Column, strength: float = 1.0, sweeps: int = 2, samples: int = 4, seed: int = 5) -> DataFrame:
+def score_documents(docs: DataFrame, held_out: Column, strength: float = 1.0, sweeps: int = 3, samples: int = 5, seed: int = 5) -> DataFrame:
     """log10 probabilities of all whole texts of ``docs`` (doc_id, text), learned from those not ``held_out``.
 
     Tokens are the words, A-Z as a-z, and one end for each text. Discounts follow from how
-    many pairs and words were seen once and twice. Two passes of ``sweeps`` settle the
-    seating, then the mean of ``samples`` draws predicts.
+    many pairs, and customers of words, were seen once and twice, for contexts and for words.
+    Two passes of ``sweeps`` settle the seating, of words before each and after, then the
+    mean of ``samples`` draws predicts.
 
     Returns one row for each input row: doc_id, n_tokens, n_known (seen in
     training), train_tokens, base_score (add-one unigrams), score. A null text is an empty
@@ -488,23 +521,28 @@ def score_documents(docs: DataFrame, held_out: Column, strength: float = 1.0, sw
     release(spark)
     kind = lambda df, *kinds: df.where(F.col("kind").isin(*kinds))
     n1, n2 = kind(merged, "state").agg(F.coalesce(F.sum("total"), F.lit(0.0)), F.coalesce(F.sum("extra"), F.lit(0.0))).first()
-    discount = float(np.clip(n1 / max(n1 + 2 * n2, 1), 0.1, 0.9))
+    discount = discount_of(n1, n2)
     single, multi, tables = kind(merged, "single"), kind(merged, "multi"), None
     hot_totals: dict[int, tuple[float, float]] = {int(h): (0.0, 0.0) for h in hot}
-    root_tables = 0.0
+    *seen, root_state = words_seen(kind(merged, "single", "multi"))
+    root_discount = discount_of(*seen)
     for step in range(3):
         last = step == 2
         words_in = single.unionByName(multi)
         if last:
             words_in = words_in.unionByName(words).unionByName(kind(seated, "contexts")).unionByName(kind(blocks, "ask"))
-        served = stage(seat_words(words_in, last, Level(discount, strength, 0.0, root_tables, distinct + 1), seed + step), "served", "zstd")
+        if step:
+            words_in = words_in.unionByName(root)
+        served = stage(seat_words(words_in, not step, last, Level(root_discount, strength, 0.0, root_state, distinct + 1), sweeps, samples, seed + step), "served", "zstd")
         if not step:
             single = kind(served, "single")
         root_tables, customers = kind(served, "seated").agg(F.coalesce(F.sum("total"), F.lit(0.0)), F.coalesce(F.sum("extra"), F.lit(0.0))).first()
-        level = Level(discount, strength, customers, root_tables, distinct + 1)
+        level = Level(root_discount, strength, customers, root_tables, distinct + 1)
         release(spark)
         if last:
             break
+        root = kind(served, "root")
+        root_state = root.agg(F.coalesce(F.sum("total"), F.lit(0.0))).first()[0]
         pairs_in = kind(merged, "state", "many", *["where"] * (step == 1)).unionByName(kind(served, "served"))
         if tables is not None:
             pairs_in = pairs_in.unionByName(tables)

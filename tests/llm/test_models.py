@@ -103,6 +103,29 @@ def test_language_model_of_odd_rows(spark):
     assert (untrained["train_tokens"], untrained["n_known"], untrained["score"], untrained["base_score"]) == (0, 0, 0.0, 0.0)
 
 
+def test_root_tables_settle(spark):
+    """From one table each, the mean tables of words come to that of a long chain."""
+    d, n = 0.6, 300
+    c = np.random.default_rng(3).integers(1, 60, n)
+    words = np.sort(np.random.default_rng(4).integers(0, 2**63, n, dtype=np.uint64)) >> np.uint64(24) << np.uint64(24)
+    rng, t, chain = np.random.default_rng(5), np.ones(n), []
+    for _ in range(60):
+        t = pitman_yor.draw_tables(rng, c, t.sum() - t, np.full(n, 1 / (n + 1)), d, 1.0).astype(float)
+        chain.append(t.sum())
+    rows = spark.createDataFrame(pitman_yor._frame([pitman_yor._row("multi", 0, 0, pitman_yor.pack(words), c.astype(np.float32))]), pitman_yor.SCHEMA)
+    out = pitman_yor.seat_words(rows, True, False, pitman_yor.Level(d, 1.0, 0.0, n, n + 1), 3, 5, 1).where("kind = 'seated'").first()
+    assert out["extra"] == c.sum()
+    assert out["total"] == pytest.approx(np.mean(chain[20:]), rel=0.08)
+    assert pitman_yor.words_seen(rows) == (float((c == 1).sum()), float((c == 2).sum()), float(n))
+
+
+def test_sweeps_and_samples_are_as_documented():
+    import inspect
+
+    given = inspect.signature(pitman_yor.score_documents).parameters
+    assert (given["sweeps"].default, given["samples"].default) == (3, 5)
+
+
 def test_tables_are_drawn_from_their_conditional():
     rng, d, s = np.random.default_rng(1), 0.6, 1.0
     c, others, p = np.full(40_000, 3), np.full(40_000, 2), np.full(40_000, 0.2)
