@@ -13,14 +13,31 @@ def prefix_digests(turns: DataFrame) -> DataFrame:
 
     A prefix's digest is the running XOR of two 64-bit hashes of (k, role, text): each
     turn enters with its place, so equal digests mean equal turns in equal order, and the
-    window needs one running value instead of the prefix itself.
+    window needs one running value instead of the prefix itself. Turns are laid out by
+    range and numbered and digested within each; what a conversation has in earlier ranges
+    (one row a range) is added, so a long conversation is spread over tasks.
     """
-    ordered = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    numbered = turns.select("conv_id", "turn", "role", "text").distinct().withColumn("k", F.row_number().over(ordered))
+    order = ["conv_id", "turn", "role", "text"]
+    laid = turns.select(*order).distinct().repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    laid = stage(laid, "chat-turns")
+    piece = ["_range", "conv_id"]
+    within = Window.partitionBy(*piece).orderBy("turn", "role", "text")
+    earlier = Window.partitionBy("conv_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+
+    def with_pieces(rows: DataFrame, pieces: DataFrame) -> DataFrame:
+        pieces = pieces.withColumnsRenamed({"_range": "_r", "conv_id": "_c"})
+        return rows.join(pieces, (F.col("_range") == F.col("_r")) & F.col("conv_id").eqNullSafe(F.col("_c"))).drop("_r", "_c")
+
+    sizes = laid.groupBy(*piece).agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.select(*piece, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n0"), F.sum("n").over(Window.partitionBy("conv_id")).alias("n_turns"))
+    numbered = with_pieces(laid, sizes).withColumn("k", (F.col("n0") + F.row_number().over(within)).cast("int")).drop("n0")
     parts = ["k", F.col("role").isNull(), "role", F.col("text").isNull(), "text"]
-    a, b = F.xxhash64(*parts), F.xxhash64(F.lit("second"), *parts)
-    run = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    return numbered.withColumns({"a": F.bit_xor(a).over(run), "b": F.bit_xor(b).over(run), "n_turns": F.max("k").over(Window.partitionBy("conv_id"))})
+    hashed = stage(numbered.withColumns({"a": F.xxhash64(*parts), "b": F.xxhash64(F.lit("second"), *parts)}), "chat-numbered")
+    before = hashed.groupBy(*piece).agg(F.bit_xor("a").alias("a0"), F.bit_xor("b").alias("b0"))
+    before = before.select(*piece, *[F.coalesce(F.bit_xor(x).over(earlier), F.lit(0)).alias(x) for x in ("a0", "b0")])
+    run = within.rowsBetween(Window.unboundedPreceding, 0)
+    chained = {x: F.bit_xor(x).over(run).bitwiseXOR(F.col(f"{x}0")) for x in ("a", "b")}
+    return with_pieces(hashed, before).withColumns(chained).select(*order, "k", "a", "b", F.col("n_turns").cast("int").alias("n_turns"))
 
 
 def render_conversations(turns: DataFrame, opening: str = "<|{role}|>\n", closing: str = "\n") -> DataFrame:

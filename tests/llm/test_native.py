@@ -129,6 +129,18 @@ def test_chat(spark):
     assert chat.render_conversations(spark.createDataFrame([], TURNS)).count() == 0
 
 
+def test_long_conversation_is_numbered_over_ranges(spark):
+    """One conversation and its prefix, of which the window of a whole conversation would make two tasks."""
+    turns = spark.range(3000).selectExpr("explode(array(1, null, 2)) conv_id", "id turn", "'u' role", "cast(id as string) text").where("conv_id <=> 1 or conv_id <=> null or turn < 1200")
+    out = chat.prefix_digests(turns.selectExpr("cast(conv_id as long) conv_id", "turn", "role", "text"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "_range" in plan
+    got = out.toPandas()
+    assert (got["k"] == got["turn"] + 1).all() and len(got) == 7200
+    assert got.groupby("k")[["a", "b"]].nunique().max().max() == 1 and got["a"].nunique() == 3000
+    assert set(got.loc[got["conv_id"] == 2, "n_turns"]) == {1200} and set(got.loc[got["conv_id"] != 2, "n_turns"]) == {3000}
+
+
 def test_chat_against_brute_force(spark):
     import random
 
