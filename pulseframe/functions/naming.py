@@ -15,6 +15,13 @@ def q(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def no_clash(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:
+    """Joined tables may share the key columns only."""
+    both = (set(left.columns) & set(right.columns)) - set(keys)
+    if both:
+        raise ValueError(f"both tables have the columns {sorted(both)}")
+
+
 @dataclass(frozen=True)
 class Feature:
     """A configured feature: the columns it gives by default, and keyword lists that multiply them."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.functions.keys import SENSOR_COLUMNS, unpack_ids
-from pulseframe.functions.naming import inverted, q
+from pulseframe.functions.naming import inverted, no_clash, q
 
 
 def with_sensor_ids(features: DataFrame) -> DataFrame:
@@ -21,7 +21,10 @@ def with_coordinates(features: DataFrame, geometry: DataFrame) -> DataFrame:
     """Each sensor row with x, y, z, null where the geometry lacks the sensor.
 
     The geometry joins as Spark finds best: broadcast while under the session's threshold.
+    A sensor that the geometry lists several times comes once for each; columns x, y or z
+    in ``features`` are an error.
     """
+    no_clash(features, geometry.select("x", "y", "z"), ())
     return features.join(geometry.select(*[q(c).cast("int").alias(c) for c in SENSOR_COLUMNS], "x", "y", "z"), list(SENSOR_COLUMNS), "left")
 
 

@@ -16,7 +16,8 @@ def prefix_sums(rows: DataFrame, order: list[Column], value: str, name: str) ->
     row a range) become offsets, and the rest is a window within each range. ``order``
     should end in a unique column, so that no range can outgrow a task; rows equal in all
     of it are ordered arbitrarily, which their own columns can't show. ``value`` must not
-    be null.
+    be null. ``rows`` is evaluated twice (ranges are sampled first), so a costly one should
+    be staged; the result reads only the laid-out table.
     """
     laid = stage(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), name)
     ranges = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

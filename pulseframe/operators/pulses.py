@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulseframe.functions.naming import Feature, q, vector_map
+from pulseframe.functions.naming import Feature, no_clash, q, vector_map
 
 #: Charges add up as decimals: double sums depend on the order.
 CHARGE = "decimal(12,2)"
@@ -18,14 +18,15 @@ def select_series(pulses: DataFrame, key: str) -> DataFrame:
 
 
 def exclude_sensors(pulses: DataFrame, bad: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Without the pulses of listed sensors."""
+    """Without the pulses of listed sensors; a sensor with a missing id part is never listed."""
     return pulses.join(bad.select(*columns).distinct(), list(columns), "left_anti")
 
 
 def exclude_windows(pulses: DataFrame, windows: DataFrame, columns: Sequence[str], partial: bool = True) -> DataFrame:
     """Without the pulses in a window start <= time < end of their event and sensor.
 
-    Not ``partial``: without all pulses of such an event and sensor.
+    Not ``partial``: without all pulses of such an event and sensor. A window with a missing
+    id part excludes nothing.
     """
     w = windows.select(*[q(c).alias(f"_{c}") for c in columns], F.col("start").alias("_start"), F.col("end").alias("_end"))
     same = [q(c) == q(f"_{c}") for c in columns]
@@ -37,13 +38,18 @@ def exclude_windows(pulses: DataFrame, windows: DataFrame, columns: Sequence[str
 def shift_by_mean_time(pulses: DataFrame, event_columns: Sequence[str], origin: int = 0) -> DataFrame:
     """Times less the event's charge-weighted mean time, rounded; without charge they stay.
 
-    ``origin`` is subtracted before multiplying, so that the decimal product stays short.
+    A missing id part is a value like any other, as in composite keys, so events with one
+    keep their pulses. Pulses without time or charge are left out. ``origin`` is subtracted
+    before multiplying, so that the decimal product stays short.
     """
     known = pulses.where("time is not null and charge is not null")
     charge = F.col("charge").cast(CHARGE)
-    mean = known.groupBy(*event_columns).agg(F.sum(charge).alias("_q"), F.sum(charge * (F.col("time") - F.lit(origin)).cast("decimal(20,0)")).alias("_qt"))
+    ids = {c: f"_shift_{k}" for k, c in enumerate(event_columns)}
+    mean = known.groupBy(*[q(c).alias(i) for c, i in ids.items()]).agg(F.sum(charge).alias("_q"), F.sum(charge * (F.col("time") - F.lit(origin)).cast("decimal(20,0)")).alias("_qt"))
     shift = F.when(F.col("_q") != 0, F.round(F.col("_qt").cast("double") / F.col("_q").cast("double")).cast("bigint") + F.lit(origin)).otherwise(F.lit(0))
-    return known.join(mean.select(*event_columns, shift.alias("_shift")), list(event_columns)).withColumn("time", F.col("time") - F.col("_shift")).drop("_shift")
+    shifts = mean.select(*ids.values(), shift.alias("_shift"))
+    same = [q(c).eqNullSafe(F.col(i)) for c, i in ids.items()]
+    return known.join(shifts, same).withColumn("time", F.col("time") - F.col("_shift")).select(*[q(c) for c in pulses.columns])
 
 
 def _ordered(keys: Sequence[str]) -> tuple:
@@ -114,7 +120,12 @@ def sensor_features(pulses: DataFrame, features: Sequence[Feature], keys: Sequen
 
 
 def attach_labels(events: DataFrame, labels: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Precomputed labels of each event, null where there are none."""
+    """Precomputed labels of each event, null where there are none.
+
+    Events with several label rows come once for each; a label named like a column of
+    ``events`` is an error. A missing id part matches nothing.
+    """
+    no_clash(events, labels, columns)
     return events.join(labels, list(columns), "left")
 
 

@@ -14,9 +14,10 @@ from pulseframe.functions.naming import q
 def pivot_first(features: DataFrame, positions: int) -> DataFrame:
     """One row for each event and sensor, a column for each position, named 0, 1, ...
 
-    A cell is the first reading, by ``_ord``, that isn't missing; sensors without any
-    reading disappear; a position without any stays as nulls. Positions are given, so no
-    job looks for them.
+    A cell is the first reading, by ``_ord``, that isn't missing; ``_ord`` should tell a
+    cell's readings apart, as ``read_table`` makes it, for of equal ones any may be taken.
+    Sensors without any reading disappear; a position without any stays as nulls. Positions
+    are given, so no job looks for them.
     """
     wide = features.where(F.col("item").isNotNull()).groupBy("event_id", "dom_id").pivot("vector_index", list(range(positions))).agg(F.min_by("item", "_ord"))
     return wide.select("event_id", "dom_id", *[q(str(k)) for k in range(positions)])

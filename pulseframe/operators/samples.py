@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.functions.keys import unpack_ids
 from pulseframe.functions.naming import q
 
 
+#: A stored training table.
+TRAINING = "idx bigint, event_id string, dom_ids array<struct<string:int,om:int,pmt:int>>, features array<array<float>>, labels array<float>, split string"
+
+
 class EventsWithoutFeaturesError(ValueError):
     """Strict assembly met events that no sensor has features for."""
 
@@ -21,9 +25,9 @@ def project_labels(truth: DataFrame, labels: Sequence[str]) -> DataFrame:
 
 
 def labels_last_wins(truth: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """One row for each event: its labels in the last row by ``_ord``, even if missing there."""
-    last = truth.groupBy("event_id").agg(F.max_by(F.struct(*[q(c) for c in labels]), "_ord").alias("_l"))
-    return last.select("event_id", *[F.col("_l").getField(c).alias(c) for c in labels])
+    """One row for each event: its labels in the last row by ``_ord``, even if missing there; of equal ``_ord`` the largest labels."""
+    last = truth.groupBy("event_id").agg(F.max(F.struct("_ord", F.struct(*[q(c).alias(f"l{k}") for k, c in enumerate(labels)]).alias("l")))["l"].alias("_l"))
+    return last.select("event_id", *[F.col("_l").getField(f"l{k}").alias(c) for k, c in enumerate(labels)])
 
 
 def join_features(truth: DataFrame, features: DataFrame) -> DataFrame:
@@ -68,5 +72,16 @@ def training_table(indexed: DataFrame, truth: DataFrame, features: DataFrame, na
     return indexed.select("split", "idx", "event_id").join(last, "event_id").join(event_matrices(features, names), "event_id").select("split", "idx", "event_id", "dom_ids", "features", "labels")
 
 
+def write_training(training: DataFrame, folder: str) -> None:
+    """The hand-off to a trainer: Parquet by split, each split's files in the order of its samples."""
+    laid = training.repartitionByRange("split", "idx").sortWithinPartitions("split", "idx")
+    laid.write.mode("overwrite").partitionBy("split").parquet(folder)
+
+
+def read_training(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(TRAINING).parquet(folder)
+
+
 def one_sample(training: DataFrame, split: str, idx: int) -> DataFrame:
+    """The sample at a place of its split; from a stored table only files that may hold it are read."""
     return training.where((F.col("split") == split) & (F.col("idx") == idx))

@@ -1,50 +1,129 @@
-"""The whole way from readings and truth to training tables."""
+"""The whole way from stored inputs to training tables."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import hashlib
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pulseframe.functions.keys import EVENT_COLUMNS, SENSOR_COLUMNS
 from pulseframe.functions.naming import Feature, vector_map
+from pulseframe.operators.geometry import feature_profile
 from pulseframe.operators.reshape import reshape_features, reshape_truth
-from pulseframe.operators.samples import training_table
+from pulseframe.operators.samples import event_features, one_sample, read_training, training_table, write_training
 from pulseframe.operators.splits import PREDICATES, sample_index, split_all
-from pulseframe.sources.reuse import build_or_reuse, fingerprint
-from pulseframe.sources.tables import read_features
+from pulseframe.sources.reuse import build_or_reuse, fingerprint, fingerprint_of, reuse_or_write
+from pulseframe.sources.tables import read_features, read_geometry, read_table
+
+Tables = Mapping[str, DataFrame]
+#: Reads named inputs (a folder or file each) and gives at least ``features`` (long readings) and ``truth``; other tables are stored beside them.
+Extractor = Callable[[SparkSession, Mapping[str, str]], Tables]
 
 
 @dataclass(frozen=True)
 class Settings:
-    """What shapes the derived tables; predicates don't, so they aren't part of the fingerprint."""
+    """What shapes the derived tables, and the splits drawn from them.
+
+    ``recipe`` names what the extractor and the converter do, with their own settings: it
+    is part of the fingerprint, so change it when they change. Predicates and labels only
+    shape the training table, which has a fingerprint of its own.
+    """
 
     features: Sequence[Feature]
     labels: Sequence[str]
     predicates: Mapping[str, str] = field(default_factory=lambda: dict(PREDICATES))
     event_columns: Sequence[str] = EVENT_COLUMNS
     sensor_columns: Sequence[str] = SENSOR_COLUMNS
+    recipe: str = ""
 
     @property
     def names(self) -> list[str]:
         return vector_map(self.features)
 
     def shaping(self) -> str:
-        return repr((self.names, list(self.event_columns), list(self.sensor_columns)))
+        return repr((self.names, list(self.event_columns), list(self.sensor_columns), self.recipe))
+
+    def drawing(self, strict: bool) -> str:
+        return repr((list(self.predicates.items()), list(self.labels), strict))
+
+
+def read_inputs(spark: SparkSession, inputs: Mapping[str, str]) -> Tables:
+    """Every input as it is, in the order of its files."""
+    return {name: read_geometry(spark, path) if name == "geometry" else read_table(spark, path) for name, path in inputs.items()}
 
 
-def convert(readings: DataFrame, truth: DataFrame, settings: Settings) -> dict[str, DataFrame]:
-    """Wide named features and keyed truth."""
+def convert(tables: Tables, settings: Settings) -> dict[str, DataFrame]:
+    """Wide named features and keyed truth; other tables as they are."""
     return {
-        "features": reshape_features(readings, settings.names, settings.event_columns, settings.sensor_columns),
-        "truth": reshape_truth(truth, settings.event_columns),
+        **tables,
+        "features": reshape_features(tables["features"], settings.names, settings.event_columns, settings.sensor_columns),
+        "truth": reshape_truth(tables["truth"], settings.event_columns),
     }
 
 
-def build(spark: SparkSession, input_folder: str, root: str, readings: DataFrame, truth: DataFrame, settings: Settings, strict: bool = True) -> dict[str, DataFrame]:
-    """Convert, or reuse an earlier conversion of the same input, and give each split's samples."""
-    folder, _ = build_or_reuse(spark, root, fingerprint(spark, input_folder, settings.shaping()), lambda: convert(readings, truth, settings))
-    keyed = spark.read.parquet(f"{folder}/truth")
-    samples = training_table(sample_index(split_all(keyed, settings.predicates)), keyed, read_features(spark, f"{folder}/features", settings.names), settings.names, settings.labels, strict)
-    return {name: samples.where(samples["split"] == name) for name in settings.predicates}
+@dataclass(frozen=True)
+class Built:
+    """Stored tables and the training table drawn from them, read as they are asked for."""
+
+    spark: SparkSession
+    folder: str
+    training_folder: str
+    reused: bool
+    settings: Settings
+
+    def table(self, name: str) -> DataFrame:
+        """A stored table by name; of features the mapped columns in map order."""
+        path = f"{self.folder}/{name}"
+        return read_features(self.spark, path, self.settings.names) if name == "features" else self.spark.read.parquet(path)
+
+    @property
+    def training(self) -> DataFrame:
+        return read_training(self.spark, self.training_folder)
+
+    def split(self, name: str) -> DataFrame:
+        if name not in self.settings.predicates:
+            raise KeyError(name)
+        return self.training.where(F.col("split") == name)
+
+    def sample(self, split: str, idx: int) -> DataFrame:
+        return one_sample(self.training, split, idx)
+
+    def event(self, event_id: str) -> DataFrame:
+        return event_features(self.table("features"), event_id)
+
+    def profile(self, feature: str) -> DataFrame:
+        return feature_profile(self.table("features"), self.table("geometry"), feature, self.settings.names)
+
+
+def build(
+    spark: SparkSession,
+    inputs: Mapping[str, str],
+    root: str,
+    settings: Settings,
+    extractor: Extractor = read_inputs,
+    converter: Callable[[Tables, Settings], Tables] = convert,
+    strict: bool = True,
+    suffix: str = ".parquet",
+) -> Built:
+    """Extract and convert, or reuse an earlier conversion of the same input, then draw the splits' samples.
+
+    ``inputs`` are folders or files by name, all that the extractor may read: their files'
+    names and bytes make the fingerprint, with ``settings`` and the names of extractor and
+    converter, so tables never go with other input than they were made of. The training
+    table is stored by split in the order of its samples.
+    """
+    steps = [f"{f.__module__}.{f.__qualname__}" for f in (extractor, converter)]
+    parts = [f"{name}={fingerprint(spark, path, '', suffix)}" for name, path in sorted(inputs.items())]
+    key = fingerprint_of([*parts, *steps, settings.shaping()])
+    folder, reused = build_or_reuse(spark, root, key, lambda: converter(extractor(spark, inputs), settings))
+    drawn = f"training-{hashlib.sha256(settings.drawing(strict).encode()).hexdigest()}"
+
+    def draw(path: str) -> None:
+        truth = spark.read.parquet(f"{folder}/truth")
+        indexed = sample_index(split_all(truth, settings.predicates).select("split", "event_id", "_ord"))
+        write_training(training_table(indexed, truth, read_features(spark, f"{folder}/features", settings.names), settings.names, settings.labels, strict), path)
+
+    return Built(spark, folder, reuse_or_write(spark, f"{folder}/{drawn}", draw)[0], reused, settings)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.functions.naming import Feature
+from pulseframe.functions.keys import EVENT_COLUMNS, SENSOR_COLUMNS
+from pulseframe.functions.naming import Feature, q, vector_map
+from pulseframe.operators.pulses import select_series, sensor_features
 from pulseframe.sources.tables import nan_to_null
 
 SERIES, STREAM = "InIceDSTPulses", "InIceSplit"
@@ -68,3 +72,31 @@ def exclusion_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr("cast(1 as bigint) as Run", "o_orderkey as Event", "cast(0 as int) as SubEvent", f"'{STREAM}' as SubEventStream", "cast(substr(o_orderpriority, 1, 1) as int) as classification")
+
+
+def inputs(sf_dir: str) -> dict[str, str]:
+    """The tables that a build of these fixtures reads, by name."""
+    return {name: f"{sf_dir}/{name}.parquet" for name in ("events", "orders", "supplier")}
+
+
+def read_all(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
+    """An extractor: readings, truth and geometry from the tables named in ``inputs``."""
+    sf_dir = paths["events"].rpartition("/")[0]
+    return {"features": readings(spark, sf_dir), "truth": truth(spark, sf_dir), "geometry": geometry(spark, sf_dir)}
+
+
+def extract_all(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
+    """An extractor: the five outputs of an extraction, features summarised from pulses."""
+    sf_dir = paths["events"].rpartition("/")[0]
+    named = sensor_features(select_series(pulses(spark, sf_dir), SERIES), PULSE_FEATURES, [*EVENT_COLUMNS, *SENSOR_COLUMNS])
+    ids = [*EVENT_COLUMNS, *SENSOR_COLUMNS]
+    cells = F.posexplode(F.array(*[q(n) for n in vector_map(PULSE_FEATURES)])).alias("vector_index", "item")
+    energies = truth(spark, sf_dir).select(*EVENT_COLUMNS, "PrimaryNeutrinoEnergy")
+    return {
+        # a cell has one reading, so its position is order enough
+        "features": named.select(*ids, cells).withColumn("_ord", F.col("vector_index").cast("long")),
+        "truth": truth(spark, sf_dir),
+        "classification": classification(spark, sf_dir),
+        "entry_energy": energies.withColumn("energy", F.col("PrimaryNeutrinoEnergy") / 2).drop("PrimaryNeutrinoEnergy"),
+        "deposited_energy": energies.withColumn("energy", F.col("PrimaryNeutrinoEnergy") / 4).drop("PrimaryNeutrinoEnergy"),
+    }

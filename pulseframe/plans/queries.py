@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,9 @@ from pulseframe.functions import keys, naming
 from pulseframe.functions.keys import EVENT_COLUMNS, SENSOR_COLUMNS
 from pulseframe.functions.naming import q
 from pulseframe.operators import geometry, pulses, quality, reshape, samples, splits
+from pulseframe.operators.ordering import prefix_sums
 from pulseframe.plans import fixtures as fx
+from pulseframe.plans.build import Built, Settings, Tables, build, convert
 from pulseframe.sources import reuse, staging, tables
 
 NAMES = naming.vector_map(fx.READINGS)
@@ -163,14 +164,132 @@ def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _training(spark, sf_dir).select("split", "idx", "event_id", F.size("features").alias("n_sensors"), F.size(F.col("features")[0]).alias("n_features"), F.col("labels")[0].alias("label"))
 
 
+def _built(spark: SparkSession, sf_dir: str) -> Built:
+    """The stored tables of this input: built by the first query of a session that asks, reused by the others."""
+    settings = Settings(fx.READINGS, fx.LABELS, recipe="readings of events")
+    return build(spark, fx.inputs(sf_dir), staging.session_folder(spark, "builds"), settings, fx.read_all, strict=False)
+
+
 def one_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sample at a place of its split, by row of its matrix."""
-    one = samples.one_sample(_training(spark, sf_dir), "train", 3)
+    """The stored sample at a place of its split, by row of its matrix."""
+    one = _built(spark, sf_dir).sample("train", 3)
     return one.select("split", "idx", "event_id", F.posexplode("features").alias("r", "f")).select("split", "idx", "event_id", "r", F.col("f")[0].alias("level"))
 
 
 def event_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dotless(samples.event_features(_wide(spark, sf_dir), f"Run=1|Event=7|SubEvent=0|SubEventStream={fx.STREAM}"))
+    """One event's rows from the stored features."""
+    return _dotless(_built(spark, sf_dir).event(f"Run=1|Event=7|SubEvent=0|SubEventStream={fx.STREAM}"))
+
+
+def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every split's stored samples, from a build that finds its tables there."""
+    _built(spark, sf_dir)
+    built = _built(spark, sf_dir)
+    splits_ = [built.split(name).select("split", "idx", "event_id", F.col("labels")[0].alias("label")) for name in built.settings.predicates]
+    return splits_[0].unionByName(splits_[1]).unionByName(splits_[2]).withColumn("reused", F.lit(built.reused))
+
+
+def stored_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _built(spark, sf_dir).table("truth")
+
+
+def stored_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored feature by sensor with the stored geometry's positions."""
+    return _built(spark, sf_dir).profile("level")
+
+
+def _halved(tables_: Tables, settings: Settings) -> Tables:
+    """A converter of one's own: half the energies, and no geometry."""
+    truth = tables_["truth"].withColumn("PrimaryNeutrinoEnergy", F.col("PrimaryNeutrinoEnergy") / 2)
+    return convert({"features": tables_["features"], "truth": truth}, settings)
+
+
+def own_converter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settings = Settings(fx.READINGS, fx.LABELS, recipe="half of the energies")
+    built = build(spark, fx.inputs(sf_dir), staging.session_folder(spark, "builds"), settings, fx.read_all, _halved, strict=False)
+    return built.training.select("split", "idx", "event_id", F.size("features").alias("n_sensors"), F.col("labels")[0].alias("label"))
+
+
+def extraction_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five outputs of an extractor as a build stores them: output, event_id, sensor and feature if any, value."""
+    built = build(spark, fx.inputs(sf_dir), staging.session_folder(spark, "builds"), Settings(fx.PULSE_FEATURES, fx.LABELS, recipe="pulses of events"), fx.extract_all, strict=False)
+    long = reshape.long_form(built.table("features"), PULSE_NAMES)
+    parts = [long.select(F.lit("features").alias("output"), "event_id", "dom_id", "vector_index", F.col("item").alias("value"))]
+    for name, column in {"truth": "PrimaryNeutrinoEnergy", "classification": "classification", "entry_energy": "energy", "deposited_energy": "energy"}.items():
+        table = built.table(name)
+        table = table if "event_id" in table.columns else keys.with_event_key(table)
+        parts.append(table.select(F.lit(name).alias("output"), "event_id", F.lit(None).cast("string").alias("dom_id"), F.lit(None).cast("int").alias("vector_index"), F.col(column).cast("double").alias("value")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _placed(rows: DataFrame, name: str) -> DataFrame:
+    """Rows with their place in the order of ``_ord``."""
+    return prefix_sums(rows.withColumn("_one", F.lit(1)), [F.col("_ord")], "_one", name).drop("before", "_one", "_ord")
+
+
+def read_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders copied to files of 500 and read in the order of the files."""
+    folder = staging.new_folder(spark, "many-files")
+    fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").write.option("maxRecordsPerFile", 500).parquet(folder)
+    return _placed(tables.read_table(spark, folder), "many-files-order")
+
+
+def read_csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as text, which Spark cuts into pieces."""
+    folder = staging.new_folder(spark, "csv-files")
+    fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus").repartitionByRange(3, "o_orderkey").sortWithinPartitions("o_orderkey").write.option("header", True).csv(folder)
+    return _placed(tables.read_table(spark, folder, "csv", "o_orderkey bigint, o_orderstatus string"), "csv-order")
+
+
+def read_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of the catalog, ordered by a column of its own."""
+    fx.table(spark, sf_dir, "events").select("event_id", "user_id", "value").createOrReplaceTempView("pulseframe_events")
+    return tables.read_table(spark, "pulseframe_events", "table", order="event_id")
+
+
+def suffix_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only files with the suffix, of a folder that holds others."""
+    folder = staging.new_folder(spark, "suffixes")
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    for codec, rest in (("snappy", 0), ("gzip", 1)):
+        orders.where(F.col("o_orderkey") % 2 == rest).write.mode("append").option("compression", codec).parquet(folder)
+    return tables.read_table(spark, folder, suffix=".snappy.parquet", order="o_orderkey")
+
+
+def geometry_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = staging.new_folder(spark, "geometry")
+    tables.write_tables({"geometry": fx.geometry(spark, sf_dir)}, folder)
+    return tables.read_geometry(spark, f"{folder}/geometry")
+
+
+def concatenated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two selections one after the other, each in its order."""
+    truth = _truth(spark, sf_dir)
+    pieces = [splits.select_split(truth, p).select("event_id", "PrimaryNeutrinoEnergy", "_ord") for p in ("Event % 5 = 1", "Event % 5 = 0")]
+    return _placed(tables.concatenate(pieces), "concatenated")
+
+
+def fingerprint_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of text files of a thousand orders each."""
+    folder = staging.new_folder(spark, "digests")
+    lines = fx.table(spark, sf_dir, "orders").select(F.expr("o_orderkey div 1000").alias("part"), "o_orderkey", F.format_string("%d %s", "o_orderkey", "o_orderstatus").alias("value"))
+    lines.repartition("part").sortWithinPartitions("part", "o_orderkey").select("part", "value").write.partitionBy("part").text(folder)
+    return reuse.file_digests(spark, folder, ".txt").select("digest")
+
+
+def own_builder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feature kind of one's own beside a shipped one."""
+    count = naming.Feature("PulseCount", ("n_pulses",))
+    return pulses.sensor_features(_series(spark, sf_dir), [count, fx.PULSE_FEATURES[0]], ["Event", "string"], {"PulseCount": lambda f: [F.count(F.lit(1))]})
+
+
+def shift_with_missing_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shift where every third user has no number: they are one event."""
+    some = fx.pulses(spark, sf_dir).withColumn("Event", F.expr("if(Event % 3 = 0, null, Event)"))
+    return pulses.shift_by_mean_time(some, EVENT_COLUMNS, fx.ORIGIN).select("_ord", "Event", "time")
 
 
 def sensor_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,7 +372,7 @@ def file_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features written clustered by event, and read again with a column that the files lack."""
-    folder = f"{staging.shared_folder(spark)}/roundtrip-{uuid.uuid4().hex}"
+    folder = staging.new_folder(spark, "roundtrip")
     tables.write_tables({"features": _wide(spark, sf_dir)}, folder)
     return _dotless(tables.read_features(spark, f"{folder}/features", [*NAMES, "absent"]))
 
@@ -264,7 +383,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         sample_index, label_last_wins, label_projection, sample_join, events_without_features, duplicate_truth, unmapped_positions, bad_event_ids, event_matrix, sample_with_sensors,
         training_table, one_sample, event_point_lookup, sensor_coordinates, feature_profile, sensors_without_geometry, series_select, stream_select, exclude_sensors,
         exclude_windows_partial, exclude_windows_full, charge_weighted_shift, feature_vector_wide, feature_vector_long, classification_join, table_fingerprint, file_fingerprints,
-        parquet_roundtrip,
+        parquet_roundtrip, registry, stored_truth, stored_profile, own_converter, extraction_outputs, read_many_files, read_csv_files, read_by_name, suffix_filter, geometry_scan,
+        concatenated, fingerprint_files, own_builder, shift_with_missing_ids,
     ]
     named = {"total_charge": "TotalCharge", "first_pulse": "TFirstPulse", "charge_until_t": "ChargeUntilT", "t_spread": "TSpread", "time_at_percentile": "TimeAtChargePercentile"}
     return {f.__name__: f for f in plain} | {name: _feature(kind) for name, kind in named.items()}

@@ -51,6 +51,13 @@ def _share(p: float) -> str:
     return f"min(time) FILTER (WHERE running::double >= {p}::double * total::double)::double AS time_at_charge_percentile_{str(p).replace('.', 'p')}"
 
 
+def _shift(source: str) -> str:
+    return f"""means AS (
+  SELECT event, CASE WHEN sum(charge) <> 0 THEN round(sum(charge * (time - {ORIGIN})::decimal(20,0))::double / sum(charge)::double)::bigint + {ORIGIN} ELSE 0 END AS shift
+  FROM {source} WHERE time IS NOT NULL AND charge IS NOT NULL GROUP BY event)
+SELECT ord AS _ord, p.event AS "Event", time - shift AS time FROM {source} p JOIN means m ON p.event IS NOT DISTINCT FROM m.event WHERE time IS NOT NULL AND charge IS NOT NULL"""
+
+
 FEATURES = ", ".join(["sum(charge)::double AS total_charge", "min(time)::double AS t_first_pulse", *[_until(d) for d in (1, 3, 10)], "(max(time) - min(time))::double AS t_spread", *[_share(p) for p in (0.01, 0.5, 0.9)]])
 EXTRACTED = f"""{WINDOWS}, kept AS (
   SELECT * FROM pulses p WHERE series = 'InIceDSTPulses' AND string IS DISTINCT FROM 1
@@ -58,7 +65,7 @@ EXTRACTED = f"""{WINDOWS}, kept AS (
 means AS (
   SELECT event, CASE WHEN sum(charge) <> 0 THEN round(sum(charge * (time - {ORIGIN})::decimal(20,0))::double / sum(charge)::double)::bigint + {ORIGIN} ELSE 0 END AS shift
   FROM kept GROUP BY event),
-used AS (SELECT k.event, string, charge, ord, time - shift AS time FROM kept k JOIN means USING (event)), {SUMMED},
+used AS (SELECT k.event, string, charge, ord, time - shift AS time FROM kept k JOIN means m ON k.event IS NOT DISTINCT FROM m.event), {SUMMED},
 vectors AS (
   SELECT 'Run=1|Event=' || event || '|SubEvent=0|SubEventStream=InIceSplit' AS event_id, 'string=' || string || '|om=0|pmt=0' AS dom_id, {FEATURES}
   FROM summed GROUP BY event, string)"""
@@ -68,6 +75,11 @@ LINES = """lines AS (
          l_linenumber - 1 AS vector_index, l_quantity AS item, (l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) AS ord
   FROM lineitem)"""
 
+VECTORS = f"""{SERIES}, {SUMMED}, vectors AS (
+  SELECT 'Run=1|Event=' || event || '|SubEvent=0|SubEventStream=InIceSplit' AS event_id, 'string=' || string || '|om=0|pmt=0' AS dom_id, {FEATURES}
+  FROM summed GROUP BY event, string)"""
+KEYED = "'Run=1|Event=' || o_orderkey || '|SubEvent=0|SubEventStream=InIceSplit'"
+
 SQL = {
     "composite_key": f"WITH {READINGS} SELECT ord AS _ord, event_id, dom_id FROM readings",
     "unpack_key": f"WITH {READINGS} SELECT ord AS _ord, string, om, pmt, om::varchar AS om_text FROM readings",
@@ -104,10 +116,8 @@ SELECT split, idx, event_id, n_sensors, 3 AS n_features, "PrimaryNeutrinoEnergy"
     "exclude_sensors": f'WITH {PULSES} SELECT ord AS _ord, event AS "Event", string FROM pulses WHERE string IS DISTINCT FROM 1',
     "exclude_windows_partial": f'WITH {WINDOWS} SELECT ord AS _ord, event AS "Event", time FROM pulses p WHERE NOT EXISTS (SELECT 1 FROM windows w WHERE w.event = p.event AND w.string = p.string AND w.start <= p.time AND p.time < w.stop)',
     "exclude_windows_full": f'WITH {WINDOWS} SELECT ord AS _ord, event AS "Event", time FROM pulses p WHERE NOT EXISTS (SELECT 1 FROM windows w WHERE w.event = p.event AND w.string = p.string)',
-    "charge_weighted_shift": f"""WITH {PULSES}, means AS (
-  SELECT event, CASE WHEN sum(charge) <> 0 THEN round(sum(charge * (time - {ORIGIN})::decimal(20,0))::double / sum(charge)::double)::bigint + {ORIGIN} ELSE 0 END AS shift
-  FROM pulses WHERE time IS NOT NULL AND charge IS NOT NULL GROUP BY event)
-SELECT ord AS _ord, p.event AS "Event", time - shift AS time FROM pulses p JOIN means USING (event) WHERE time IS NOT NULL AND charge IS NOT NULL""",
+    "charge_weighted_shift": f"WITH {PULSES}, {_shift('pulses')}",
+    "shift_with_missing_ids": f"WITH {PULSES}, partly AS (SELECT * REPLACE (CASE WHEN event % 3 <> 0 THEN event END AS event) FROM pulses), {_shift('partly')}",
     "total_charge": f'WITH {SERIES} SELECT event AS "Event", string, sum(charge)::double AS total_charge FROM used GROUP BY ALL',
     "first_pulse": f'WITH {SERIES} SELECT event AS "Event", string, min(time)::double AS t_first_pulse FROM used GROUP BY ALL',
     "charge_until_t": f'WITH {SERIES}, {SUMMED} SELECT event AS "Event", string, {", ".join(_until(d) for d in (1, 3, 10))} FROM summed GROUP BY event, string',
@@ -118,6 +128,26 @@ SELECT ord AS _ord, p.event AS "Event", time - shift AS time FROM pulses p JOIN
     "classification_join": f"""WITH {SERIES}, summed AS (SELECT event, sum(charge)::double AS total_charge FROM used GROUP BY event)
 SELECT event AS "Event", total_charge, substr(o_orderpriority, 1, 1)::int AS classification FROM summed LEFT JOIN orders ON event = o_orderkey""",
     "table_fingerprint": "SELECT o_orderkey AS _ord, sha256('Event=' || o_orderkey || '|' || o_orderstatus) AS digest FROM orders",
+    "registry": f"""WITH {INDEXED}, {WIDE} SELECT split, idx, event_id, "PrimaryNeutrinoEnergy"::float AS label, true AS reused FROM indexed WHERE event_id IN (SELECT event_id FROM wide)""",
+    "stored_truth": f"WITH {TRUTH} SELECT * EXCLUDE (event) FROM truth",
+    "stored_profile": f"""WITH {WIDE}, ids AS (SELECT *, regexp_extract(dom_id, 'string=(\\d+)', 1)::int AS string, regexp_extract(dom_id, 'om=(\\d+)', 1)::int AS om FROM wide)
+SELECT event_id, dom_id, s_nationkey::double AS x, s_suppkey::double AS y, s_acctbal AS z, p0 AS value FROM ids LEFT JOIN supplier ON string = s_suppkey AND om = 0""",
+    "own_converter": f"""WITH {INDEXED}, {WIDE}, sized AS (SELECT event_id, count(*)::int AS n_sensors FROM wide GROUP BY event_id)
+SELECT split, idx, event_id, n_sensors, ("PrimaryNeutrinoEnergy" / 2)::float AS label FROM indexed JOIN sized USING (event_id)""",
+    "extraction_outputs": f"WITH {VECTORS} "
+    + " UNION ALL ".join(f"SELECT 'features' AS output, event_id, dom_id, {k} AS vector_index, {n} AS value FROM vectors" for k, n in enumerate(NAMES))
+    + "".join(
+        f" UNION ALL SELECT '{name}', {KEYED}, NULL, NULL, ({value})::double FROM orders"
+        for name, value in {"truth": "o_totalprice", "classification": "substr(o_orderpriority, 1, 1)::int", "entry_energy": "o_totalprice / 2", "deposited_energy": "o_totalprice / 4"}.items()
+    ),
+    "read_many_files": "SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS position FROM orders",
+    "read_csv_files": "SELECT o_orderkey, o_orderstatus, row_number() OVER (ORDER BY o_orderkey) - 1 AS position FROM orders",
+    "read_by_name": "SELECT event_id, user_id, value, event_id AS _ord FROM events",
+    "suffix_filter": "SELECT o_orderkey, o_custkey, o_orderkey AS _ord FROM orders WHERE o_orderkey % 2 = 0",
+    "geometry_scan": "SELECT s_suppkey::int AS string, 0 AS om, 0 AS pmt, s_nationkey::double AS x, s_suppkey::double AS y, s_acctbal AS z FROM supplier",
+    "concatenated": f"""WITH {TRUTH} SELECT event_id, "PrimaryNeutrinoEnergy", row_number() OVER (ORDER BY event % 5 DESC, _ord) - 1 AS position FROM truth WHERE event % 5 < 2""",
+    "fingerprint_files": "SELECT sha256(string_agg(o_orderkey || ' ' || o_orderstatus || chr(10), '' ORDER BY o_orderkey)) AS digest FROM orders GROUP BY o_orderkey // 1000",
+    "own_builder": f'WITH {SERIES} SELECT event AS "Event", string, count(*) AS n_pulses, sum(charge)::double AS total_charge FROM used GROUP BY ALL',
     "parquet_roundtrip": f"WITH {WIDE} SELECT event_id, dom_id, {NAMED}, NULL::double AS absent FROM wide",
 }
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import time
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import BinaryIO
 
 import pandas as pd
@@ -47,19 +47,31 @@ def file_digests(spark: SparkSession, folder: str, suffix: str = ".parquet") ->
     return files.where(F.col("length") <= WHOLE).select(name.alias("name"), F.sha2("content", 256).alias("digest")).unionByName(large)
 
 
+def fingerprint_of(parts: Sequence[object]) -> str:
+    return hashlib.sha256(repr(list(parts)).encode()).hexdigest()
+
+
 def fingerprint(spark: SparkSession, folder: str, settings: str, suffix: str = ".parquet") -> str:
-    """Changes when a matching file's name or bytes change, or the settings do."""
+    """Changes when a matching file's name or bytes change, or the settings do. ``folder`` may also be one file."""
     found = file_digests(spark, folder, suffix).orderBy("name", "digest").collect()  # one row a file
-    return hashlib.sha256(repr([(r["name"], r["digest"]) for r in found] + [settings]).encode()).hexdigest()
+    return fingerprint_of([*[(r["name"], r["digest"]) for r in found], settings])
 
 
-def build_or_reuse(spark: SparkSession, root: str, key: str, build: Callable[[], Mapping[str, DataFrame]], most_age: float = WEEK) -> tuple[str, bool]:
-    """The folder of tables with this fingerprint, built unless it is there whole and at most a week old; and whether it was there."""
-    folder = f"{root.rstrip('/')}/{key}"
+def reuse_or_write(spark: SparkSession, folder: str, write: Callable[[str], None], most_age: float = WEEK) -> tuple[str, bool]:
+    """``folder``, written unless it is there whole and at most a week old; and whether it was there.
+
+    It counts as whole once its mark is set, after everything else; a failed attempt is written over.
+    """
     mark = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_COMPLETE")
     fs = mark.getFileSystem(spark._jsc.hadoopConfiguration())
     if fs.exists(mark) and time.time() - fs.getFileStatus(mark).getModificationTime() / 1000 <= most_age:
         return folder, True
-    write_tables(build(), folder)
+    fs.delete(mark, False)
+    write(folder)
     fs.create(mark, True).close()
     return folder, False
+
+
+def build_or_reuse(spark: SparkSession, root: str, key: str, build: Callable[[], Mapping[str, DataFrame]], most_age: float = WEEK) -> tuple[str, bool]:
+    """The folder of tables with this fingerprint, built unless it is there whole and at most a week old; and whether it was there."""
+    return reuse_or_write(spark, f"{root.rstrip('/')}/{key}", lambda folder: write_tables(build(), folder), most_age)

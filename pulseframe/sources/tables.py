@@ -15,6 +15,21 @@ class GeometryMissingError(ValueError):
     """There are no sensor positions."""
 
 
+def concatenate(pieces: Sequence[DataFrame]) -> DataFrame:
+    """All rows of tables with the same columns; each piece keeps its order within ``_ord``, pieces by number.
+
+    ``_ord`` becomes a struct of the piece's number and its own ``_ord``; columns go by name
+    and one that a piece lacks is null there. No pieces are an error.
+    """
+    if not pieces:
+        raise ValueError("nothing to concatenate")
+    numbered = [p.withColumn("_ord", F.struct(F.lit(k).alias("piece"), F.col("_ord").alias("at"))) for k, p in enumerate(pieces)]
+    out = numbered[0]
+    for piece in numbered[1:]:
+        out = out.unionByName(piece, allowMissingColumns=True)
+    return out
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Missing is null from here on: NaN in any float column becomes null."""
     kinds = dict(df.dtypes)
@@ -25,8 +40,10 @@ def read_table(spark: SparkSession, source: str, format: str = "parquet", schema
     """A whole table by path (parquet, csv, json, orc) or, with format ``table``, by name.
 
     Of a folder only its own files are read, those with ``suffix`` if one is given. Input
-    order, which later steps need, becomes ``_ord``: the column ``order``, or else a number
-    by file name and place in the file. NaN becomes null.
+    order, which later steps need, becomes ``_ord``: the column ``order`` as a number, or
+    else a struct that sorts as the rows stand, files by name, then place in the file.
+    Nothing about files comes to the driver, and their number has no bound. A table by name
+    has no files to go by, so its rows count by partition. NaN becomes null.
     """
     if format == "table":
         df = spark.table(source)
@@ -39,11 +56,9 @@ def read_table(spark: SparkSession, source: str, format: str = "parquet", schema
         return nan_to_null(df).withColumn("_ord", q(order).cast("bigint"))
     if format == "table":
         return nan_to_null(df).withColumn("_ord", F.monotonically_increasing_id())
-    named = df.select("*", F.col("_metadata.file_name").alias("_file")).withColumn("_at", F.monotonically_increasing_id())
-    files = [r[0] for r in named.select("_file").distinct().collect()]  # the driver lists them to plan the scan anyway
-    number = F.create_map(*[x for k, f in enumerate(sorted(files)) for x in (F.lit(f), F.lit(k))])[F.col("_file")] if files else F.lit(0)
-    # a file's rows keep their places; files go by name
-    return nan_to_null(named.withColumn("_ord", number.cast("bigint") * F.lit(1 << 50) + F.col("_at")).drop("_file", "_at"))
+    # a task reads a piece of a file from front to back, so its own numbers keep the rows' order
+    at = F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return nan_to_null(df.select("*", at.alias("_ord")))
 
 
 def select_streams(df: DataFrame, streams: Sequence[str], column: str = "SubEventStream") -> DataFrame:

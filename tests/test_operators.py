@@ -112,6 +112,22 @@ def test_shift_without_charge(spark):
     assert rows(pulses.shift_by_mean_time(df, ["event"]), "event", "time") == sorted([(1, 10), (2, -8), (2, 2)], key=repr)
 
 
+def test_shift_keeps_events_with_missing_ids(spark):
+    from decimal import Decimal
+
+    df = spark.createDataFrame([(None, 1, 10, Decimal(1), 0), (None, 2, 30, Decimal(1), 1), (2, 1, 10, Decimal(1), 2), (3, 1, None, Decimal(1), 3)], PULSES)
+    out = pulses.shift_by_mean_time(df, ["event"])
+    assert out.columns == df.columns
+    assert rows(out, "_ord", "time") == [(0, -10), (1, 10), (2, 0)]
+
+
+def test_joined_tables_may_not_clash(spark):
+    events = spark.createDataFrame([(1, 2.0)], "event long, label double")
+    with pytest.raises(ValueError, match="both tables"):
+        pulses.attach_labels(events, events, ["event"])
+    assert pulses.attach_labels(events.select("event"), events.union(events), ["event"]).count() == 2
+
+
 def test_exclusion(spark):
     from decimal import Decimal
 

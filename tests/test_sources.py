@@ -1,13 +1,16 @@
 import hashlib
 import os
+from dataclasses import replace
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from pulseframe.functions.naming import Feature
-from pulseframe.plans.build import Settings, build
+from pulseframe.operators.samples import EventsWithoutFeaturesError
 from pulseframe.plans import fixtures as fx
-from pulseframe.sources import reuse, tables
+from pulseframe.plans.build import Settings, build, convert
+from pulseframe.sources import reuse, staging, tables
 
 
 def test_nan_becomes_null(spark):
@@ -91,12 +94,95 @@ def test_build_is_reused(spark, tmp_path):
 
 def test_whole_build(spark, sf_dir, tmp_path):
     settings = Settings([Feature("Level", ("level",)), Feature("Share", ("share",), {"percentiles": [0.01, 0.5]})], fx.LABELS)
-    source = tmp_path / "in"
-    source.mkdir()
-    (source / "x.parquet").write_bytes(b"1")
-    args = (spark, str(source), str(tmp_path / "out"), fx.readings(spark, sf_dir), fx.truth(spark, sf_dir), settings)
-    parts = build(*args, strict=False)
-    counts = {k: v.count() for k, v in parts.items()}
-    assert counts["train"] > counts["test"] > 0
+    args = (spark, fx.inputs(sf_dir), str(tmp_path / "out"), settings, fx.read_all)
+    built = build(*args, strict=False)
+    counts = {k: built.split(k).count() for k in settings.predicates}
+    assert counts["train"] > counts["test"] > 0 and not built.reused
     again = build(*args, strict=False)
-    assert rows(parts["test"], "idx", "event_id", "labels") == rows(again["test"], "idx", "event_id", "labels")
+    assert again.reused and again.folder == built.folder
+    assert rows(built.split("test"), "idx", "event_id", "labels") == rows(again.split("test"), "idx", "event_id", "labels")
+    assert built.profile("level").count() == built.table("features").count()
+    with pytest.raises(KeyError):
+        built.split("nope")
+    # other predicates draw other samples from the same tables
+    other = build(spark, fx.inputs(sf_dir), str(tmp_path / "out"), replace(settings, predicates={"all": "Event >= 0"}), fx.read_all, strict=False)
+    assert other.reused and other.split("all").count() == sum(counts.values())
+    with pytest.raises(EventsWithoutFeaturesError):
+        build(*args)
+
+
+def test_build_follows_what_it_reads(spark, tmp_path):
+    """Other bytes under an input's path, another recipe or another converter never meet old tables."""
+    ids = "Run long, Event long, SubEvent int, SubEventStream string"
+    readings = lambda item: spark.createDataFrame([(1, 5, 0, "s", 1, 1, 0, 0, item)], f"{ids}, string int, om int, pmt int, vector_index int, item double")
+    inputs = {k: str(tmp_path / k) for k in ("features", "truth", "geometry")}
+    readings(2.0).write.parquet(inputs["features"])
+    spark.createDataFrame([(1, 5, 0, "s", 7.0)], f"{ids}, energy double").write.parquet(inputs["truth"])
+    spark.createDataFrame([(1, 1, 0, 1.0, 2.0, 3.0)], "string int, om int, pmt int, x double, y double, z double").write.parquet(inputs["geometry"])
+    settings = Settings([Feature("Level", ("level",))], ["energy"])
+    run = lambda s=settings, **more: build(spark, inputs, str(tmp_path / "out"), s, **more)
+    first = run()
+    assert first.sample("validation", 0).first()["features"] == [[2.0]]
+    assert tuple(first.profile("level").first())[2:] == (1.0, 2.0, 3.0, 2.0)
+    assert run().reused
+    assert not run(replace(settings, recipe="other")).reused
+    assert not run(converter=lambda tables_, s: convert(tables_, s)).reused
+    readings(3.0).write.mode("overwrite").parquet(inputs["features"])
+    second = run()
+    assert not second.reused and second.sample("validation", 0).first()["features"] == [[3.0]]
+    spark.createDataFrame([], "string int, om int, pmt int, x double, y double, z double").write.mode("overwrite").parquet(inputs["geometry"])
+    with pytest.raises(tables.GeometryMissingError):
+        run()
+
+
+def test_stored_lookups_reach_the_scan(spark, sf_dir, tmp_path):
+    built = build(spark, fx.inputs(sf_dir), str(tmp_path), Settings(fx.READINGS, fx.LABELS), fx.read_all, strict=False)
+    plan = built.sample("train", 3)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(idx,3)" in plan and "(split#" in plan.split("PartitionFilters:")[1]
+    assert "EqualTo(event_id,e)" in built.event("e")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_more_files_than_a_number_of_few_bits_holds(spark, tmp_path):
+    for k in range(8300):
+        (tmp_path / f"{k:05d}.csv").write_text(f"x\n{k}\n")
+    df = tables.read_table(spark, str(tmp_path), "csv", "x int", suffix=".csv")
+    last = df.select("x", "_ord").orderBy(F.desc("_ord")).limit(2).collect()
+    assert [r["x"] for r in last] == [8299, 8298]
+    assert df.groupBy().agg(F.countDistinct("_ord")).first()[0] == 8300
+
+
+def test_rows_of_a_file_read_in_pieces_keep_their_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x\n" + "".join(f"{k}\n" for k in range(30_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        df = tables.read_table(spark, str(tmp_path), "csv", "x int")
+        assert df.rdd.getNumPartitions() > 4
+        assert [r["x"] for r in df.orderBy("_ord").collect()] == list(range(30_000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_concatenated_pieces_keep_their_order(spark):
+    a = spark.createDataFrame([(1, 5), (2, 4)], "x int, _ord long")
+    b = spark.createDataFrame([(3, "y", 0)], "x int, y string, _ord long")
+    assert [(r["x"], r["y"]) for r in tables.concatenate([a, b]).orderBy("_ord").collect()] == [(2, None), (1, None), (3, "y")]
+    with pytest.raises(ValueError, match="nothing"):
+        tables.concatenate([])
+
+
+def test_scratch_tables_go(spark):
+    with staging.scratch(spark) as keep:
+        inner = staging.stage(spark.range(3), "inner")
+        kept = keep(inner.where("id > 0"), "kept")
+        paths = inner.inputFiles()
+    assert kept.count() == 2
+    assert paths and not os.path.exists(paths[0].removeprefix("file://"))
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: {"spark.master": "spark://host:7077"}.get(key, default))
+
+    with pytest.raises(staging.NoSharedFolderError):
+        staging.shared_folder(Session())
