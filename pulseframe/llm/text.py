@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but ASCII white space.
@@ -22,3 +22,15 @@ def byte_count(text: Column) -> Column:
 def id_remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores after it as set it apart from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -18,7 +18,7 @@ def index_of(items):
         text = decontam.normalized(text)
         last = max(len(text) - decontam.WINDOW, 0)
         rows += [(item, k, text[k : k + decontam.WINDOW]) for k in sorted({*range(0, last, decontam.STEP), last})]
-    return decontam.Index.build(*map(list, zip(*rows, strict=True)))
+    return decontam.Index.build([r[0] for r in rows], [r[2] for r in rows])
 
 
 def edits(pattern, text):
@@ -44,7 +44,7 @@ def test_windows_match_brute_force():
             p = rng.randrange(len(text))
             text[p : p + rng.randrange(2)] = rng.choice(["", "x", "yz"])
         text = decontam.normalized("".join(rng.choice(letters) for _ in range(60)) + "".join(text) + "".join(rng.choice(letters) for _ in range(30 * (trial % 2))))
-        want = {int(i) for i, w in zip(index.items, index.windows, strict=True) if edits([chr(c) for c in w], text) <= decontam.edit_budget(len(w))}
+        want = {int(i) for i, w in zip(index.ids, index.windows, strict=True) if edits([chr(c) for c in w], text) <= decontam.edit_budget(len(w))}
         assert {f[0] for f in decontam.find_passages(text, index)} == want
 
 
@@ -63,9 +63,9 @@ def test_odd_rows(spark, monkeypatch):
     bench = spark.createDataFrame([(1, passage), (2, None), (3, ""), (None, passage), (4, "short one"), (5, "filler " * 3)], "item_id long, text string")
     for size in (decontam.SLICE, 70):
         monkeypatch.setattr(decontam, "SLICE", size)
-        out = decontam.contaminated(df, bench).collect()
+        out = decontam.contaminated(df, bench, shortest=32).collect()
         assert {(r["doc_id"], r["item_id"]) for r in out} == {(3, 1), (4, 1), (6, 1)}
-        clean = decontam.keep_clean(df, bench)
+        clean = decontam.keep_clean(df, bench, shortest=32)
         assert clean.columns == df.columns
         assert sorted((r["doc_id"] for r in clean.collect()), key=repr) == [1, 2, 5]
     assert decontam.contaminated(df, bench.where("false")).count() == 0
@@ -73,6 +73,46 @@ def test_odd_rows(spark, monkeypatch):
     assert decontam.contaminated(df.where("false"), bench).count() == 0
 
 
+def test_short_items_are_found_as_they_are(spark):
+    """Between word ends, without edits; the parameter says how short an item still counts."""
+    docs = [(1, "So: WHAT is\tgravity? Nobody knows."), (2, "somewhat is gravity? no"), (3, "what is gravitas?"), (4, "what is gravity?"), (5, "x eight ch y"), (6, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "What is gravity?"), (2, "eight ch"), (None, "eight ch"), (3, "of")], "item_id long, text string")
+    found = lambda **more: {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(df, bench, **more).collect()}
+    assert found() == {(1, 1), (4, 1)}
+    assert found(shortest=1) == {(1, 1), (4, 1), (5, 2)}
+    assert sorted(r["doc_id"] for r in decontam.keep_clean(df, bench, shortest=8).collect()) == [2, 3, 6]
+    assert sorted(r["doc_id"] for r in decontam.keep_clean(df, bench.where("item_id is null"), shortest=8).collect()) == [1, 2, 3, 4, 6]
+
+
+def test_items_that_share_a_prompt(spark, monkeypatch):
+    """Equal windows are indexed once, and a text full of frequent q-grams is searched in bounded pieces."""
+    rng = random.Random(3)
+    prompt = "please read the following passage with great care and then answer the question that comes after it in one word "
+    items = [(k, prompt + " ".join(rng.choice(["red", "green", "blue", "oak", "elm", "ash"]) + str(rng.randrange(90)) for _ in range(12))) for k in range(1000)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    windows = decontam.benchmark_windows(bench)
+    assert windows.count() > 1.4 * decontam.distinct_windows(windows).count()
+    docs = spark.createDataFrame([(1, prompt * 60), (2, "nothing of the kind " * 300), (3, items[7][1][len(prompt) :] + " the end")], "doc_id long, text string")
+    got = decontam.contaminated(docs, bench).toPandas()
+    assert set(got.loc[got["doc_id"] == 1, "item_id"]) == set(range(1000))
+    assert 7 in set(got.loc[got["doc_id"] == 3, "item_id"]) and 2 not in set(got["doc_id"])
+    monkeypatch.setattr(decontam, "POSTINGS", 500)
+    index = decontam.Index.build(range(200), [t[-64:] for _, t in items[:200]])
+    text = decontam.normalized(" ".join(t for _, t in items[:40]))
+    cut = decontam.find_passages(text, index)
+    monkeypatch.setattr(decontam, "POSTINGS", 10**9)
+    assert {x[0] for x in cut} == {x[0] for x in decontam.find_passages(text, index)} >= set(range(40))
+
+
+def test_rows_with_clashing_names_and_repeated_rows(spark):
+    passage = "the quick brown fox jumps over the lazy dog while forty five wizards quietly vex the jovial quartz sphinx at dawn"
+    df = spark.createDataFrame([(1, "clean", "a", "b"), (1, "clean", "a", "b"), (None, passage, "a", "b"), (2, passage, None, None)], "doc_id long, text string, _a string, _b string")
+    bench = spark.createDataFrame([(None, passage)], "item_id long, text string")
+    kept = decontam.keep_clean(df, bench)
+    assert kept.columns == df.columns and [tuple(r) for r in kept.collect()] == [(1, "clean", "a", "b")] * 2
+
+
 def test_long_text_in_pieces(monkeypatch):
     passage = "the quick brown fox jumps over the lazy dog while forty five wizards vex"
     index = index_of([(1, passage)])
