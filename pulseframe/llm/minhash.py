@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.llm.components import components
-from pulseframe.sources.staging import shuffle_partitions, stage
 from pulseframe.llm.shingles import mix64, shingle_sets
+from pulseframe.llm.text import free_names
+from pulseframe.sources.staging import scratch, shuffle_partitions, stage
 
 #: Signature values in a band, and bands. At a similarity of 0.8 a pair shares none with a
 #: probability of (1 - 0.8 ** 6) ** 40 = 5e-6.
@@ -29,6 +30,8 @@ _SALT = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)).reshape(BANDS, RO
 BATCH = 2_000_000
 #: Members on each side of a block, columns of its indicator matrices, and members that a task gets at once.
 BLOCK, PANEL, PART = 250, 4096, 2000
+#: Slots in which shingles are counted to tell rare from frequent ones.
+SLOTS = 1 << 18
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -81,13 +84,13 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 if full:
                     for k, keys in zip(full, band_keys(signatures([sets[k] for k in full])), strict=True):
                         bands[k] = keys
-                digests = [(np.bitwise_xor.reduce(s), mix64(s + np.uint64(1)).sum(dtype=np.uint64)) if len(s) else (np.uint64(0), np.uint64(0)) for s in sets]
+                digests = [_digest(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(a, b - a),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([x.astype(np.int64) for x, _ in digests], pa.int64()),
-                        pa.array([x.astype(np.int64) for _, x in digests], pa.int64()),
+                        pa.array([x for x, _ in digests], pa.int64()),
+                        pa.array([x for _, x in digests], pa.int64()),
                         pa.array(bands, pa.list_(pa.int64())),
                     ],
                     names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
@@ -96,16 +99,25 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
+def _digest(shingles: np.ndarray) -> tuple[np.int64, np.int64]:
+    """Two 64-bit digests of a shingle set; zero for an empty one."""
+    if not len(shingles):
+        return np.int64(0), np.int64(0)
+    return np.bitwise_xor.reduce(shingles).astype(np.int64), mix64(shingles + np.uint64(1)).sum(dtype=np.uint64).astype(np.int64)
+
+
 def _sets(texts: DataFrame, width: int) -> DataFrame:
-    """cid and its whole shingle set as packed 64-bit hashes."""
+    """cid, size and digest of the shingle set as ``sketches`` has them, and the whole set as packed 64-bit hashes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             raw = [t.encode() for t in batch["text"]]
             for a, b in _in_parts(raw):
-                yield pd.DataFrame({"cid": batch["cid"].iloc[a:b].array, "shingles": [s.tobytes() for s in shingle_sets(raw[a:b], width)]})
+                sets = shingle_sets(raw[a:b], width)
+                digests = [_digest(s) for s in sets]
+                yield pd.DataFrame({"cid": batch["cid"].iloc[a:b].array, "n_shingles": list(map(len, sets)), "set_a": [x for x, _ in digests], "set_b": [x for _, x in digests], "shingles": [s.tobytes() for s in sets]})
 
-    return texts.mapInPandas(run, "cid long, shingles binary")
+    return texts.mapInPandas(run, "cid long, n_shingles long, set_a long, set_b long, shingles binary")
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -135,29 +147,46 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rounds:
     against the bucket's smallest; then, ``rounds`` times, in buckets that still hold several
     components, the members outside the largest against a random member of that. In the end
     what is still apart in one bucket is compared in full, members outside the largest
-    component with all others, so each pair that shares a band is confirmed, refuted or
-    already connected: no candidate is dropped.
+    component with all others, but for members that a prefix filter shows to have no link;
+    so each pair that shares a band is confirmed, refuted or already connected: no candidate
+    is dropped.
 
     Returns one row for each input row: doc_id, n_shingles, component_id (the smallest doc_id
     reachable), kept (doc_id is that). A text of fewer words than ``width`` is one shingle; a
-    null text or one without words has none and links with nothing; equal doc_ids are one
-    node; a row without doc_id takes its class's component, or null.
+    null text or one without words has none and links with nothing. Rows of one doc_id are
+    one node, whatever their texts: they share their component and connect the classes they
+    are in. A row without doc_id connects nothing and takes its class's component, or null.
+    Other columns are ignored.
     """
-    sketched = stage(sketches(docs, width), "sketches")
-    key = ["n_shingles", "set_a", "set_b"]
-    full = sketched.where("n_shingles > 0")
-    classes = stage(full.groupBy(*key).agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "bands"))).alias("m")).select(*key, F.col("m.doc_id").alias("cid"), F.col("m.bands").alias("bands")), "classes")
-    rows = classes.where("cid is not null").select("cid", F.explode("bands").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("first")).where("n > 1")
-    members = stage(rows.join(shared, "bucket").select("bucket", "cid", "first"), "buckets")
-    near = members.select("cid").distinct()
-    # texts are the most compact form of the sets, so they are what is moved, once
-    texts = docs.select(F.col("doc_id").cast("long").alias("cid"), "text").where("text is not null").join(near, "cid").dropDuplicates(["cid", "text"])
-    sets = stage(_sets(texts, width), "sets")
-    labels = _components(members, sets, percent, rounds)
-    named = stage(classes.join(labels.withColumnRenamed("node", "cid"), "cid", "left").select(*key, F.coalesce("component", "cid").alias("component_id")), "named")
-    out = sketched.select("doc_id", *key).join(named, key, "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    spark = docs.sparkSession
+    with scratch(spark) as keep:
+        sketched = stage(sketches(docs, width), "sketches")
+        key = ["n_shingles", "set_a", "set_b"]
+        full = sketched.where("n_shingles > 0")
+        classes = stage(full.groupBy(*key).agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "bands"))).alias("m")).select(*key, F.col("m.doc_id").alias("cid"), F.col("m.bands").alias("bands")), "classes")
+        rows = classes.where("cid is not null").select("cid", F.explode("bands").alias("bucket"))
+        shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("first")).where("n > 1")
+        members = stage(rows.join(shared, "bucket").select("bucket", "cid", "first"), "buckets")
+        near = members.select("cid").distinct()
+        # texts are the most compact form of the sets, so they are what is moved, once
+        texts = docs.select(F.col("doc_id").cast("long").alias("cid"), "text").where("text is not null").join(near, "cid").dropDuplicates(["cid", "text"])
+        digests = classes.where("cid is not null").select("cid", *key)
+        sets = stage(_sets(texts, width).join(digests, ["cid", *key], "left_semi").select("cid", "shingles"), "sets")
+        labels = _components(members, sets, percent, rounds)
+        named = stage(classes.join(labels.withColumnRenamed("node", "cid"), "cid", "left").select(*key, F.coalesce("component", "cid").alias("component_id")), "named")
+        out = sketched.select("doc_id", *key).join(named, key, "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        result = keep(_one_node_for_each_id(stage(out, "labelled")), "near-duplicates")
+    return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+def _one_node_for_each_id(rows: DataFrame) -> DataFrame:
+    """Components joined where rows of one doc_id lie in several."""
+    apart = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("a"), F.max("component_id").alias("z")).where("a < z")
+    links = stage(rows.join(apart, "doc_id").where("component_id > a").select("a", F.col("component_id").alias("b")).distinct(), "same-ids")
+    if links.isEmpty():
+        return rows
+    joined = components(links).select(F.col("node").alias("component_id"), "component")
+    return rows.join(joined, "component_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "component_id").alias("component_id"))
 
 
 def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -219,19 +248,64 @@ def _block_links(rows: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("part").applyInPandas(run, "a long, b long")
 
 
+def _slot(shingles: np.ndarray) -> np.ndarray:
+    return (shingles & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def contested(held: DataFrame, percent: int) -> DataFrame:
+    """Those of ``held`` (cid, comp, shingles) that may be linked with one of another component: cid.
+
+    Two sets that reach the similarity share a shingle within the first n - ceil(n percent)
+    + 1 of each, in any common order. Rare shingles go first (counted in SLOTS slots, so
+    what is broadcast has one size), so texts that only have a template in common drop out.
+    """
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = np.zeros(SLOTS, np.int64)
+        for b in batches:
+            for x in b["shingles"]:
+                np.add.at(n, _slot(np.frombuffer(x, np.uint64)), 1)
+        used = np.flatnonzero(n)
+        yield pd.DataFrame({"slot": used, "n": n[used]})
+
+    found = held.select("shingles").mapInPandas(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()  # SLOTS rows at most
+    counts = np.zeros(SLOTS, np.int64)
+    counts[found["slot"]] = found["n"]
+    shared = held.sparkSession.sparkContext.broadcast(counts)
+
+    def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            firsts = []
+            for x in b["shingles"]:
+                s = np.frombuffer(x, np.uint64)
+                order = np.lexsort((s, shared.value[_slot(s)]))
+                firsts.append(s[order[: len(s) - -(-len(s) * percent // 100) + 1]])
+            n = [len(f) for f in firsts]
+            yield pd.DataFrame({"token": np.concatenate([np.zeros(0, np.uint64), *firsts]).view(np.int64), "cid": np.repeat(b["cid"].to_numpy(), n), "comp": np.repeat(b["comp"].to_numpy(), n)})
+
+    tokens = stage(held.select("cid", "comp", "shingles").mapInPandas(prefixes, "token long, cid long, comp long"), "prefixes")
+    mixed = tokens.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
+    return tokens.join(mixed, "token", "left_semi").select("cid").distinct()
+
+
 def _settle(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links between components that still share a bucket, compared in full.
 
     In each such bucket the members outside its largest component are loose. Loose members
     are held against all of that component, once however many buckets say so, and against
-    the bucket's other loose members; all in blocks of BLOCK by BLOCK, whose pairs are
-    counted by matrix products and never become rows.
+    the bucket's other loose members, on both sides only those that are ``contested``; all
+    in blocks of BLOCK by BLOCK, whose pairs are counted by matrix products and never become
+    rows.
     """
     cids = stage(members.select("cid").distinct().join(labels, "cid", "left").select("cid", F.coalesce("component", "cid").alias("comp")), "labelled")
     held = members.select("bucket", "cid").join(cids, "cid")
     sizes = held.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("n", "comp"))["comp"].alias("main")).where("comps > 1")
     loose = stage(held.join(main, "bucket").where("comp <> main").select("bucket", "cid", "comp", "main", "comps"), "loose")
+    # the largest components count as a whole, so that none of their members is left out
+    involved = loose.select("comp").union(loose.select(F.col("main").alias("comp"))).distinct()
+    open_ = stage(contested(cids.join(involved, "comp", "left_semi").join(sets, "cid"), percent), "contested")
+    cids, loose = cids.join(open_, "cid", "left_semi"), loose.join(open_, "cid", "left_semi")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     chunk = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
     parts = lambda df, name: df.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
@@ -277,10 +351,11 @@ def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 
     Rows are told apart by a number of their own, not by doc_id, so rows without doc_id and
     different texts under one are documents like any other. A row without words is in no
-    group and stays.
+    group and stays. Any column names may occur.
     """
-    order = [F.col("doc_id").cast("long").asc_nulls_last(), F.xxhash64("text"), F.col("_at")]
-    laid = docs.withColumn("_at", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
-    numbered = stage(laid.drop("_at").withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    kept = near_duplicates(numbered.select(F.col("_row").alias("doc_id"), "text"), width, percent).where("kept").select(F.col("doc_id").alias("_row"))
-    return numbered.join(kept, "_row", "left_semi").select(*docs.columns)
+    at, row = free_names(docs, "_at", "_row")
+    order = [F.col("doc_id").cast("long").asc_nulls_last(), F.xxhash64("text"), F.col(at)]
+    laid = docs.withColumn(at, F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = stage(laid.drop(at).withColumn(row, F.monotonically_increasing_id()), "numbered")
+    kept = near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"), width, percent).where("kept").select(F.col("doc_id").alias(row))
+    return numbered.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -65,6 +65,43 @@ def test_blocks_match_brute_force(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out.collect()} == brute(docs, 2, 80)
 
 
+def test_rows_of_one_id_are_one_node(spark):
+    t, u, v = "a b c d e f", "g h i j k l", "m n o p q r"
+    docs = [(1, t), (2, t), (2, u), (3, u), (4, v), (3, ""), (5, None), (None, v)]
+    out = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), width=2).collect()
+    assert len(out) == len(docs)
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in out} == {(1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (5, 5, True), (None, 4, False)}
+
+
+def test_kept_rows_with_any_column_names(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", "u", 1), (2, "a b c d e f", "v", 2), (3, "x", "w", 3)], "doc_id long, text string, _row string, _at int")
+    kept = minhash.keep_first(docs)
+    assert kept.columns == docs.columns and sorted(tuple(r) for r in kept.collect()) == [(1, "a b c d e f", "u", 1), (3, "x", "w", 3)]
+
+
+def test_texts_with_a_template_in_common_are_not_compared(spark, monkeypatch):
+    """Thousands of texts that share three fifths with all others land in the same buckets; the prefix filter leaves only real partners."""
+    rng = random.Random(9)
+    template = [f"t{k}" for k in range(45)]
+    docs = [(k, " ".join(template + [f"x{rng.randrange(10**9)}" for _ in range(15)])) for k in range(1500)]
+    docs += [(5000 + k, docs[k][1].rsplit(" ", 1)[0] + " other") for k in range(0, 60, 2)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    compared, real = [], minhash._block_links
+    monkeypatch.setattr(minhash, "_block_links", lambda rows, percent: (compared.append(rows.select("cid").distinct().count()), real(rows, percent))[1])
+    out = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(df, width=2).collect()}
+    assert out == {k: k for k in range(1500)} | {5000 + k: k for k in range(0, 60, 2)}
+    assert compared[0] <= 60
+
+
+def test_contested_members_include_all_linked_ones(spark):
+    docs = sample(seed=8)
+    sets = {i: s for i, s in zip([d for d, _ in docs], shingle_sets([t.encode() for _, t in docs], 2), strict=True)}
+    held = spark.createDataFrame([(i, i, bytearray(s.tobytes())) for i, s in sets.items()], "cid long, comp long, shingles binary")
+    linked = {x for i, j in itertools.combinations(sets, 2) if 100 * (both := len(np.intersect1d(sets[i], sets[j]))) >= 80 * (len(sets[i]) + len(sets[j]) - both) for x in (i, j)}
+    got = {r["cid"] for r in minhash.contested(held, 80).collect()}
+    assert linked and linked <= got
+
+
 def test_odd_rows(spark):
     long = "a b " * 40_000
     docs = [(1, None), (2, ""), (3, " \n"), (4, "One"), (5, "one"), (6, "one two"), (7, long), (8, long), (8, long), (9, "é x y"), (10, "É x y"), (None, "one"), (None, None), (11, "one two three")]
