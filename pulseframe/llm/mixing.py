@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulseframe.llm.text import free_names, word_count
 from pulseframe.operators.ordering import prefix_sums
-from pulseframe.sources.staging import stage
-from pulseframe.llm.text import word_count
+from pulseframe.sources.staging import scratch, stage
 
 
 def source_targets(sized: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3) -> DataFrame:
@@ -18,7 +18,8 @@ def source_targets(sized: DataFrame, weights: Sequence[int] = (5, 2, 1), most: i
     Sources by code point (null last) take ``weights`` in turn. A target stops at ``most``
     times its source's words and what is over goes to the others by weight, until none is
     above. Sorted by cap over weight the stopped sources come first, so running sums find
-    them in one pass. Works on one row a source: source, source_size, target, source_start
+    them in one pass. Works on one row a source, in one task: millions of sources, not a
+    source for each document. Returns source, source_size, target, source_start
     (words of the sources before it).
     """
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
@@ -42,7 +43,7 @@ def source_targets(sized: DataFrame, weights: Sequence[int] = (5, 2, 1), most: i
     return sources.select("source", "source_size", "source_start", F.when(F.col("_full"), F.col("_cap").cast("double")).otherwise(F.col("_weight") * level["at"]).alias("target"))
 
 
-def mix_sources(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3, seed: str = "mix") -> tuple[DataFrame, DataFrame]:
+def mix_sources(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3, seed: str = "mix", carry: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Draw documents (doc_id, source, text) so that each source's words come near its target.
 
     Within its source a document's place is fixed by a digest of ``seed`` and doc_id; a
@@ -55,8 +56,10 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int =
     Returns two tables. Rows, one for each input row: row (its number), doc_id, source,
     text_key (a digest of the text), size, source_size, target. Draws, one for each copy:
     row, doc_id, source, text_key, size, copy, finish, position (its place in the mix),
-    before (words before it). A null text has size 0; documents without words are never
-    drawn; a null source is a source of its own; repeated rows are drawn each by itself.
+    before (words before it). Columns named in ``carry`` come along in both and decide
+    between rows that are equal otherwise; other columns are ignored. A null text has size
+    0; documents without words are never drawn; a null source is a source of its own;
+    repeated rows are drawn each by itself.
     """
     sized = stage(
         docs.select(
@@ -65,15 +68,18 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int =
             word_count(F.col("text")).alias("size"),
             F.xxhash64("text").alias("text_key"),
             F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 15), 16, 10).cast("long").alias("_place"),
+            *carry,
+            # rows equal in all else can be told apart, so no range has to hold them all
+            F.monotonically_increasing_id().alias("_n"),
         ),
         "mix-sizes",
     )
-    order = [F.col("source").asc_nulls_last(), F.col("_place"), F.col("doc_id"), F.col("size"), F.col("text_key")]
+    order = [F.col("source").asc_nulls_last(), *[F.col(c) for c in ("_place", "doc_id", "size", "text_key", *carry, "_n")]]
     placed = prefix_sums(sized, order, "size", "mix-sources")
     targets = stage(source_targets(sized, weights, most), "mix-targets").withColumnRenamed("source", "_source")
     rows = stage(
         placed.join(targets, F.col("source").eqNullSafe(F.col("_source"))).select(
-            F.col("position").alias("row"), "doc_id", "source", "text_key", "size", "source_size", "target", (F.col("before") + F.col("size") - F.col("source_start")).alias("_end")
+            F.col("position").alias("row"), "doc_id", "source", "text_key", *carry, "size", "source_size", "target", (F.col("before") + F.col("size") - F.col("source_start")).alias("_end")
         ),
         "mix-rows",
     )
@@ -82,7 +88,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int =
         rows.where("size > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
         .where(served <= F.col("target"))
-        .select("row", "doc_id", "source", "text_key", "size", "copy", (served / F.col("target")).alias("finish"))
+        .select("row", "doc_id", "source", "text_key", *carry, "size", "copy", (served / F.col("target")).alias("finish"))
     )
     mixed = prefix_sums(draws, [F.col("finish"), F.col("row"), F.col("copy")], "size", "mix-draws")
     budget = targets.agg(F.sum("source_size").alias("_budget"))  # one row
@@ -91,16 +97,18 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int =
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3, seed: str = "mix") -> DataFrame:
-    """``docs`` with every document as often as the mix draws it, none that it doesn't.
+    """``docs`` (doc_id, source, text and any others) with every row as often as the mix draws it, none that it doesn't.
 
-    Rows equal in doc_id, source and text share their draws evenly.
+    Rows are numbered and staged, so whole texts are moved once, to the counts of their own
+    draws. Rows equal in doc_id, source and text are told apart by a hash of all columns, so
+    a rerun draws the same ones. Columns come out unchanged, whatever their names.
     """
-    key = ["doc_id", "source", "text_key"]
-    rows, draws = mix_sources(docs, weights, most, seed)
-    drawn = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).alias("r").join(
-        draws.groupBy(*key).agg(F.count(F.lit(1)).alias("_draws")).alias("d"), [F.col(f"r.{k}").eqNullSafe(F.col(f"d.{k}")) for k in key]
-    ).select(*[F.col(f"r.{k}").alias(f"_{k}") for k in key], "_rows", "_draws")
-    keyed = docs.withColumn("_key", F.xxhash64("text")).withColumn("_nth", F.row_number().over(Window.partitionBy("doc_id", "source", "_key").orderBy(F.lit(1))))
-    joined = keyed.join(drawn, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_key") == F.col("_text_key")))
-    times = F.expr("cast(_draws div _rows + if(_nth <= _draws % _rows, 1, 0) as int)")
-    return joined.where(times > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    with scratch(docs.sparkSession) as keep:
+        row, all_of = free_names(docs, "_row", "_all")
+        maps = [c for c, kind in docs.dtypes if "map<" in kind]
+        hashed = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) if c in maps else F.col(f"`{c}`") for c in docs.columns if c != "text"])
+        numbered = keep(docs.withColumn(all_of, hashed).withColumn(row, F.monotonically_increasing_id()), "mix-documents")
+        _, draws = mix_sources(numbered.select("doc_id", "source", "text", F.col(all_of).alias("_all"), F.col(row).alias("_row")), weights, most, seed, ("_all", "_row"))
+        times = keep(draws.groupBy(F.col("_row").alias(row)).agg(F.count(F.lit(1)).cast("int").alias(all_of)), "mix-times")
+    drawn = numbered.drop(all_of).join(times, row)
+    return drawn.withColumn(row, F.explode(F.sequence(F.lit(1), F.col(all_of)))).select(*[F.col(f"`{c}`") for c in docs.columns])
