@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import uuid
 import wave
 from collections.abc import Callable, Iterator
 
@@ -101,7 +100,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(
         table(spark, sf_dir, "documents"),
         tokenizer_path("word_bpe_49k.json"),
-        f"{staging.shared_folder(spark)}/token-cache-{uuid.uuid4().hex}",
+        staging.new_folder(spark, "token-cache"),
         token_counts.collapse_white_space,
         token_counts.count_pieces,
     )
@@ -225,9 +224,10 @@ FROM reach LEFT JOIN sizes ON a = sizes.doc_id GROUP BY a""",
     "op9_chat": """
 WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
 convs AS (
-  SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS l FROM turns GROUP BY conv_id),
+  SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS l FROM turns
+  GROUP BY conv_id, CASE WHEN conv_id IS NULL THEN {'n': turn, 'r': role, 't': text} END),
 wholes AS (SELECT min(conv_id) AS conv_id, l, count(*) AS n_copies FROM convs GROUP BY l),
-shorter AS (SELECT DISTINCT l[1:k] AS l FROM convs, range(1, 100) r(k) WHERE k < len(l))
+shorter AS (SELECT DISTINCT l[1:k] AS l FROM (SELECT l, unnest(range(1, len(l))) AS k FROM convs))
 SELECT conv_id, len(l) AS n_turns, n_copies,
        list_aggregate(list_transform(l, lambda x: '<|' || coalesce(x.r, 'unknown') || '|>' || chr(10) || coalesce(x.t, '') || chr(10)), 'string_agg', '') AS rendered
 FROM wholes w WHERE NOT EXISTS (SELECT 1 FROM shorter s WHERE s.l = w.l)""",
