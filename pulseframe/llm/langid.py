@@ -97,8 +97,9 @@ def fit(docs: DataFrame, max_rows: int = 4000, scale: float = 30.0) -> Model | N
 
     Class sizes and inverse document frequencies come from all of these rows. The
     classifier itself is fitted on a bounded sample: about ``max_rows`` rows, as many of
-    each language as far as it has them, chosen by a digest of doc_id; a fifth of them is
-    held back for the temperature. None if no row is labelled.
+    each language as far as it has them, chosen by a digest of doc_id and text, repeated
+    rows counting once there, so the bound holds whatever repeats; a fifth of them is held
+    back for the temperature. A null text has no features. None if no row is labelled.
     """
     labelled = docs.where("lang is not null").select("doc_id", "text", "lang")
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a language
@@ -124,7 +125,7 @@ def fit(docs: DataFrame, max_rows: int = 4000, scale: float = 30.0) -> Model | N
 
     share = max_rows // len(languages)
     rate = F.create_map(*[x for lang in languages for x in (F.lit(lang), F.lit(min(1.0, share / sizes[lang])))])[F.col("lang")]
-    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_000)) / 1_000_000
+    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1_000_000)) / 1_000_000
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -135,14 +136,14 @@ def fit(docs: DataFrame, max_rows: int = 4000, scale: float = 30.0) -> Model | N
                 out.append((used.astype(np.int32).tobytes(), counts[used].astype(np.int32).tobytes()))
             yield pd.DataFrame({"lang": b["lang"], "place": b["place"], "ids": [x for x, _ in out], "counts": [x for _, x in out]})
 
-    sample = labelled.where(draw < rate).withColumn("place", F.xxhash64(F.lit("order"), "doc_id", "text")).select("text", "lang", "place")
+    sample = labelled.where(draw < rate).withColumn("place", F.xxhash64(F.lit("order"), "doc_id", "text")).select("text", "lang", "place").dropDuplicates(["lang", "place"])
     taken = sample.mapInPandas(features, "lang string, place long, ids binary, counts binary").toPandas()
     taken = taken.sort_values(["place", "lang"], kind="stable")
     number = {lang: k for k, lang in enumerate(languages)}
     rows = []
     for lang, ids, counts in zip(taken["lang"], taken["ids"], taken["counts"], strict=True):
         i, c = np.frombuffer(ids, np.int32), np.frombuffer(counts, np.int32)
-        rows.append((np.append(i, DIM), np.append(scale * idf[i] * c / c.sum(), 1.0), number[lang]))
+        rows.append((np.append(i, DIM), np.append(scale * idf[i] * c / max(c.sum(), 1), 1.0), number[lang]))
     held, train = rows[::5], [r for k, r in enumerate(rows) if k % 5]
     weights, bias = ftrl(train or held, len(languages))
     t = temperature(np.array([x[:-1] @ weights[i[:-1]] + bias for i, x, _ in held]), np.array([y for _, _, y in held])) if held else 1.0
@@ -152,8 +153,10 @@ def fit(docs: DataFrame, max_rows: int = 4000, scale: float = 30.0) -> Model | N
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` with lang_pred and score (the calibrated probability) from the whole text alone.
 
-    ``und`` and 0 where the text is null or has no letter, or nothing was learned. All
-    columns of ``docs`` come along; columns named lang_pred or score are replaced.
+    ``und`` and 0 where the text is null or has no letter, or nothing was learned. Of
+    equally likely languages the first by code point is predicted; rows with equal texts,
+    repeated ones too, get equal predictions, each its own row. All columns of ``docs`` come
+    along; columns named lang_pred or score are replaced.
     """
     kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")])
     schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -179,8 +182,9 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 def keep_identified(docs: DataFrame, least: float = 0.4) -> DataFrame:
     """The rows of ``docs`` whose language is recognised, unchanged.
 
-    The model is learned from the labelled rows of ``docs``. Rows without letters go, as do
-    those whose best language has a calibrated probability under ``least``.
+    The model is learned from the labelled rows of ``docs``. Rows without letters go (null
+    and empty texts too), as do those whose best language has a calibrated probability under
+    ``least``; without labelled rows nothing is recognised. Repeated rows share their fate.
     """
     judged = predict(docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select("text", "_row"), fit(docs))
     return judged.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select("_row.*")

@@ -152,6 +152,70 @@ def test_many_customers(discount, others, p, monkeypatch):
     assert scaled.std() == pytest.approx(exact.std(), rel=0.1)
 
 
+def test_fit_matches_dense_tf_idf_and_ftrl(spark):
+    """The whole way from texts to probabilities, n-gram by n-gram and weight by weight."""
+    import random
+
+    rng = random.Random(5)
+    letters = {"de": "aeinrst", "en": "aehotw", "fr": "aeilous"}
+    texts = [(k, "".join(rng.choice(letters[lang] + " ") for _ in range(rng.randrange(20, 60))), lang) for k in range(45) for lang in [rng.choice(sorted(letters))]]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    model = langid.fit(docs, max_rows=10**6)
+    languages = sorted(letters)
+
+    def number(gram):
+        h = ord(gram[0])
+        for c in gram[1:]:
+            h = (h * 0x01000193 + ord(c)) % 2**32
+        return (h ^ (len(gram) - 1)) * (2654435761, 2246822519, 3266489917)[len(gram) - 1] % 2**32 >> 16
+
+    def counts(text):
+        text = re.sub(" +", " ", f" {text} ")
+        out = np.zeros(langid.DIM)
+        for n in (1, 2, 3):
+            for k in range(len(text) - n + 1):
+                out[number(text[k : k + n])] += 1
+        return out
+
+    dense = {k: counts(t) for k, t, _ in texts}
+    idf = np.log((1 + len(texts)) / (1 + sum(c > 0 for c in dense.values()))) + 1
+    place = {r["doc_id"]: r["p"] for r in docs.select("doc_id", F.xxhash64(F.lit("order"), "doc_id", "text").alias("p")).collect()}
+    order = sorted((k for k, *_ in texts), key=place.__getitem__)
+    rows = [(np.append(30.0 * idf * dense[k] / dense[k].sum(), 1.0), languages.index(texts[k][2])) for k in order]
+    held, train = rows[::5], [r for k, r in enumerate(rows) if k % 5]
+    alpha, beta, l1, l2 = 0.5, 0.1, 0.02, 0.01
+    z, n = np.zeros((langid.DIM + 1, 3)), np.zeros((langid.DIM + 1, 3))
+    leader = lambda: np.where(np.abs(z) > l1, (np.sign(z) * l1 - z) / (l2 + (beta + n**0.5) / alpha), 0)
+    for _ in range(4):
+        for x, y in train:
+            w = leader()
+            e = np.exp(x @ w - (x @ w).max())
+            g = np.outer(x, e / e.sum() - (np.arange(3) == y))
+            z += g - ((n + g**2) ** 0.5 - n**0.5) / alpha * w
+            n += g**2
+    w = leader()
+    logits, y = np.array([x @ w for x, _ in held]), np.array([c for _, c in held])
+    loss = lambda t: -np.mean([v[c] / t - np.log(np.exp(v / t).sum()) for v, c in zip(logits, y, strict=True)])
+    t = min(np.geomspace(0.5, 20, 241), key=loss)
+    assert model.languages == languages
+    assert model.bias == pytest.approx(w[-1] / t, abs=1e-9)
+    assert model.weights == pytest.approx(30.0 * idf[:, None] * w[:-1] / t, abs=1e-5)
+    assert 0 < np.count_nonzero(w[:-1]) < 3 * np.count_nonzero(sum(dense.values()))
+    for r in langid.predict(docs, model).collect():
+        v = np.append(30.0 * idf * dense[r["doc_id"]] / dense[r["doc_id"]].sum(), 1.0) @ w / t
+        p = np.exp(v - v.max()) / np.exp(v - v.max()).sum()
+        assert (r["lang_pred"], r["score"]) == (languages[int(p.argmax())], pytest.approx(p.max(), abs=1e-5))
+
+
+def test_sample_is_bounded_where_rows_repeat(spark, monkeypatch):
+    """A third of all rows is one row, and ids say nothing: the rows fitted stay few."""
+    docs = spark.range(6000).selectExpr("cast(null as long) doc_id", "if(id % 3 = 0, 'the same text', concat('text ', id)) text", "'en' lang")
+    fitted, real = [], langid.ftrl
+    monkeypatch.setattr(langid, "ftrl", lambda rows, *a, **k: (fitted.append(len(rows)), real(rows, *a, **k))[1])
+    langid.fit(docs, max_rows=200)
+    assert 40 < fitted[0] < 300
+
+
 def test_token_counts(spark, sf_dir, documents):
     from tokenizers import Tokenizer
 
@@ -178,3 +242,29 @@ def test_token_cache(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(cache).count() == stored
     assert sorted(map(tuple, token_counts.count_tokens(docs, path, f"{cache}2").collect())) == want
     assert token_counts.count_tokens(docs.where("false"), path, cache).count() == 0
+    # many misses go another way to the same counts
+    monkeypatch.setattr(token_counts, "FEW", 0)
+    assert sorted(map(tuple, token_counts.count_tokens(docs, path, f"{cache}3").collect())) == want
+
+
+def test_full_cache_moves_and_encodes_no_text(spark, tmp_path):
+    path, cache = Q.tokenizer_path("word_bpe_49k.json"), f"file://{tmp_path}/cache"
+    docs = spark.createDataFrame([(k, f"text number {k % 4}") for k in range(12)], "doc_id long, text string")
+    first = sorted(map(tuple, token_counts.count_tokens(docs, path, cache).collect()))
+
+    def never(texts, vocabulary):
+        raise AssertionError("encoded")
+
+    again = token_counts.count_tokens(docs, path, cache, count=never)
+    assert sorted(map(tuple, again.collect())) == first
+    assert "text" not in again._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
+    with pytest.raises(Exception, match="encoded"):
+        token_counts.count_tokens(docs.unionByName(docs.selectExpr("doc_id", "'new' as text")), path, cache, count=never).collect()
+
+
+def test_vocabulary_is_checked_where_it_is_used():
+    path = Q.tokenizer_path("word_bpe_49k.json")
+    good = token_counts.Vocabulary.read(path)
+    assert token_counts.count_texts(["a b"], good) == [2]
+    with pytest.raises(ValueError, match="digest"):
+        token_counts.count_texts(["a b"], token_counts.Vocabulary(good.raw + b" ", "0" * 64))

@@ -131,7 +131,7 @@ def test_chat(spark):
 
 def test_long_conversation_is_numbered_over_ranges(spark):
     """One conversation and its prefix, of which the window of a whole conversation would make two tasks."""
-    turns = spark.range(3000).selectExpr("explode(array(1, null, 2)) conv_id", "id turn", "'u' role", "cast(id as string) text").where("conv_id <=> 1 or conv_id <=> null or turn < 1200")
+    turns = spark.range(3000).selectExpr("explode(array(1, 3, 2)) conv_id", "id turn", "'u' role", "cast(id as string) text").where("conv_id <> 2 or turn < 1200")
     out = chat.prefix_digests(turns.selectExpr("cast(conv_id as long) conv_id", "turn", "role", "text"))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "_range" in plan
@@ -141,6 +141,42 @@ def test_long_conversation_is_numbered_over_ranges(spark):
     assert set(got.loc[got["conv_id"] == 2, "n_turns"]) == {1200} and set(got.loc[got["conv_id"] != 2, "n_turns"]) == {3000}
 
 
+def test_rows_without_conversation_stand_alone(spark):
+    """However many there are, they form no group; equal ones are copies, and a longer log takes in its first turn."""
+    turns = [(None, k % 7, "user", f"t{k % 7}", 0) for k in range(70)] + [(None, 50, "user", "t3", 0), (4, 0, "user", "t5", 0), (4, 1, "user", "x", 0), (9, 0, "user", "t6", 0)]
+    out = chat.render_conversations(spark.createDataFrame(turns, TURNS)).collect()
+    got = sorted((r["conv_id"] or 0, r["n_turns"], r["n_copies"], r["rendered"].count("\n")) for r in out)
+    # t0 to t4 alone (t3 twice, at two turns), t5 is the beginning of 4, t6 equals 9
+    assert got == [(0, 1, 1, 2)] * 4 + [(0, 1, 2, 2), (4, 2, 1, 4), (9, 1, 2, 2)]
+
+
+def test_whole_documents_with_their_shards(spark):
+    docs = spark.createDataFrame(ODD, DOCS)
+    out = sharding.sharded_documents(docs, 3)
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "size", "text_crc32", "shard", "slot"]
+    got = out.collect()
+    assert Counter((r["doc_id"], r["text"], r["source"]) for r in got) == Counter((r[0], r[1], r[3]) for r in ODD)
+    assert len({(r["shard"], r["slot"]) for r in got}) == len(ODD)
+
+
+def test_texts_with_equal_crc_lie_apart(spark):
+    """plumless and buckeroo have the same CRC-32."""
+    assert zlib.crc32(b"plumless") == zlib.crc32(b"buckeroo")
+    docs = spark.createDataFrame([(k, "plumless" if k % 2 else "buckeroo") for k in range(40)], "doc_id long, text string")
+    out = sharding.shard_documents(docs, 1).orderBy("slot").collect()
+    assert len({r["doc_id"] % 2 for r in out[:20]}) == 1
+
+
+def test_mixed_rows_keep_their_columns(spark):
+    """Names that the mix uses itself, maps, and rows that differ in other columns only."""
+    docs = spark.range(60).selectExpr("id % 20 as doc_id", "'a b c' as text", "if(id % 3 = 0, 's', 't') as source", "id as _key", "cast(id as string) as _nth", "map('k', id) as _row", "id as _copy", "1 as row")
+    once = mixing.mixed_documents(docs).collect()
+    assert mixing.mixed_documents(docs).columns == docs.columns
+    assert all(r["_nth"] == str(r["_key"]) and r["_row"] == {"k": r["_copy"]} for r in once)
+    again = mixing.mixed_documents(docs.repartition(5)).collect()
+    assert sorted(map(repr, once)) == sorted(map(repr, again))
+
+
 def test_chat_against_brute_force(spark):
     import random
 
