@@ -31,8 +31,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shard and slot of every row: doc_id, size, text_crc32, shard, slot."""
-    return sharding.shard_documents(docs, SHARDS)
+    """Every row whole with size, text_crc32, shard and slot, so that shards can be written by these two."""
+    return sharding.sharded_documents(docs, SHARDS)
 
 
 STAGES = [
