@@ -31,6 +31,8 @@ FEWEST_BITS, MOST_BITS = 20, 29
 CHUNK = 1 << 20
 #: Places of q-grams in windows that are held at a time, and candidates aligned at a time.
 POSTINGS, ALIGNED = 2_000_000, 20_000
+#: Between texts that are searched together: no character.
+_GAP = np.full(2 * WINDOW, 0x110000, np.uint32)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 22
 
@@ -243,13 +245,12 @@ def _align(codes: np.ndarray, patterns: np.ndarray, low: np.ndarray, width: int)
     return cost[np.arange(len(low)), best], low + best
 
 
-def find_passages(text: str, index: Index) -> list[tuple[int, int, int, int]]:
-    """(window, start, end, edits) of every window found in the whole normalised text; an item without edits counts between word ends only.
+def find_in(codes: np.ndarray, index: Index) -> set[tuple[int, int, int, int]]:
+    """(window, start, end, edits) of every window found; an item without edits counts between word ends only.
 
     Where a piece's q-grams have too many places in windows it is halved, with an overlap
     longer than a match, so what is held at a time stays bounded.
     """
-    codes = codes_of(text)
     found: set[tuple[int, int, int, int]] = set()
     pieces = [(a, min(a + CHUNK + 4 * WINDOW, len(codes))) for a in range(0, max(len(codes) - Q + 1, 0), CHUNK)]
     while pieces:
@@ -269,12 +270,27 @@ def find_passages(text: str, index: Index) -> list[tuple[int, int, int, int]]:
                     start, end = a + max(int(d), 0), a + int(d) + int(length)
                     if k_ <= e and (length >= FUZZY or _at_word_ends(codes, start, end)):
                         found.add((int(index.ids[w]), start, end, int(k_)))
-    return sorted(found)
+    return found
+
+
+def find_passages(text: str, index: Index) -> list[tuple[int, int, int, int]]:
+    """What ``find_in`` finds in one normalised text."""
+    return sorted(find_in(codes_of(text), index))
+
+
+def find_in_each(texts: Sequence[str], index: Index) -> Iterator[tuple[int, int, int, int, int]]:
+    """The same for many texts laid end to end with gaps longer than a match: place of the text, window, start, end, edits."""
+    parts = [codes_of(t) for t in texts]
+    starts = np.cumsum([0, *[len(p) + len(_GAP) for p in parts]])
+    for w, start, end, edits in sorted(find_in(np.concatenate([_GAP[:0], *[x for p in parts for x in (p, _GAP)]]), index)):
+        # a match may begin some edits before its text
+        k = int(np.searchsorted(starts, (start + end) // 2, "right")) - 1
+        yield k, w, max(start - int(starts[k]), 0), end - int(starts[k]), edits
 
 
 def _at_word_ends(codes: np.ndarray, start: int, end: int) -> bool:
     around = [*codes[max(start - 1, 0) : start], *codes[end : end + 1]]
-    return not any(chr(c).isalnum() for c in around)
+    return not any(c != _GAP[0] and chr(c).isalnum() for c in around)
 
 
 def passages(docs: DataFrame, keys: Sequence[Column], distinct: DataFrame) -> DataFrame | None:
@@ -305,7 +321,8 @@ def passages(docs: DataFrame, keys: Sequence[Column], distinct: DataFrame) -> Da
 
         def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             for b in batches:
-                hits = [(k, w, begin + s, begin + e, n) for k, (begin, piece) in enumerate(zip(b["begin"], b["piece"], strict=True)) for w, s, e, n in find_passages(piece, shared.value)]
+                begin = b["begin"].to_numpy()
+                hits = [(k, w, begin[k] + s, begin[k] + e, n) for k, w, s, e, n in find_in_each(b["piece"], shared.value)]
                 yield b[names].iloc[[h[0] for h in hits]].assign(**{c: [h[j] for h in hits] for j, c in enumerate(("wid", "start", "end", "edits"), 1)})
 
         found = stretches.mapInPandas(search, schema)

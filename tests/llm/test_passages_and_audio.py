@@ -73,6 +73,18 @@ def test_odd_rows(spark, monkeypatch):
     assert decontam.contaminated(df.where("false"), bench).count() == 0
 
 
+def test_texts_together_give_what_each_gives():
+    rng = random.Random(5)
+    items = ["".join(rng.choice("abcdefgh ") for _ in range(64)) for _ in range(20)] + ["sixteen letters!"]
+    index = decontam.Index.build(range(21), items)
+    texts = [rng.choice(items)[: rng.randrange(8, 65)] + rng.choice(["", " "]) + rng.choice(items) for _ in range(60)] + ["", "x", "sixteen letters!"]
+    # bands lie elsewhere, so of equally good places of a window another may be named
+    best = lambda hits: {(k, w): min(n for a, b, *_, n in hits if (a, b) == (k, w)) for k, w, *_ in hits}
+    together, each = list(decontam.find_in_each(texts, index)), [(k, *x) for k, t in enumerate(texts) for x in decontam.find_passages(t, index)]
+    assert len(best(each)) > 60 and best(together) == best(each)
+    assert all(0 <= a < b <= len(texts[k]) + 5 for k, _, a, b, _ in together)
+
+
 def test_short_items_are_found_as_they_are(spark):
     """Between word ends, without edits; the parameter says how short an item still counts."""
     docs = [(1, "So: WHAT is\tgravity? Nobody knows."), (2, "somewhat is gravity? no"), (3, "what is gravitas?"), (4, "what is gravity?"), (5, "x eight ch y"), (6, None)]
