@@ -12,6 +12,10 @@ The corpus is cut into blocks of documents. A block sends each of its distinct w
 once to the bucket that owns the pair, and gets the pair's count and mean tables back in
 the same order; so what is shuffled are distinct pairs of a block, packed, and no token
 rows. A context too frequent for one bucket is split over all of them by the pair.
+
+A word is known by the upper 40 bits of its hash in the tables: of a billion words that
+confuses one in two thousand. A block's row for a bucket holds fewer pairs as both grow
+more; in the end each row holds one, so rows never outgrow the blocks' distinct pairs.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ STEP = 250_000
 #: Counts up to this are drawn exactly; for larger ones Stirling numbers are scaled from it, and
 #: tables drawn from a grid of so many points.
 EXACT, GRID = 100, 256
+#: Most contexts that are split over all buckets; of a corpus of any size the next one in frequency fits a task.
+HOT = 4096
 #: Draws that settle the words' tables from one each.
 SETTLE = 20
 END, BEGIN = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
@@ -131,14 +137,15 @@ def merge_words(asked: DataFrame) -> DataFrame:
 
 
 def hot_words(words: DataFrame, least: float) -> np.ndarray:
-    """Words with more than ``least`` occurrences."""
+    """The HOT most frequent words of those with more than ``least`` occurrences."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for x, y in zip(b["a"], b["b"], strict=True):
-                yield pd.DataFrame({"w": read(x, np.uint64)[read(y, np.int64) > least].view(np.int64)})
+                n = read(y, np.int64)
+                yield pd.DataFrame({"w": read(x, np.uint64)[n > least].view(np.int64), "n": n[n > least]})
 
-    found = [r["w"] for r in words.select("a", "b").mapInPandas(run, "w long").collect()]
+    found = [r["w"] for r in words.select("a", "b").mapInPandas(run, "w long, n long").orderBy(F.desc("n"), "w").limit(HOT).collect()]
     return np.array(found, np.int64).view(np.uint64)
 
 
@@ -515,7 +522,6 @@ def score_documents(docs: DataFrame, held_out: Column, strength: float = 1.0, sw
     blocks = stage(cut_blocks(text, np.zeros(0, np.uint64), buckets, pairs=False), "blocks", "zstd")
     words = stage(merge_words(blocks.where("kind = 'ask'").select(*COLUMNS)), "words", "zstd")
     total, distinct = (int(x) for x in words.agg(F.coalesce(F.sum("total"), F.lit(0.0)), F.coalesce(F.sum("extra"), F.lit(0.0))).first())
-    # at most 4 x buckets of them
     hot = np.append(hot_words(words, total / (4 * buckets)), BEGIN)
     merged = stage(merge_pairs(cut_blocks(text, hot, buckets, pairs=True), buckets), "pairs", "zstd")
     release(spark)
