@@ -22,8 +22,8 @@ LOOSE = np.uint32(12)
 #: Frames that an overlap has at least: half of the shorter print, but LEAST of any and ENOUGH of the longest. Of
 #: pairs of unlike 86-frame prints 0.03 % align by chance over 32 frames or more, 0.6 % over 16.
 LEAST, ENOUGH = 16, 32
-#: Queries in one pass over all recordings; each is held against all of them.
-BLOCK = 2000
+#: Queries in one pass over all recordings, each held against all of them, and bytes of their fingerprints.
+BLOCK, BLOCK_BYTES = 2000, 8_000_000
 #: Frames that are transformed at a time.
 CHUNK = 512
 #: Frames of queries whose spectra are held at a time, and frames of recordings times queries that meet them.
@@ -149,8 +149,9 @@ def _of_like_length(prints: list[np.ndarray], most: int) -> Iterator[np.ndarray]
 def best_offsets(own: list[np.ndarray], queries: list[np.ndarray], most_errors: float, least_frames: int, enough_frames: int) -> Iterator[tuple[int, int, int]]:
     """Places in ``own`` and ``queries`` of all pairs that align, and the offset where most bits are equal, less those that differ.
 
-    Equal less different bits are counted at every offset, by Fourier transforms: nothing
-    has to agree exactly for an offset to be looked at.
+    A pair's histogram has a bar for every offset, the equal less the different bits of all
+    frames that meet there, counted by Fourier transforms: nothing has to agree exactly for
+    an offset to count.
     """
     share = 32 * (1 - 2 * most_errors)
     for qs in _of_like_length(queries, QUERY_FRAMES):
@@ -191,13 +192,17 @@ def align(recordings: DataFrame, queries: DataFrame, most_errors: float = 0.22,
     where the overlap has at least half of the shorter print's frames, but ``least_frames``
     of any and ``enough_frames`` of the longest, and the error is at most ``most_errors``;
     of several offsets that with most equal bits less different ones, of
-    equal ones the smallest. A query doesn't match its own id. The queries go in blocks of
-    BLOCK, each held against all recordings in one pass, so no rows meet in a group.
+    equal ones the smallest. A query doesn't match its own id. Nothing is sampled, so every
+    such pair is found, at the price of comparing each query with each recording. The queries
+    go in blocks of about BLOCK and BLOCK_BYTES at most, each held against all recordings in
+    one pass, so no rows meet in a group. Empty fingerprints and tables align with nothing;
+    repeated rows align each by itself; a null fingerprint is an error.
     """
     kinds = [df.schema["rec_id"].dataType.simpleString() for df in (queries, recordings)]
     schema = f"query_id {kinds[0]}, rec_id {kinds[1]}, offset long, votes long, n_frames long, bit_error double"
     spark = recordings.sparkSession
-    n = -(-queries.count() // BLOCK)
+    count, size = queries.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("print")), F.lit(0))).first()
+    n = max(-(-count // BLOCK), -(-size // BLOCK_BYTES))
     out = spark.createDataFrame([], schema)
     for k in range(n):
         block = queries.where(F.pmod(F.xxhash64("rec_id"), F.lit(n)) == k).toPandas().sort_values("rec_id")

@@ -64,21 +64,28 @@ def vector_recordings(embeddings: DataFrame) -> DataFrame:
 
     Two coordinates at a time sound as a chord of 0.2 s, low and high; a coordinate's note
     is its quarter among coordinates. Every recording begins with up to four hops of silence.
+    One in a hundred (vec_id % 100 = 50) goes on to replay, more softly, the tune of the
+    vector 50 before it, so recordings of unlike vectors have stretches in common too.
     """
+    known = embeddings.where("vec_id is not null").select(F.col("vec_id").cast("long"), "embedding")
+    tunes = known.where("vec_id % 100 = 0").groupBy((F.col("vec_id") + 50).alias("vec_id")).agg(F.min("embedding").alias("replayed"))
 
     def play(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         beat = chroma.RATE // 5
         t = np.arange(beat) / chroma.RATE
         notes = np.sin(2 * np.pi * t * 220 * 2 ** (np.arange(24)[:, None] / 12)) * np.hanning(beat)
+
+        def tune(v: np.ndarray | None, loudness: float) -> np.ndarray:
+            v = np.asarray(v if v is not None else [], dtype=np.float64)
+            v = np.nan_to_num(v[: len(v) // 2 * 2])
+            step = np.searchsorted([-0.084, 0.0, 0.084], v) * 3  # quartiles of a coordinate of a random unit vector of 64
+            return loudness * (notes[step[0::2]] + notes[12 + step[1::2]]).ravel()
+
         # a few recordings at a time: their samples are many times their vectors
         for b in (b.iloc[k : k + 256] for b in batches for k in range(0, len(b), 256)):
             audio = []
-            for i, v in zip(b["vec_id"], b["embedding"], strict=True):
-                v = np.asarray(v if v is not None else [], dtype=np.float64)
-                v = np.nan_to_num(v[: len(v) // 2 * 2])
-                step = np.searchsorted([-0.084, 0.0, 0.084], v) * 3  # quartiles of a coordinate of a random unit vector of 64
-                sound = (notes[step[0::2]] + notes[12 + step[1::2]]).ravel()
-                pcm = np.concatenate([np.zeros(int(i) % 5 * chroma.HOP), 12000 * sound]).astype("<i2")
+            for i, v, r in zip(b["vec_id"], b["embedding"], b["replayed"], strict=True):
+                pcm = np.concatenate([np.zeros(int(i) % 5 * chroma.HOP), tune(v, 12000), tune(r, 8000)]).astype("<i2")
                 with io.BytesIO() as f:
                     with wave.open(f, "wb") as w:
                         w.setnchannels(1)
@@ -88,7 +95,7 @@ def vector_recordings(embeddings: DataFrame) -> DataFrame:
                     audio.append(f.getvalue())
             yield pd.DataFrame({"rec_id": b["vec_id"], "audio": audio})
 
-    return embeddings.where("vec_id is not null").select(F.col("vec_id").cast("long"), "embedding").mapInPandas(play, "rec_id long, audio binary")
+    return known.join(tunes, "vec_id", "left").mapInPandas(play, "rec_id long, audio binary")
 
 
 def op7_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:

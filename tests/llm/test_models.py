@@ -79,6 +79,79 @@ def test_language_model(spark, sf_dir, documents):
     assert (out["score"] < 0).all()
 
 
+def seated_scores(train, texts, sweeps, samples, seed=0):
+    """log10 probabilities from a plain sampler that seats every customer by itself, with the same discounts and strength."""
+    rng = np.random.default_rng(seed)
+    pairs = Counter(p for ws in train for p in zip(["<", *ws[:-1]], ws, strict=True))
+    contexts = Counter(w for _, w in pairs)
+    share = lambda c: min(max(sum(n == 1 for n in c.values()) / max(sum(n == 1 for n in c.values()) + 2 * sum(n == 2 for n in c.values()), 1), 0.1), 0.9)
+    d, d0, base = share(pairs), share(contexts), 1 / (len({w for _, w in pairs}) + 1)
+    rooms, root = {}, {}
+
+    def root_p(w):
+        tables = root.get(w, [])
+        total, number = sum(map(sum, root.values())), sum(map(len, root.values()))
+        return (sum(tables) - d0 * len(tables) + (1 + d0 * number) * base) / (1 + total)
+
+    def sit(tables, discount, new):
+        weight = np.array([n - discount for n in tables] + [new])
+        k = rng.choice(len(weight), p=weight / weight.sum())
+        if k == len(tables):
+            tables.append(0)
+        tables[k] += 1
+        return tables[k] == 1
+
+    def leave(tables):
+        k = rng.choice(len(tables), p=np.array(tables) / sum(tables))
+        tables[k] -= 1
+        if not tables[k]:
+            del tables[k]
+            return True
+        return False
+
+    def add(u, w):
+        room = rooms.setdefault(u, {})
+        if sit(room.setdefault(w, []), d, (1 + d * sum(map(len, room.values()))) * root_p(w)):
+            sit(root.setdefault(w, []), d0, (1 + d0 * sum(map(len, root.values()))) * base)
+
+    customers = list(pairs.elements())
+    for u, w in customers:
+        add(u, w)
+    p = {}
+    asked = {x for ws in texts for x in zip(["<", *ws[:-1]], ws, strict=True)}
+    for sweep in range(sweeps + samples):
+        for u, w in customers:
+            if leave(rooms[u][w]):
+                leave(root[w])
+            add(u, w)
+        if sweep >= sweeps:
+            for u, w in asked:
+                room = rooms.get(u, {})
+                tables = room.get(w, [])
+                total, number = sum(map(sum, room.values())), sum(map(len, room.values()))
+                p[u, w] = p.get((u, w), 0) + (sum(tables) - d * len(tables) + (1 + d * number) * root_p(w)) / (1 + total) / samples
+    return [sum(math.log10(p[x]) for x in zip(["<", *ws[:-1]], ws, strict=True)) for ws in texts]
+
+
+def test_scores_match_a_plain_seating_sampler(spark):
+    rng = np.random.default_rng(11)
+    draw = lambda: " ".join(f"w{int(k)}" for k in np.minimum(rng.zipf(1.6, rng.integers(3, 14)), 14))
+    texts = [draw() for _ in range(45)]
+    docs = spark.createDataFrame([(k, t, k >= 30) for k, t in enumerate(texts)], "doc_id long, text string, held boolean")
+    got = {r["doc_id"]: r["score"] / r["n_tokens"] for r in pitman_yor.score_documents(docs, F.col("held"), sweeps=20, samples=40).collect()}
+    want = [s / len(tokens(t)) for s, t in zip(seated_scores([tokens(t) for t in texts[:30]], [tokens(t) for t in texts], 20, 40), texts, strict=True)]
+    off = np.array([got[k] - w for k, w in enumerate(want)])
+    assert np.abs(off).mean() < 0.02 and np.abs(off).max() < 0.08, off
+    assert np.corrcoef(want, [got[k] for k in range(45)])[0, 1] > 0.99
+
+
+def test_hot_words_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(pitman_yor, "HOT", 2)
+    w, n = np.arange(1, 6, dtype=np.uint64), np.array([5, 90, 7, 80, 70])
+    rows = spark.createDataFrame(pitman_yor._frame([pitman_yor._row("words", 0, -1, w, n)]), pitman_yor.SCHEMA)
+    assert list(pitman_yor.hot_words(rows, 6)) == [2, 4]
+
+
 def test_language_model_sums_to_one(spark):
     """Over one-word texts, all words and the unknown one, P(word) P(end | word) sums with P(end) to at most 1."""
     train = ["a b", "a c", "a", "b a b a b", "c"] * 5

@@ -213,6 +213,15 @@ def test_vectors_alike_sound_alike(spark):
     assert len(got & want) >= 27 and len(got - want) <= 2
 
 
+def test_replayed_tunes_are_found(spark, sf_dir, monkeypatch):
+    """Over the given vectors, with queries in several blocks: each query's later replay, and each replay's query."""
+    monkeypatch.setattr(chroma, "BLOCK_BYTES", 500)
+    ids = set(pd.read_parquet(f"{sf_dir}/embeddings.parquet")["vec_id"])
+    want = {(i - 50, i) for i in ids if i % 100 == 50 and i - 50 in ids}
+    got = {(r["query_id"], r["rec_id"]) for r in Q.op7_chroma(spark, sf_dir).where("overlap is not null").collect()}
+    assert want and want <= got
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)
