@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.llm.components import components
+from pulseframe.llm.rows import numbered_rows
 from pulseframe.llm.shingles import mix64, shingle_sets
-from pulseframe.llm.text import free_names
 from pulseframe.sources.staging import scratch, shuffle_partitions, stage
 
 #: Signature values in a band, and bands. At a similarity of 0.8 a pair shares none with a
@@ -346,16 +346,18 @@ def _components(members: DataFrame, sets: DataFrame, percent: int, rounds: int)
     return components(links.union(_settle(members, sets, labels, percent)))
 
 
-def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+def keep_first(docs: DataFrame, width: int = 5, percent: int = 80, stored: bool = False) -> DataFrame:
     """One row of each group of near duplicates in ``docs``, unchanged: that of the smallest doc_id, one without only if all are.
 
-    Rows are told apart by a number of their own, not by doc_id, so rows without doc_id and
-    different texts under one are documents like any other. A row without words is in no
-    group and stays. Any column names may occur.
+    Rows are told apart by a number of their own, not by doc_id (see ``numbered_rows`` for
+    ``stored``), so rows without doc_id and different texts under one are documents like any
+    other; of rows with one doc_id in a group that with the smallest hash of the text stays.
+    A row without words is in no group and stays. Any column names may occur.
     """
-    at, row = free_names(docs, "_at", "_row")
-    order = [F.col("doc_id").cast("long").asc_nulls_last(), F.xxhash64("text"), F.col(at)]
-    laid = docs.withColumn(at, F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
-    numbered = stage(laid.drop(at).withColumn(row, F.monotonically_increasing_id()), "numbered")
-    kept = near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"), width, percent).where("kept").select(F.col("doc_id").alias(row))
-    return numbered.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    numbered, row = numbered_rows(docs, "numbered", stored)
+    grouped = near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"), width, percent).select(F.col("doc_id").alias("_n"), "component_id")
+    named = numbered.select(F.col(row).alias("_n"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("_hash"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_hash", "_n"))
+    kept = stage(grouped.join(named, "_n").groupBy("component_id").agg(first.alias("m")).select(F.col("m._n").alias(row)), "kept")
+    # the rows that stay grow with the documents, so they are never broadcast
+    return numbered.join(kept.hint("merge"), row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

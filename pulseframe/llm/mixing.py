@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulseframe.llm.rows import numbered_rows
 from pulseframe.llm.text import free_names, word_count
 from pulseframe.operators.ordering import prefix_sums
 from pulseframe.sources.staging import scratch, stage
@@ -96,19 +97,21 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int =
     return rows.drop("_end"), mixed
 
 
-def mixed_documents(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3, seed: str = "mix") -> DataFrame:
+def mixed_documents(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3, seed: str = "mix", stored: bool = False) -> DataFrame:
     """``docs`` (doc_id, source, text and any others) with every row as often as the mix draws it, none that it doesn't.
 
-    Rows are numbered and staged, so whole texts are moved once, to the counts of their own
-    draws. Rows equal in doc_id, source and text are told apart by a hash of all columns, so
-    a rerun draws the same ones. Columns come out unchanged, whatever their names.
+    Rows are numbered (see ``numbered_rows`` for ``stored``), so whole texts are moved once,
+    to the counts of their own draws. Rows equal in doc_id, source and text are told apart
+    by a hash of all columns, so a rerun draws the same ones. Columns come out unchanged,
+    whatever their names.
     """
+    numbered, row = numbered_rows(docs, "mix-documents", stored)
+    (count,) = free_names(numbered, "_count")
     with scratch(docs.sparkSession) as keep:
-        row, all_of = free_names(docs, "_row", "_all")
         maps = [c for c, kind in docs.dtypes if "map<" in kind]
         hashed = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) if c in maps else F.col(f"`{c}`") for c in docs.columns if c != "text"])
-        numbered = keep(docs.withColumn(all_of, hashed).withColumn(row, F.monotonically_increasing_id()), "mix-documents")
-        _, draws = mix_sources(numbered.select("doc_id", "source", "text", F.col(all_of).alias("_all"), F.col(row).alias("_row")), weights, most, seed, ("_all", "_row"))
-        times = keep(draws.groupBy(F.col("_row").alias(row)).agg(F.count(F.lit(1)).cast("int").alias(all_of)), "mix-times")
-    drawn = numbered.drop(all_of).join(times, row)
-    return drawn.withColumn(row, F.explode(F.sequence(F.lit(1), F.col(all_of)))).select(*[F.col(f"`{c}`") for c in docs.columns])
+        _, draws = mix_sources(numbered.select("doc_id", "source", "text", hashed.alias("_all"), F.col(row).alias("_row")), weights, most, seed, ("_all", "_row"))
+        times = keep(draws.groupBy(F.col("_row").alias(row)).agg(F.count(F.lit(1)).cast("int").alias(count)), "mix-times")
+    # counts grow with the documents, so they are never broadcast
+    drawn = numbered.join(times.hint("merge"), row)
+    return drawn.withColumn(row, F.explode(F.sequence(F.lit(1), F.col(count)))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.llm.text import byte_count, free_names
+from pulseframe.llm.rows import numbered_rows
+from pulseframe.llm.text import byte_count
 from pulseframe.operators.ordering import prefix_sums
 from pulseframe.sources.staging import stage
 
@@ -47,15 +48,15 @@ def shard_documents(docs: DataFrame, shards: int, overhead: int = 16, carry: Seq
     return placed.join(F.broadcast(firsts), "shard").select("doc_id", "size", "text_crc32", "shard", (F.col("position") - F.col("_first")).alias("slot"), *carry)
 
 
-def sharded_documents(docs: DataFrame, shards: int, overhead: int = 16) -> DataFrame:
+def sharded_documents(docs: DataFrame, shards: int, overhead: int = 16, stored: bool = False) -> DataFrame:
     """The rows of ``docs`` whole, with size, text_crc32, shard and slot: what a writer of shard files needs.
 
     Shard and slot name a row, also where the same document occurs several times. Columns
-    of ``docs`` with these four names are replaced.
+    of ``docs`` with these four names are replaced. See ``numbered_rows`` for ``stored``.
     """
     added = ("size", "text_crc32", "shard", "slot")
-    plain = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in added])
-    (row,) = free_names(plain, "_row")
-    numbered = stage(plain.withColumn(row, F.monotonically_increasing_id()), "shard-documents")
+    numbered, row = numbered_rows(docs, "shard-documents", stored)
+    plain = numbered.select(*[F.col(f"`{c}`") for c in numbered.columns if c.lower() not in added])
     placed = shard_documents(numbered.select("doc_id", "text", F.col(row).alias("_row")), shards, overhead, ("_row",))
-    return numbered.join(placed.select(F.col("_row").alias(row), *added), row).drop(row)
+    # places grow with the documents, so they are never broadcast
+    return plain.join(placed.select(F.col("_row").alias(row), *added).hint("merge"), row).drop(row)

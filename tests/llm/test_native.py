@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import pulseframe.llm.queries as Q
-from pulseframe.llm import chat, mixing, sharding, url_lists
+from pulseframe.llm import chat, minhash, mixing, sharding, url_lists
+from pulseframe.llm.rows import numbered_rows
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size int, shard string"
 ODD = [
@@ -177,6 +178,19 @@ def test_mixed_rows_keep_their_columns(spark):
     assert sorted(map(repr, once)) == sorted(map(repr, again))
 
 
+def test_stored_rows_go_by_their_place(spark, tmp_path):
+    """The same results without a copy of the rows."""
+    docs = spark.createDataFrame(ODD, DOCS)
+    docs.repartition(3).write.parquet(str(tmp_path / "docs"))
+    stored = spark.read.parquet(str(tmp_path / "docs"))
+    numbered, row = numbered_rows(stored, "x", stored=True)
+    first = sorted(map(repr, numbered.collect()))
+    assert len({r[row] for r in numbered.collect()}) == len(ODD) and first == sorted(map(repr, numbered.collect()))
+    for f in (lambda d, **k: mixing.mixed_documents(d, **k), lambda d, **k: sharding.sharded_documents(d, 3, **k).drop("slot"), lambda d, **k: minhash.keep_first(d, **k)):
+        assert sorted(map(repr, f(stored, stored=True).collect())) == sorted(map(repr, f(docs).collect()))
+        assert f(stored.where("false"), stored=True).count() == 0
+
+
 def test_chat_against_brute_force(spark):
     import random
 
