@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from pulseframe.llm import decontam, langid, minhash, mixing, sharding
@@ -10,6 +11,15 @@ from pulseframe.sources.staging import stage
 SHARDS = 40
 
 
+def _stored(docs: DataFrame) -> bool:
+    """Whether rows have places in Parquet files, as the tables between stages do."""
+    try:
+        docs.select("_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        return False
+    return True
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a recognisable language."""
     return langid.keep_identified(docs)
@@ -17,7 +27,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates: shingles of five words, similarity 0.8."""
-    return minhash.keep_first(docs)
+    return minhash.keep_first(docs, stored=_stored(docs))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,12 +37,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its source's share asks for."""
-    return mixing.mixed_documents(docs)
+    return mixing.mixed_documents(docs, stored=_stored(docs))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row whole with size, text_crc32, shard and slot, so that shards can be written by these two."""
-    return sharding.sharded_documents(docs, SHARDS)
+    return sharding.sharded_documents(docs, SHARDS, stored=_stored(docs))
 
 
 STAGES = [
