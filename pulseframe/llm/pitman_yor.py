@@ -268,40 +268,73 @@ def stirling(discount: float) -> np.ndarray:
     return s
 
 
-def draw_tables(rng: np.random.Generator, c: np.ndarray, others: np.ndarray, p: np.ndarray, discount: float, strength: float) -> np.ndarray:
-    """Tables of dishes with ``c`` customers, given the restaurants' other tables and the parent's ``p``.
+def _weights(c: int, r: np.ndarray, p: np.ndarray, discount: float) -> np.ndarray:
+    """log weights of 1, ..., c tables (a row for each of ``r``) for dishes with ``c`` customers, up to EXACT."""
+    tables = np.arange(1, c + 1)
+    return stirling(discount)[c, 1 : c + 1] + tables * np.log(discount * p)[:, None] + np.cumsum(np.log(r[:, None] + tables - 1), axis=1)
+
+
+def _grid_weights(c: np.ndarray, r: np.ndarray, p: np.ndarray, discount: float) -> tuple[np.ndarray, np.ndarray]:
+    """Table numbers on a grid, and their log weights, for dishes with more than EXACT customers.
 
-    Up to EXACT customers the draw is exact. Beyond, S(c, t) t! discount^t / Gamma(c) is
-    taken as the function of t / c^discount that it tends to, read off at EXACT.
+    S(c, t) t! discount^t / Gamma(c) is taken as the function of t / c^discount that it
+    tends to, read off at EXACT.
     """
-    t, log_s = np.ones(len(c), np.int64), stirling(discount)
+    tables = np.arange(1, EXACT + 1)
+    limit = stirling(discount)[EXACT, 1:] - gammaln(EXACT) + gammaln(tables + 1) + tables * np.log(discount)
+    # without the limit the tables but one are negative binomial, and it only makes them fewer
+    mean = (r + 1) * p / (1 - p)
+    spread = 8 * np.sqrt(mean / (1 - p)) + 8
+    top = np.minimum(c, 1 + mean + spread)
+    bottom = np.where(mean > 0.5 * c**discount, 1, np.maximum(1, mean - spread))
+    grid = np.floor(bottom[:, None] + (top - bottom)[:, None] * np.linspace(0, 1, GRID))
+    fine = np.minimum(bottom[:, None].astype(np.int64) + np.arange(GRID), top[:, None].astype(np.int64))
+    grid = np.where((top - bottom < GRID)[:, None], fine, grid)
+    x = np.interp(grid / c[:, None] ** discount, tables / EXACT**discount, limit)
+    weight = x - gammaln(grid + 1) + grid * np.log(p)[:, None] + gammaln(r[:, None] + grid) - gammaln(r)[:, None]
+    weight[:, 1:][grid[:, 1:] == grid[:, :-1]] = -np.inf
+    return grid, weight
+
+
+def draw_tables(rng: np.random.Generator, c: np.ndarray, others: np.ndarray, p: np.ndarray, discount: float, strength: float) -> np.ndarray:
+    """Tables of dishes with ``c`` customers, given the restaurants' other tables and the parent's ``p``; exact up to EXACT customers."""
+    t = np.ones(len(c), np.int64)
     r = strength / discount + others
     for k in range(2, EXACT + 1):
         rows = np.flatnonzero(c == k)
         if len(rows):
-            tables = np.arange(1, k + 1)
-            weight = log_s[k, 1 : k + 1] + tables * np.log(discount * p[rows])[:, None] + np.cumsum(np.log(r[rows][:, None] + tables - 1), axis=1)
+            weight = _weights(k, r[rows], p[rows], discount)
             t[rows] = 1 + (weight + rng.gumbel(size=weight.shape)).argmax(axis=1)
-    tables = np.arange(1, EXACT + 1)
-    limit = log_s[EXACT, 1:] - gammaln(EXACT) + gammaln(tables + 1) + tables * np.log(discount)
     large = np.flatnonzero(c > EXACT)
     for k in range(0, len(large), 2000):
         rows = large[k : k + 2000]
-        # without the limit the tables but one are negative binomial, and it only makes them fewer
-        mean = (r[rows] + 1) * p[rows] / (1 - p[rows])
-        spread = 8 * np.sqrt(mean / (1 - p[rows])) + 8
-        top = np.minimum(c[rows], 1 + mean + spread)
-        bottom = np.where(mean > 0.5 * c[rows] ** discount, 1, np.maximum(1, mean - spread))
-        grid = np.floor(bottom[:, None] + (top - bottom)[:, None] * np.linspace(0, 1, GRID))
-        fine = np.minimum(bottom[:, None].astype(np.int64) + np.arange(GRID), top[:, None].astype(np.int64))
-        grid = np.where((top - bottom < GRID)[:, None], fine, grid)
-        x = np.interp(grid / c[rows][:, None] ** discount, tables / EXACT**discount, limit)
-        weight = x - gammaln(grid + 1) + grid * np.log(p[rows])[:, None] + gammaln(r[rows][:, None] + grid) - gammaln(r[rows])[:, None]
-        weight[:, 1:][grid[:, 1:] == grid[:, :-1]] = -np.inf
+        grid, weight = _grid_weights(c[rows], r[rows], p[rows], discount)
         t[rows] = grid[np.arange(len(rows)), (weight + rng.gumbel(size=weight.shape)).argmax(axis=1)].astype(np.int64)
     return t
 
 
+def draw_alike(rng: np.random.Generator, c: np.ndarray, others: np.ndarray, p: float, discount: float, strength: float) -> np.ndarray:
+    """The same draws where all dishes have one ``p``: those with equal customers and other tables share their weights."""
+    t = np.ones(len(c), np.int64)
+    many = np.flatnonzero(c > 1)
+    kinds, kind = np.unique(np.stack([c[many], others[many]]), axis=1, return_inverse=True)
+    kind, r, order = kind.ravel(), strength / discount + kinds[1], np.argsort(kind.ravel(), kind="stable")
+    ends = np.searchsorted(kind[order], np.arange(len(r) + 1))
+    for a in range(0, len(r), 2000):
+        for k in np.unique(kinds[0, a : a + 2000]).astype(np.int64):
+            rows = a + np.flatnonzero(kinds[0, a : a + 2000] == k)
+            q = np.full(len(rows), p)
+            if k <= EXACT:
+                grid, weight = np.broadcast_to(np.arange(1, k + 1), (len(rows), k)), _weights(int(k), r[rows], q, discount)
+            else:
+                grid, weight = _grid_weights(np.full(len(rows), k), r[rows], q, discount)
+            share = np.cumsum(np.exp(weight - weight.max(axis=1, keepdims=True)), axis=1)
+            for j, row in enumerate(rows):
+                mine = order[ends[row] : ends[row + 1]]
+                t[many[mine]] = grid[j, np.searchsorted(share[j], rng.random(len(mine)) * share[j, -1], "right").clip(max=share.shape[1] - 1)]
+    return t
+
+
 def gammaln(x: np.ndarray | float) -> np.ndarray:
     """log Gamma for x > 0 by Stirling's series, from 8 up after recursion."""
     x = np.asarray(x, dtype=np.float64)
@@ -373,11 +406,11 @@ def seat_words(rows: DataFrame, first: bool, last: bool, level: Level, sweeps: i
             k = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
             now = np.where(keys[k] == words, np.minimum(tables[k], np.maximum(c, 1)), now)
         if len(words):
-            began, p = now.sum(), np.full(len(c), 1 / level.words)
+            began = now.sum()
             burn = max(sweeps, SETTLE) if first else sweeps
             for k in range(burn + samples):
                 total = max(level.tables, began) * now.sum() / began
-                now = draw_tables(rng, c, np.maximum(total - now, 0), p, level.discount, level.strength).astype(np.float64)
+                now = draw_alike(rng, c, np.maximum(total - now, 0), 1 / level.words, level.discount, level.strength).astype(np.float64)
                 t += (k >= burn) * now / samples
         numerator = mean - level.discount * t
         out = [_row("seated", bucket, -1, total=t.sum(), extra=mean.sum())]
@@ -528,7 +561,7 @@ def score_documents(docs: DataFrame, held_out: Column, strength: float = 1.0, sw
     kind = lambda df, *kinds: df.where(F.col("kind").isin(*kinds))
     n1, n2 = kind(merged, "state").agg(F.coalesce(F.sum("total"), F.lit(0.0)), F.coalesce(F.sum("extra"), F.lit(0.0))).first()
     discount = discount_of(n1, n2)
-    single, multi, tables = kind(merged, "single"), kind(merged, "multi"), None
+    single, multi, tables, seated = kind(merged, "single"), kind(merged, "multi"), None, None
     hot_totals: dict[int, tuple[float, float]] = {int(h): (0.0, 0.0) for h in hot}
     *seen, root_state = words_seen(kind(merged, "single", "multi"))
     root_discount = discount_of(*seen)
@@ -541,23 +574,26 @@ def score_documents(docs: DataFrame, held_out: Column, strength: float = 1.0, sw
             words_in = words_in.unionByName(root)
         served = stage(seat_words(words_in, not step, last, Level(root_discount, strength, 0.0, root_state, distinct + 1), sweeps, samples, seed + step), "served", "zstd")
         if not step:
-            single = kind(served, "single")
+            single = stage(kind(served, "single"), "single", "zstd")
+        else:
+            discard(before)  # its seating has gone on, and the pairs have had their answers
         root_tables, customers = kind(served, "seated").agg(F.coalesce(F.sum("total"), F.lit(0.0)), F.coalesce(F.sum("extra"), F.lit(0.0))).first()
         level = Level(root_discount, strength, customers, root_tables, distinct + 1)
         release(spark)
         if last:
             break
-        root = kind(served, "root")
+        before, root = served, kind(served, "root")
         root_state = root.agg(F.coalesce(F.sum("total"), F.lit(0.0))).first()[0]
         pairs_in = kind(merged, "state", "many", *["where"] * (step == 1)).unionByName(kind(served, "served"))
         if tables is not None:
             pairs_in = pairs_in.unionByName(tables)
-        seated = stage(seat_pairs(pairs_in, step == 1, level, discount, strength, hot_totals, buckets, sweeps + samples * (step == 1), samples, seed + step), "seated", "zstd")
+        pairs_before, seated = seated, stage(seat_pairs(pairs_in, step == 1, level, discount, strength, hot_totals, buckets, sweeps + samples * (step == 1), samples, seed + step), "seated", "zstd")
+        for used in (pairs_before, merged) if step else ():
+            discard(used)
         multi, tables = kind(seated, "multi"), kind(seated, "tables")
         sums = kind(seated, "hot").groupBy("a").agg(F.sum("total").alias("c"), F.sum("extra").alias("t")).collect()  # a row for each hot context
         hot_totals = {int(read(r["a"], np.uint64)[0]): (r["c"], r["t"]) for r in sums}
         release(spark)
-    discard(merged)
     begin = kind(served, "begin").agg(F.coalesce(F.sum("total"), F.lit(0.0)), F.coalesce(F.sum("extra"), F.lit(0.0))).first()
     answers = kind(blocks, "docs", "ask").unionByName(kind(served, "told")).unionByName(kind(seated, "answer"))
     scored = score_blocks(answers, level, discount, strength, hot, buckets, tuple(begin), total, distinct)
