@@ -287,15 +287,30 @@ def _grid_weights(c: np.ndarray, r: np.ndarray, p: np.ndarray, discount: float)
     spread = 8 * np.sqrt(mean / (1 - p)) + 8
     top = np.minimum(c, 1 + mean + spread)
     bottom = np.where(mean > 0.5 * c**discount, 1, np.maximum(1, mean - spread))
-    grid = np.floor(bottom[:, None] + (top - bottom)[:, None] * np.linspace(0, 1, GRID))
-    fine = np.minimum(bottom[:, None].astype(np.int64) + np.arange(GRID), top[:, None].astype(np.int64))
-    grid = np.where((top - bottom < GRID)[:, None], fine, grid)
+    points = int(np.clip(np.ceil((top - bottom).max()) + 1, 2, GRID))
+    grid = np.floor(bottom[:, None] + (top - bottom)[:, None] * np.linspace(0, 1, points))
+    fine = np.minimum(bottom[:, None].astype(np.int64) + np.arange(points), top[:, None].astype(np.int64))
+    grid = np.where((top - bottom < points)[:, None], fine, grid)
     x = np.interp(grid / c[:, None] ** discount, tables / EXACT**discount, limit)
     weight = x - gammaln(grid + 1) + grid * np.log(p)[:, None] + gammaln(r[:, None] + grid) - gammaln(r)[:, None]
     weight[:, 1:][grid[:, 1:] == grid[:, :-1]] = -np.inf
     return grid, weight
 
 
+def _draw(rng: np.random.Generator, c: int, r: np.ndarray, p: np.ndarray, discount: float) -> np.ndarray:
+    """Tables of dishes with ``c`` customers each, up to EXACT, by weights multiplied up from one table's; those that overflow go by logarithms."""
+    weight = np.ones((len(r), c))
+    weight[:, 1:] = (r[:, None] + np.arange(1, c)) * (discount * p)[:, None] * np.exp(np.diff(stirling(discount)[c, 1 : c + 1]))
+    with np.errstate(over="ignore", invalid="ignore"):
+        share = np.cumsum(np.cumprod(weight, axis=1), axis=1)
+        t = 1 + (share[:, :-1] <= (rng.random(len(r)) * share[:, -1])[:, None]).sum(axis=1)
+    far = np.flatnonzero(~np.isfinite(share[:, -1]))
+    if len(far):
+        weight = _weights(c, r[far], p[far], discount)
+        t[far] = 1 + (weight + rng.gumbel(size=weight.shape)).argmax(axis=1)
+    return t
+
+
 def draw_tables(rng: np.random.Generator, c: np.ndarray, others: np.ndarray, p: np.ndarray, discount: float, strength: float) -> np.ndarray:
     """Tables of dishes with ``c`` customers, given the restaurants' other tables and the parent's ``p``; exact up to EXACT customers."""
     t = np.ones(len(c), np.int64)
@@ -303,8 +318,7 @@ def draw_tables(rng: np.random.Generator, c: np.ndarray, others: np.ndarray, p:
     for k in range(2, EXACT + 1):
         rows = np.flatnonzero(c == k)
         if len(rows):
-            weight = _weights(k, r[rows], p[rows], discount)
-            t[rows] = 1 + (weight + rng.gumbel(size=weight.shape)).argmax(axis=1)
+            t[rows] = _draw(rng, k, r[rows], p[rows], discount)
     large = np.flatnonzero(c > EXACT)
     for k in range(0, len(large), 2000):
         rows = large[k : k + 2000]
@@ -313,38 +327,14 @@ def draw_tables(rng: np.random.Generator, c: np.ndarray, others: np.ndarray, p:
     return t
 
 
-def draw_alike(rng: np.random.Generator, c: np.ndarray, others: np.ndarray, p: float, discount: float, strength: float) -> np.ndarray:
-    """The same draws where all dishes have one ``p``: those with equal customers and other tables share their weights."""
-    t = np.ones(len(c), np.int64)
-    many = np.flatnonzero(c > 1)
-    kinds, kind = np.unique(np.stack([c[many], others[many]]), axis=1, return_inverse=True)
-    kind, r, order = kind.ravel(), strength / discount + kinds[1], np.argsort(kind.ravel(), kind="stable")
-    ends = np.searchsorted(kind[order], np.arange(len(r) + 1))
-    for a in range(0, len(r), 2000):
-        for k in np.unique(kinds[0, a : a + 2000]).astype(np.int64):
-            rows = a + np.flatnonzero(kinds[0, a : a + 2000] == k)
-            q = np.full(len(rows), p)
-            if k <= EXACT:
-                grid, weight = np.broadcast_to(np.arange(1, k + 1), (len(rows), k)), _weights(int(k), r[rows], q, discount)
-            else:
-                grid, weight = _grid_weights(np.full(len(rows), k), r[rows], q, discount)
-            share = np.cumsum(np.exp(weight - weight.max(axis=1, keepdims=True)), axis=1)
-            for j, row in enumerate(rows):
-                mine = order[ends[row] : ends[row + 1]]
-                t[many[mine]] = grid[j, np.searchsorted(share[j], rng.random(len(mine)) * share[j, -1], "right").clip(max=share.shape[1] - 1)]
-    return t
-
-
 def gammaln(x: np.ndarray | float) -> np.ndarray:
-    """log Gamma for x > 0 by Stirling's series, from 8 up after recursion."""
-    x = np.asarray(x, dtype=np.float64)
-    shift = np.zeros_like(x)
-    y = x.copy()
-    for _ in range(8):
-        low = y < 8
-        shift = shift + np.where(low, np.log(np.where(low, y, 1.0)), 0.0)
-        y = np.where(low, y + 1, y)
-    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - shift
+    """log Gamma for x > 0 by Stirling's series, for less than 8 from 8 further on."""
+    x = np.atleast_1d(np.asarray(x, dtype=np.float64))
+    low = x < 8
+    y = np.where(low, x + 8, x)
+    out = (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + (1 / 12 - (1 / 360 - 1 / (1260 * y * y)) / (y * y)) / y
+    out[low] -= np.log(np.prod(x[low][:, None] + np.arange(8), axis=1))
+    return out
 
 
 @dataclass(frozen=True)
@@ -410,7 +400,7 @@ def seat_words(rows: DataFrame, first: bool, last: bool, level: Level, sweeps: i
             burn = max(sweeps, SETTLE) if first else sweeps
             for k in range(burn + samples):
                 total = max(level.tables, began) * now.sum() / began
-                now = draw_alike(rng, c, np.maximum(total - now, 0), 1 / level.words, level.discount, level.strength).astype(np.float64)
+                now = draw_tables(rng, c, np.maximum(total - now, 0), np.full(len(c), 1 / level.words), level.discount, level.strength).astype(np.float64)
                 t += (k >= burn) * now / samples
         numerator = mean - level.discount * t
         out = [_row("seated", bucket, -1, total=t.sum(), extra=mean.sum())]

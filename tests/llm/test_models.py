@@ -209,17 +209,18 @@ def test_tables_are_drawn_from_their_conditional():
     assert pitman_yor.gammaln(np.array([0.3, 1, 7.5, 40])) == pytest.approx([math.lgamma(x) for x in (0.3, 1, 7.5, 40)], abs=1e-8)
 
 
-def test_draws_that_share_their_weights():
-    """As many tables, on average and in spread, as each drawn by itself; and no faster way to another law."""
-    c = np.repeat([1, 2, 7, 40, 400], 8000)
-    others = np.tile([5.0, 30.0], 20_000)
-    alike = pitman_yor.draw_alike(np.random.default_rng(1), c, others, 0.01, 0.7, 1.0)
-    each = pitman_yor.draw_tables(np.random.default_rng(2), c, others, np.full(len(c), 0.01), 0.7, 1.0)
-    for n in np.unique(c):
-        for o in (5.0, 30.0):
-            rows = (c == n) & (others == o)
-            assert alike[rows].mean() == pytest.approx(each[rows].mean(), rel=0.03)
-            assert alike[rows].std() == pytest.approx(each[rows].std(), rel=0.1, abs=0.02)
+@pytest.mark.parametrize(("others", "p"), [(5.0, 0.01), (30.0, 0.01), (1e9, 0.5)])
+def test_multiplied_weights_are_those_of_the_logarithms(others, p):
+    """As many tables, on average and in spread, as drawn from the log weights; weights past a double's range too."""
+    n = 8000
+    for c in (2, 7, 40, pitman_yor.EXACT):
+        drawn = pitman_yor.draw_tables(np.random.default_rng(2), np.full(n, c), np.full(n, others), np.full(n, p), 0.7, 1.0)
+        weight = pitman_yor._weights(c, np.array([1 / 0.7 + others]), np.array([p]), 0.7)[0]
+        share = np.exp(weight - weight.max()) / np.exp(weight - weight.max()).sum()
+        tables = np.arange(1, c + 1)
+        mean = share @ tables
+        assert drawn.mean() == pytest.approx(mean, rel=0.03)
+        assert drawn.std() == pytest.approx(np.sqrt(share @ (tables - mean) ** 2), rel=0.1, abs=0.02)
 
 
 @pytest.mark.parametrize(("discount", "others", "p"), [(0.6, 50, 0.05), (0.8, 500, 0.02), (0.9, 5, 0.3)])
