@@ -11,8 +11,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import chat, chroma, decontam, langid, minhash, mixing, pitman_yor, sharding, token_counts, url_lists
-from pulseframe.llm.text import id_remainder
+from pulseframe.llm import chat, chroma, decontam, divergence, langid, minhash, mixing, periodic, pitman_yor, sharding, token_counts, url_lists, warc
+from pulseframe.llm.rows import numbered_rows
+from pulseframe.llm.text import WORD, id_remainder
 from pulseframe.sources import staging
 
 SHARDS = 40
@@ -149,6 +150,61 @@ def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_lists.filter_captures(page_captures(pages), host_entries(pages))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page into archives, and what reading them back gives: of a response from its payload, of a revisit from its header."""
+    pages, row = numbered_rows(table(spark, sf_dir, "pages"), "pages", stored=True)
+    captures = pages.select(F.col("page_id").alias("id"), "url", F.col("html").cast("binary").alias("payload"), row)
+    folder = staging.new_folder(spark, "archives")
+    warc.write_archives(warc.mark_revisits(captures, row), folder)
+    records = warc.read_archives(spark, folder, {"bytes": lambda p: F.octet_length(p).cast("long"), "digest": F.sha1})
+    kind = warc.header("WARC-Type")
+    stored = kind == "response"
+    return records.select(
+        warc.captured_id(warc.header("WARC-Record-ID")).alias("page_id"),
+        F.when(stored, F.col("bytes")).otherwise(warc.header("Payload-Length").cast("long")).alias("payload_bytes"),
+        F.when(stored, F.col("digest")).otherwise(F.substring_index(warc.header("WARC-Payload-Digest"), "sha1:", -1)).alias("payload_digest"),
+        kind.alias("record_type"),
+        warc.captured_id(warc.header("WARC-Refers-To")).alias("refers_to"),
+    )
+
+
+def replayed_documents(docs: DataFrame) -> DataFrame:
+    """doc_id and text; one document in ten, by its id, goes on from some word in copies of the words there.
+
+    Invented prose hardly repeats itself with a period. With h the id's CRC-32 and g = h div
+    10, a document with h % 10 = 0 becomes words 0 to a - 1, then the p words from a over and
+    over up to its old length: a = g % n, p = 1 + (n - a) div (3 + g % 8).
+    """
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    docs = docs.select("doc_id", "text", (h % 10 == 0).alias("_replay"), F.call_function("div", h, F.lit(10)).alias("_g"))
+    docs = docs.withColumn("_w", F.when(F.col("_replay"), F.regexp_extract_all("text", F.lit(WORD), F.lit(0))))
+    docs = docs.withColumn("_n", F.coalesce(F.size("_w"), F.lit(0))).withColumn("_a", F.expr("if(_n > 0, cast(_g % _n as int), 0)"))
+    docs = docs.withColumn("_p", F.expr("cast(1 + (_n - _a) div (3 + _g % 8) as int)"))
+    words = F.expr("array_join(transform(sequence(0, _n - 1), i -> element_at(_w, 1 + if(i < _a, i, _a + (i - _a) % _p))), ' ')")
+    return docs.select("doc_id", F.when(F.col("_n") > 0, words).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(replayed_documents(table(spark, sf_dir, "documents")))
+    # the longest run; of several the first, then that of the least period
+    found = found.withColumn("best", F.expr("array_max(transform(runs, r -> struct(r.length as length, -r.start as start, -r.period as period)))"))
+    lines = F.array_join(F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])), "")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("(1000 * best.length) div (-best.period)").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -167,6 +223,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": op8_token_counts,
         "op9_chat": op9_chat,
         "op10_url_lists": op10_url_lists,
+        "op11_source_divergence": op11_source_divergence,
+        "op12_warc": op12_warc,
+        "op13_periodic_runs": op13_periodic_runs,
         "pipeline": pipeline,
     }
 
@@ -266,6 +325,37 @@ active AS (
    AND (u.host = s.pattern OR ends_with(u.host, '.' || s.pattern) OR (u.folder <> '' AND u.host || u.folder = s.pattern)))
 SELECT u.page_id, u.url, u.fetched_on, coalesce(a.action, 'none') AS verdict, a.pattern, a.valid_from
 FROM urls u LEFT JOIN active a ON a.rn = 1 AND a.page_id = u.page_id AND a.url = u.url""",
+    "op11_source_divergence": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+words AS (SELECT d, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS of_lang FROM words GROUP BY ALL HAVING count(DISTINCT d) >= 30),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM words w JOIN kept k ON w.lang = k.lang AND w.term = k.term GROUP BY ALL),
+every AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+shares AS (
+  SELECT lang, source, term, n, 1 + (1000000000::hugeint * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * count(*) OVER (PARTITION BY lang, source)) AS p FROM every),
+usual AS (
+  SELECT lang, term, 1 + (1000000000::hugeint * (of_lang + 5)) // (sum(of_lang) OVER (PARTITION BY lang) + 5 * count(*) OVER (PARTITION BY lang)) AS q FROM kept),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::bigint AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT s.lang, s.source, 'term', s.term, (p - q)::bigint FROM shares s JOIN usual u ON s.lang = u.lang AND s.term = u.term WHERE n > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::int AS rank FROM found
+QUALIFY part = 'pair' OR rank <= 50""",
+    "op12_warc": """
+WITH p AS (SELECT page_id, row_number() OVER () AS r, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT page_id, r, payload, strlen(payload) AS payload_bytes, last_value(struct_pack(page_id, r)) OVER (PARTITION BY payload ORDER BY page_id NULLS FIRST, r ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS f FROM p)
+SELECT page_id, payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN payload_bytes < 1000 OR f.r = r THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND f.r <> r THEN f.page_id END AS refers_to
+FROM d""",
 }
 
 
