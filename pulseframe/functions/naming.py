@@ -15,6 +15,18 @@ def q(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores after it as set it apart from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def no_clash(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:
     """Joined tables may share the key columns only."""
     both = (set(left.columns) & set(right.columns)) - set(keys)

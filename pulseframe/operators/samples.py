@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.functions.keys import unpack_ids
 from pulseframe.functions.naming import q
+from pulseframe.operators.ordering import HOT, over_keys
 
 
 #: A stored training table.
@@ -44,6 +45,16 @@ def event_features(features: DataFrame, event_id: str) -> DataFrame:
     return features.where(F.col("event_id") == event_id)
 
 
+def events_features(features: DataFrame, event_ids: Sequence[str]) -> DataFrame:
+    """All sensor rows of some events; the set reaches the Parquet scan, whose statistics and Bloom filters rule out row groups."""
+    return features.where(F.col("event_id").isin(*event_ids))
+
+
+def _sensor(dom_id: Column) -> Column:
+    parts = unpack_ids(dom_id)
+    return F.struct(parts[0].alias("string"), parts[1].alias("om"), parts[2].alias("pmt"))
+
+
 def event_matrices(features: DataFrame, names: Sequence[str]) -> DataFrame:
     """event_id, dom_ids and features: parallel arrays in the order of the sensor keys as text.
 
@@ -53,11 +64,22 @@ def event_matrices(features: DataFrame, names: Sequence[str]) -> DataFrame:
     row = F.struct("dom_id", F.array(*[q(n).cast("float") for n in names]).alias("f"))
     sorted_ = features.groupBy("event_id").agg(F.array_sort(F.collect_list(row)).alias("s"))
 
-    def ids(x):
-        parts = unpack_ids(x["dom_id"])
-        return F.struct(parts[0].alias("string"), parts[1].alias("om"), parts[2].alias("pmt"))
+    return sorted_.select("event_id", F.transform("s", lambda x: _sensor(x["dom_id"])).alias("dom_ids"), F.transform("s", lambda x: x["f"]).alias("features"))
 
-    return sorted_.select("event_id", F.transform("s", ids).alias("dom_ids"), F.transform("s", lambda x: x["f"]).alias("features"))
+
+def matrix_blocks(features: DataFrame, names: Sequence[str], rows: int = 4096, hot: int = HOT) -> DataFrame:
+    """event_id, block, first, dom_ids and features: matrices as ``event_matrices`` gives them, in blocks of ``rows`` sensors.
+
+    ``first`` is the matrix row that a block begins with. No value holds more than a block,
+    and an event of ``hot`` or more sensor rows is numbered in several tasks, so an event
+    may have any number of them. Rows of one sensor are ordered by their values.
+    """
+    matrix_row = F.array(*[q(n).cast("float") for n in names])
+    placed = over_keys(features.select("event_id", "dom_id", matrix_row.alias("_f")).withColumn("_one", F.lit(1)), ["event_id"], ["dom_id", "_f"], {"_r": ("sum", F.col("_one"))}, hot=hot, name="matrix-rows")
+    at = F.col("_r") - 1
+    blocks = placed.withColumns({"block": F.expr(f"cast((_r - 1) div {rows} as long)"), "_s": F.struct(at.alias("r"), F.col("dom_id"), F.col("_f").alias("f"))})
+    sorted_ = blocks.groupBy("event_id", "block").agg(F.array_sort(F.collect_list("_s")).alias("s"))
+    return sorted_.select("event_id", "block", (F.col("block") * rows).alias("first"), F.transform("s", lambda x: _sensor(x["dom_id"])).alias("dom_ids"), F.transform("s", lambda x: x["f"]).alias("features"))
 
 
 def training_table(indexed: DataFrame, truth: DataFrame, features: DataFrame, names: Sequence[str], labels: Sequence[str], strict: bool = False) -> DataFrame:
@@ -73,9 +95,24 @@ def training_table(indexed: DataFrame, truth: DataFrame, features: DataFrame, na
 
 
 def write_training(training: DataFrame, folder: str) -> None:
-    """The hand-off to a trainer: Parquet by split, each split's files in the order of its samples."""
+    """The hand-off to a trainer: Parquet by split, each split's files in the order of its samples, and a manifest of them."""
     laid = training.repartitionByRange("split", "idx").sortWithinPartitions("split", "idx")
     laid.write.mode("overwrite").partitionBy("split").parquet(folder)
+    manifest(read_training(training.sparkSession, folder)).write.mode("overwrite").parquet(f"{folder}/_manifest")
+
+
+def manifest(training: DataFrame) -> DataFrame:
+    """split, file, first, last, n: the samples in each file of a stored training table.
+
+    Files of a split hold ranges of samples one after the other, so a trainer opens one for
+    an index. The name of a file is taken from below the table's folder.
+    """
+    file = F.concat(F.lit("split="), F.col("split"), F.lit("/"), F.col("_metadata.file_name"))
+    return training.groupBy("split", file.alias("file")).agg(F.min("idx").alias("first"), F.max("idx").alias("last"), F.count(F.lit(1)).alias("n"))
+
+
+def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema("split string, file string, first bigint, last bigint, n bigint").parquet(f"{folder}/_manifest")
 
 
 def read_training(spark: SparkSession, folder: str) -> DataFrame:

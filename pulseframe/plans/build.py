@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import inspect
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -13,7 +14,7 @@ from pulseframe.functions.keys import EVENT_COLUMNS, SENSOR_COLUMNS
 from pulseframe.functions.naming import Feature, vector_map
 from pulseframe.operators.geometry import feature_profile
 from pulseframe.operators.reshape import reshape_features, reshape_truth
-from pulseframe.operators.samples import event_features, one_sample, read_training, training_table, write_training
+from pulseframe.operators.samples import event_features, events_features, one_sample, read_manifest, read_training, training_table, write_training
 from pulseframe.operators.splits import PREDICATES, sample_index, split_all
 from pulseframe.sources.reuse import build_or_reuse, fingerprint, fingerprint_of, reuse_or_write
 from pulseframe.sources.tables import read_features, read_geometry, read_table
@@ -27,8 +28,8 @@ Extractor = Callable[[SparkSession, Mapping[str, str]], Tables]
 class Settings:
     """What shapes the derived tables, and the splits drawn from them.
 
-    ``recipe`` names what the extractor and the converter do, with their own settings: it
-    is part of the fingerprint, so change it when they change. Predicates and labels only
+    ``recipe`` names settings of the extractor and the converter that their code doesn't
+    show; it is part of the fingerprint, as is their source. Predicates and labels only
     shape the training table, which has a fingerprint of its own.
     """
 
@@ -83,6 +84,11 @@ class Built:
     def training(self) -> DataFrame:
         return read_training(self.spark, self.training_folder)
 
+    @property
+    def manifest(self) -> DataFrame:
+        """Which file has which samples: split, file, first, last, n."""
+        return read_manifest(self.spark, self.training_folder)
+
     def split(self, name: str) -> DataFrame:
         if name not in self.settings.predicates:
             raise KeyError(name)
@@ -94,10 +100,23 @@ class Built:
     def event(self, event_id: str) -> DataFrame:
         return event_features(self.table("features"), event_id)
 
+    def events(self, event_ids: Sequence[str]) -> DataFrame:
+        return events_features(self.table("features"), event_ids)
+
     def profile(self, feature: str) -> DataFrame:
         return feature_profile(self.table("features"), self.table("geometry"), feature, self.settings.names)
 
 
+def _code(step: Callable[..., object]) -> str:
+    """A step's name and a digest of the module that defines it, so that other code gives other tables."""
+    step = getattr(step, "func", step)  # of a partial
+    try:
+        source = inspect.getsource(inspect.getmodule(step))
+    except (OSError, TypeError):
+        source = repr(step.__code__.co_code)  # typed in, or no Python
+    return f"{step.__module__}.{step.__qualname__}:{hashlib.sha256(source.encode()).hexdigest()}"
+
+
 def build(
     spark: SparkSession,
     inputs: Mapping[str, str],
@@ -111,12 +130,13 @@ def build(
     """Extract and convert, or reuse an earlier conversion of the same input, then draw the splits' samples.
 
     ``inputs`` are folders or files by name, all that the extractor may read: their files'
-    names and bytes make the fingerprint, with ``settings`` and the names of extractor and
-    converter, so tables never go with other input than they were made of. The training
-    table is stored by split in the order of its samples.
+    names and bytes make the fingerprint, with ``settings`` and the source of extractor and
+    converter, so tables never go with other input than they were made of. Digests of files
+    are kept under ``root``, so a later build reads only new files for it. The training
+    table is stored by split in the order of its samples, with a manifest.
     """
-    steps = [f"{f.__module__}.{f.__qualname__}" for f in (extractor, converter)]
-    parts = [f"{name}={fingerprint(spark, path, '', suffix)}" for name, path in sorted(inputs.items())]
+    steps = [_code(f) for f in (extractor, converter)]
+    parts = [f"{name}={fingerprint(spark, path, '', suffix, f'{root}/_digests/{fingerprint_of([path])}')}" for name, path in sorted(inputs.items())]
     key = fingerprint_of([*parts, *steps, settings.shaping()])
     folder, reused = build_or_reuse(spark, root, key, lambda: converter(extractor(spark, inputs), settings))
     drawn = f"training-{hashlib.sha256(settings.drawing(strict).encode()).hexdigest()}"

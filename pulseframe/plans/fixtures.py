@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pulseframe.functions.keys import EVENT_COLUMNS, SENSOR_COLUMNS
 from pulseframe.functions.naming import Feature, q, vector_map
-from pulseframe.operators.pulses import select_series, sensor_features
+from pulseframe.operators.pulses import extract, select_series, sensor_features, shift_by_mean_time
 from pulseframe.sources.tables import nan_to_null
 
 SERIES, STREAM = "InIceDSTPulses", "InIceSplit"
@@ -70,6 +70,19 @@ def exclusion_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pulses(spark, sf_dir).where(F.col("_ord") % 5 == 0).select("Run", "Event", "SubEvent", "SubEventStream", "string", "om", "pmt", (F.col("time") - hour).alias("start"), (F.col("time") + hour).alias("end"))
 
 
+def bright_pulses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pulses of which every third is one sensor's in one event."""
+    bright = "_ord % 3 = 0"
+    return pulses(spark, sf_dir).withColumns({"Event": F.expr(f"if({bright}, 0, Event)"), "string": F.expr(f"if({bright}, 0, string)")})
+
+
+def overlapping_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of up to two days about every 35th of these pulses: most are the bright sensor's, and they overlap."""
+    hour = 3_600_000_000
+    ends = {"start": F.col("time") - (F.col("_ord") % 25) * hour, "end": F.col("time") + (F.col("_ord") % 24 - 1) * hour}
+    return bright_pulses(spark, sf_dir).where(F.col("_ord") % 35 < 3).select("Run", "Event", "SubEvent", "SubEventStream", "string", "om", "pmt", *[e.alias(c) for c, e in ends.items()])
+
+
 def classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr("cast(1 as bigint) as Run", "o_orderkey as Event", "cast(0 as int) as SubEvent", f"'{STREAM}' as SubEventStream", "cast(substr(o_orderpriority, 1, 1) as int) as classification")
 
@@ -85,16 +98,32 @@ def read_all(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFra
     return {"features": readings(spark, sf_dir), "truth": truth(spark, sf_dir), "geometry": geometry(spark, sf_dir)}
 
 
+def extract_chain(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
+    """An extractor that does all that extraction can be told to: series, stream, sensors, windows, shift, features."""
+    sf_dir = paths["events"].rpartition("/")[0]
+    return {"features": _readings_of(configured(spark, sf_dir)), "truth": truth(spark, sf_dir)}
+
+
+def configured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(
+        pulses(spark, sf_dir), PULSE_FEATURES, EVENT_COLUMNS, SENSOR_COLUMNS, SERIES, [STREAM], bad_sensors(spark, sf_dir), exclusion_windows(spark, sf_dir),
+        modifiers=[lambda p: shift_by_mean_time(p, EVENT_COLUMNS, ORIGIN)],
+    )
+
+
+def _readings_of(named: DataFrame) -> DataFrame:
+    """Features as readings: a cell has one, so its position is order enough."""
+    cells = F.posexplode(F.array(*[q(n) for n in vector_map(PULSE_FEATURES)])).alias("vector_index", "item")
+    return named.select(*EVENT_COLUMNS, *SENSOR_COLUMNS, cells).withColumn("_ord", F.col("vector_index").cast("long"))
+
+
 def extract_all(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
     """An extractor: the five outputs of an extraction, features summarised from pulses."""
     sf_dir = paths["events"].rpartition("/")[0]
     named = sensor_features(select_series(pulses(spark, sf_dir), SERIES), PULSE_FEATURES, [*EVENT_COLUMNS, *SENSOR_COLUMNS])
-    ids = [*EVENT_COLUMNS, *SENSOR_COLUMNS]
-    cells = F.posexplode(F.array(*[q(n) for n in vector_map(PULSE_FEATURES)])).alias("vector_index", "item")
     energies = truth(spark, sf_dir).select(*EVENT_COLUMNS, "PrimaryNeutrinoEnergy")
     return {
-        # a cell has one reading, so its position is order enough
-        "features": named.select(*ids, cells).withColumn("_ord", F.col("vector_index").cast("long")),
+        "features": _readings_of(named),
         "truth": truth(spark, sf_dir),
         "classification": classification(spark, sf_dir),
         "entry_energy": energies.withColumn("energy", F.col("PrimaryNeutrinoEnergy") / 2).drop("PrimaryNeutrinoEnergy"),

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulseframe.functions import keys, naming
@@ -286,6 +287,82 @@ def own_builder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pulses.sensor_features(_series(spark, sf_dir), [count, fx.PULSE_FEATURES[0]], ["Event", "string"], {"PulseCount": lambda f: [F.count(F.lit(1))]})
 
 
+def _slope_terms(feature: naming.Feature, seconds: np.ndarray, cents: np.ndarray) -> np.ndarray:
+    return np.stack([np.ones_like(seconds), seconds, cents, seconds * cents, seconds * seconds], axis=1)
+
+
+def _slopes(feature: naming.Feature, sums: list[list[int]]) -> list[list[float | None]]:
+    spread = [n * tt - t * t for n, t, _, _, tt in sums]
+    return [[float(n * tq - t * q) / float(s) if s else None] for s, (n, t, q, tq, _) in zip(spread, sums, strict=True)]
+
+
+def own_vectorised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A straight line fitted to charge over time (cents an hour), in NumPy, beside a shipped kind; one sensor has a third of all pulses."""
+    kind = pulses.Vectorised(("hours", "cents"), 5, _slope_terms, _slopes)
+    known = fx.bright_pulses(spark, sf_dir).withColumns({"hours": F.expr(f"(time - {fx.ORIGIN}) div 3600000000"), "cents": (F.col("charge") * 100).cast("bigint")})
+    features = [naming.Feature("ChargeSlope", ("charge_slope",)), fx.PULSE_FEATURES[0]]
+    return pulses.sensor_features(pulses.select_series(known, fx.SERIES), features, ["Event", "string"], {"ChargeSlope": kind})
+
+
+def bright_sensor_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Charge by time and times at shares of it, where one sensor of one event has a third of all pulses and is summed up in several tasks."""
+    some = [f for f in fx.PULSE_FEATURES if f.kind in ("ChargeUntilT", "TimeAtChargePercentile")]
+    return _dotless(pulses.sensor_features(pulses.select_series(fx.bright_pulses(spark, sf_dir), fx.SERIES), some, ["Event", "string"], hot=500))
+
+
+def overlapping_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pulses outside of windows that overlap by the thousands in one sensor."""
+    return pulses.exclude_windows(fx.bright_pulses(spark, sf_dir), fx.overlapping_windows(spark, sf_dir), KEYS, hot=500).select("_ord", "Event", "time")
+
+
+def extraction_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features that a build has extracted by the whole configured chain, as stored."""
+    built = build(spark, fx.inputs(sf_dir), staging.session_folder(spark, "builds"), Settings(fx.PULSE_FEATURES, fx.LABELS), fx.extract_chain, strict=False)
+    return _dotless(built.table("features"))
+
+
+def matrix_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matrices in blocks of four sensors, by cell."""
+    blocks = samples.matrix_blocks(_wide(spark, sf_dir), NAMES, 4, hot=50)
+    rows = blocks.select("event_id", "block", "first", F.posexplode("features").alias("r", "f"))
+    return rows.select("event_id", "block", (F.col("first") + F.col("r")).alias("r"), F.posexplode("f").alias("c", "value"))
+
+
+def events_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a hundred events from the stored features."""
+    return _dotless(_built(spark, sf_dir).events([f"Run=1|Event={k}|SubEvent=0|SubEventStream={fx.STREAM}" for k in range(1, 1000, 10)]))
+
+
+def training_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the manifest says of each split: samples, the first and the last, and files that don't follow the one before."""
+    in_order = Window.partitionBy("split").orderBy("first")
+    # a sample without features is in no file, so files may leave gaps but never overlap
+    files = _built(spark, sf_dir).manifest.withColumn("overlaps", F.col("first") <= F.lag("last").over(in_order))
+    return files.groupBy("split").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"), F.count_if("overlaps").alias("overlaps"))
+
+
+def rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions published one after the other: a reader of the first keeps it, the next one gets the second."""
+    root = staging.new_folder(spark, "versions")
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    first, _ = reuse.build_or_reuse(spark, root, "orders", lambda: {"orders": orders.where("o_orderkey % 2 = 0")})
+    reading = spark.read.parquet(f"{first}/orders")
+    second, _ = reuse.build_or_reuse(spark, root, "orders", lambda: {"orders": orders}, most_age=-1)
+    again, reused = reuse.build_or_reuse(spark, root, "orders", lambda: {})
+    latest = spark.read.parquet(f"{again}/orders").withColumn("reused", F.lit(reused and again == second))
+    return reading.withColumns({"reused": F.lit(False), "version": F.lit(1)}).unionByName(latest.withColumn("version", F.lit(2)))
+
+
+def remembered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of text files of a thousand orders each, half of which came after the first look."""
+    folder, store = staging.new_folder(spark, "digested"), staging.new_folder(spark, "digests")
+    lines = fx.table(spark, sf_dir, "orders").select(F.expr("o_orderkey div 1000").alias("part"), "o_orderkey", F.format_string("%d %s", "o_orderkey", "o_orderstatus").alias("value"))
+    for half in (0, 1):
+        lines.where(F.col("part") % 2 == half).repartitionByRange(1000, "part").sortWithinPartitions("o_orderkey").select("value").write.mode("append").text(folder)
+        found = reuse.remembered_digests(spark, folder, store, ".txt")
+    return found.select("digest")
+
+
 def shift_with_missing_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shift where every third user has no number: they are one event."""
     some = fx.pulses(spark, sf_dir).withColumn("Event", F.expr("if(Event % 3 = 0, null, Event)"))
@@ -341,11 +418,7 @@ def _feature(kind: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def _extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything that extraction can be told to do, in order."""
-    found = pulses.extract(
-        fx.pulses(spark, sf_dir), fx.PULSE_FEATURES, EVENT_COLUMNS, SENSOR_COLUMNS, fx.SERIES, [fx.STREAM], fx.bad_sensors(spark, sf_dir), fx.exclusion_windows(spark, sf_dir),
-        modifiers=[lambda p: pulses.shift_by_mean_time(p, EVENT_COLUMNS, fx.ORIGIN)],
-    )
-    return keys.with_event_key(keys.with_sensor_key(found))
+    return keys.with_event_key(keys.with_sensor_key(fx.configured(spark, sf_dir)))
 
 
 def feature_vector_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -384,7 +457,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         training_table, one_sample, event_point_lookup, sensor_coordinates, feature_profile, sensors_without_geometry, series_select, stream_select, exclude_sensors,
         exclude_windows_partial, exclude_windows_full, charge_weighted_shift, feature_vector_wide, feature_vector_long, classification_join, table_fingerprint, file_fingerprints,
         parquet_roundtrip, registry, stored_truth, stored_profile, own_converter, extraction_outputs, read_many_files, read_csv_files, read_by_name, suffix_filter, geometry_scan,
-        concatenated, fingerprint_files, own_builder, shift_with_missing_ids,
+        concatenated, fingerprint_files, own_builder, shift_with_missing_ids, own_vectorised, bright_sensor_charges, overlapping_windows, extraction_chain, matrix_blocks, events_lookup,
+        training_manifest, rebuilt, remembered_files,
     ]
     named = {"total_charge": "TotalCharge", "first_pulse": "TFirstPulse", "charge_until_t": "ChargeUntilT", "t_spread": "TSpread", "time_at_percentile": "TimeAtChargePercentile"}
     return {f.__name__: f for f in plain} | {name: _feature(kind) for name, kind in named.items()}

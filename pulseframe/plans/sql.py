@@ -37,6 +37,7 @@ PULSES = f"""pulses AS (
          epoch_us(ts) AS time, value::decimal(12,2) AS charge, event_id AS ord
   FROM events)"""
 SERIES = f"{PULSES}, used AS (SELECT * FROM pulses WHERE series = 'InIceDSTPulses' AND time IS NOT NULL AND charge IS NOT NULL)"
+BRIGHT = f"""{PULSES}, bright AS (SELECT * REPLACE (CASE WHEN ord % 3 = 0 THEN 0 ELSE event END AS event, CASE WHEN ord % 3 = 0 THEN 0 ELSE string END AS string) FROM pulses)"""
 WINDOWS = f"{PULSES}, windows AS (SELECT event, string, time - 3600000000 AS start, time + 3600000000 AS stop FROM pulses WHERE ord % 5 = 0)"
 SUMMED = """summed AS (
   SELECT *, min(time) OVER k AS first, sum(charge) OVER k AS total, sum(charge) OVER r AS running
@@ -148,6 +149,19 @@ SELECT split, idx, event_id, n_sensors, ("PrimaryNeutrinoEnergy" / 2)::float AS
     "concatenated": f"""WITH {TRUTH} SELECT event_id, "PrimaryNeutrinoEnergy", row_number() OVER (ORDER BY event % 5 DESC, _ord) - 1 AS position FROM truth WHERE event % 5 < 2""",
     "fingerprint_files": "SELECT sha256(string_agg(o_orderkey || ' ' || o_orderstatus || chr(10), '' ORDER BY o_orderkey)) AS digest FROM orders GROUP BY o_orderkey // 1000",
     "own_builder": f'WITH {SERIES} SELECT event AS "Event", string, count(*) AS n_pulses, sum(charge)::double AS total_charge FROM used GROUP BY ALL',
+    "own_vectorised": f"""WITH {BRIGHT}, used AS (SELECT *, (time - {ORIGIN}) // 3600000000 AS t, (charge * 100)::hugeint AS q FROM bright WHERE series = 'InIceDSTPulses' AND time IS NOT NULL AND charge IS NOT NULL),
+sums AS (SELECT event, string, count(*)::hugeint AS n, sum(t) AS t, sum(q) AS q, sum(t * q) AS tq, sum(t * t) AS tt, sum(charge) AS total FROM used GROUP BY ALL)
+SELECT event AS "Event", string, CASE WHEN n * tt - t * t <> 0 THEN (n * tq - t * q)::double / (n * tt - t * t)::double END AS charge_slope, total::double AS total_charge FROM sums""",
+    "bright_sensor_charges": f"""WITH {BRIGHT}, used AS (SELECT * FROM bright WHERE series = 'InIceDSTPulses' AND time IS NOT NULL AND charge IS NOT NULL), {SUMMED}
+SELECT event AS "Event", string, {", ".join([*[_until(d) for d in (1, 3, 10)], *[_share(p) for p in (0.01, 0.5, 0.9)]])} FROM summed GROUP BY event, string""",
+    "overlapping_windows": f"""WITH {BRIGHT}, windows AS (SELECT event, string, time - (ord % 25) * 3600000000 AS start, time + (ord % 24 - 1) * 3600000000 AS stop FROM bright WHERE ord % 35 < 3)
+SELECT ord AS _ord, event AS "Event", time FROM bright p WHERE NOT EXISTS (SELECT 1 FROM windows w WHERE w.event = p.event AND w.string = p.string AND w.start <= p.time AND p.time < w.stop)""",
+    "extraction_chain": f"WITH {EXTRACTED} SELECT * FROM vectors",
+    "matrix_blocks": f"WITH {MATRIX} SELECT event_id, (r // 4)::bigint AS block, r::bigint AS r, c, (CASE c WHEN 0 THEN p0 WHEN 1 THEN p1 ELSE p2 END)::float AS value FROM rows, (SELECT unnest([0, 1, 2])::int AS c)",
+    "events_lookup": f"WITH {WIDE} SELECT event_id, dom_id, {NAMED} FROM wide WHERE event_id IN (SELECT 'Run=1|Event=' || k || '|SubEvent=0|SubEventStream=InIceSplit' FROM range(1, 1000, 10) t(k))",
+    "training_manifest": f"WITH {INDEXED}, {WIDE} SELECT split, count(*)::bigint AS n, min(idx) AS first, max(idx) AS last, 0::bigint AS overlaps FROM indexed WHERE event_id IN (SELECT event_id FROM wide) GROUP BY split",
+    "rebuilt": "SELECT o_orderkey, o_totalprice, false AS reused, 1 AS version FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, o_totalprice, true, 2 FROM orders",
+    "remembered_files": "SELECT sha256(string_agg(o_orderkey || ' ' || o_orderstatus || chr(10), '' ORDER BY o_orderkey)) AS digest FROM orders GROUP BY o_orderkey // 1000",
     "parquet_roundtrip": f"WITH {WIDE} SELECT event_id, dom_id, {NAMED}, NULL::double AS absent FROM wide",
 }
 

@@ -53,11 +53,11 @@ def session_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back."""
+def stage(df: DataFrame, name: str, compression: str = "snappy", **options: object) -> DataFrame:
+    """Write ``df`` to the shared folder, with the writer's ``options``, and read it back."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.option("compression", compression).parquet(path)
+    df.write.options(compression=compression, **options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 from pulseframe.functions.naming import q
 
 
+#: Bytes of a row group of features: a lookup reads a few of these.
+ROW_GROUP = 16 << 20
+
+
 class GeometryMissingError(ValueError):
     """There are no sensor positions."""
 
@@ -66,12 +70,18 @@ def select_streams(df: DataFrame, streams: Sequence[str], column: str = "SubEven
     return df.where(q(column).isin(*streams))
 
 
-def write_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
-    """Each table as Parquet under its name; features are clustered by event for point lookups."""
+def write_tables(tables: Mapping[str, DataFrame], folder: str, group_bytes: int = ROW_GROUP) -> None:
+    """Each table as Parquet under its name.
+
+    Features are clustered by event for lookups of some events: in row groups of about
+    ``group_bytes`` whose statistics are narrow, each with a Bloom filter of its event ids.
+    """
     for name, df in tables.items():
+        writer = df.write
         if {"event_id", "dom_id"} <= set(df.columns):
-            df = df.repartitionByRange("event_id").sortWithinPartitions("event_id", "dom_id")
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+            writer = df.repartitionByRange("event_id").sortWithinPartitions("event_id", "dom_id").write
+            writer = writer.options(**{"parquet.bloom.filter.enabled#event_id": True, "parquet.bloom.filter.adaptive.enabled": True, "parquet.block.size": group_bytes, "parquet.page.size": min(group_bytes, 1 << 20)})
+        writer.mode("overwrite").parquet(f"{folder}/{name}")
 
 
 def read_features(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:

@@ -1,5 +1,7 @@
 import hashlib
 import os
+import threading
+import time
 from dataclasses import replace
 
 import pytest
@@ -92,6 +94,75 @@ def test_build_is_reused(spark, tmp_path):
     assert len(calls) == 2
 
 
+def test_builders_and_readers_at_once(spark, tmp_path):
+    """Two builders make one version, a reader keeps what it reads, and nothing half-made is ever seen."""
+    root, made, got = str(tmp_path / "out"), [], []
+
+    def make():
+        made.append(1)
+        time.sleep(1.5)
+        return {"t": spark.range(len(made) * 10)}
+
+    def run():
+        got.append(reuse.build_or_reuse(spark, root, "k", make))
+
+    both = [threading.Thread(target=run) for _ in range(2)]
+    [t.start() for t in both]
+    while any(t.is_alive() for t in both):
+        assert reuse.published(spark, f"{root}/k") in (None, *[g[0] for g in got]) or spark.read.parquet(f"{reuse.published(spark, f'{root}/k')}/t").count() == 10
+    [t.join() for t in both]
+    assert len(made) == 1 and sorted(reused for _, reused in got) == [False, True] and got[0][0] == got[1][0]
+    reading = spark.read.parquet(f"{got[0][0]}/t")
+    newer, reused = reuse.build_or_reuse(spark, root, "k", make, most_age=-1)
+    assert not reused and newer != got[0][0]
+    assert (reading.count(), spark.read.parquet(f"{newer}/t").count()) == (10, 20)
+    assert reuse.published(spark, f"{root}/k") == newer
+    reuse.build_or_reuse(spark, root, "k", make, most_age=-1)
+    assert not os.path.exists(got[0][0]) and os.path.exists(newer)  # the one before the latest stays
+
+
+def test_a_failed_or_dead_builder_is_no_hindrance(spark, tmp_path):
+    folder = str(tmp_path / "out")
+
+    def fail(path):
+        spark.range(3).write.parquet(f"{path}/t")
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        reuse.reuse_or_write(spark, folder, fail)
+    assert [f for f in os.listdir(folder) if not f.startswith(".")] == []
+    (tmp_path / "out" / "_lease").write_text("")
+    os.utime(tmp_path / "out" / "_lease", (1, 1))
+    path, reused = reuse.reuse_or_write(spark, folder, lambda p: spark.range(3).write.parquet(f"{p}/t"))
+    assert not reused and spark.read.parquet(f"{path}/t").count() == 3
+    assert sorted(f for f in os.listdir(folder) if not f.startswith(".")) == [os.path.basename(path)]
+
+
+def test_only_new_files_are_read_for_their_digests(spark, tmp_path):
+    folder, store = tmp_path / "in", str(tmp_path / "store")
+    folder.mkdir()
+    for k in range(2000):
+        (folder / f"{k:05d}.txt").write_text(f"{k}")
+        os.utime(folder / f"{k:05d}.txt", (1_700_000_000 + k, 1_700_000_000 + k))
+    digests = lambda: {r["name"]: r["digest"] for r in reuse.remembered_digests(spark, str(folder), store, ".txt").collect()}
+    want = {f"{k:05d}.txt": hashlib.sha256(f"{k}".encode()).hexdigest() for k in range(2000)}
+    assert digests() == want
+    key = reuse.fingerprint(spark, str(folder), "s", ".txt", store)
+    assert key == reuse.fingerprint(spark, str(folder), "s", ".txt")
+    # an old file whose bytes change behind its back shows that it isn't read again
+    (folder / "00007.txt").write_text("X")
+    os.utime(folder / "00007.txt", (1_700_000_007, 1_700_000_007))
+    for k in range(2000, 2003):
+        (folder / f"{k:05d}.txt").write_text(f"{k}")
+        want[f"{k:05d}.txt"] = hashlib.sha256(f"{k}".encode()).hexdigest()
+    (folder / "01999.txt").unlink()
+    del want["01999.txt"]
+    assert digests() == want
+    assert reuse.fingerprint(spark, str(folder), "s", ".txt", store) != key
+    (folder / "00008.txt").write_text("other")
+    assert digests()["00008.txt"] == hashlib.sha256(b"other").hexdigest()
+
+
 def test_whole_build(spark, sf_dir, tmp_path):
     settings = Settings([Feature("Level", ("level",)), Feature("Share", ("share",), {"percentiles": [0.01, 0.5]})], fx.LABELS)
     args = (spark, fx.inputs(sf_dir), str(tmp_path / "out"), settings, fx.read_all)
