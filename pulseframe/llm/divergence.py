@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pulseframe.sources.staging import scratch, stage
 
 #: Bytes of text whose term pointers are sorted together.
-SLICE = 1 << 25
+SLICE = 1 << 24
 #: Sources in a block and terms in a slice of the comparison of sources.
 SOURCES, TERMS = 256, 4096
 SCALE, PRIOR = 1_000_000_000, 5
