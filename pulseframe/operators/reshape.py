@@ -7,10 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.functions.keys import EVENT_COLUMNS, SENSOR_COLUMNS, with_event_key, with_sensor_key
+from pulseframe.functions.keys import EVENT_COLUMNS, SENSOR_COLUMNS, TypedKey, with_event_key
 from pulseframe.functions.naming import q
 
 
+def _first_readings(rows: DataFrame, keys: Sequence[str], positions: int) -> DataFrame:
+    """A column for each position in one aggregate, so rows are exchanged once, after what a task has of a cell is one reading."""
+    cells = [F.min_by("item", F.when(F.col("vector_index") == k, F.col("_ord"))).alias(str(k)) for k in range(positions)]
+    used = rows.where(F.col("item").isNotNull())
+    return used.groupBy(*keys).agg(*cells)
+
+
 def pivot_first(features: DataFrame, positions: int) -> DataFrame:
     """One row for each event and sensor, a column for each position, named 0, 1, ...
 
@@ -19,8 +26,18 @@ def pivot_first(features: DataFrame, positions: int) -> DataFrame:
     Sensors without any reading disappear; a position without any stays as nulls. Positions
     are given, so no job looks for them.
     """
-    wide = features.where(F.col("item").isNotNull()).groupBy("event_id", "dom_id").pivot("vector_index", list(range(positions))).agg(F.min_by("item", "_ord"))
-    return wide.select("event_id", "dom_id", *[q(str(k)) for k in range(positions)])
+    return _first_readings(features, ["event_id", "dom_id"], positions)
+
+
+def pivot_typed(features: DataFrame, positions: int, event: TypedKey, sensor: TypedKey, by_event: bool = False) -> DataFrame:
+    """``pivot_first`` over typed keys: their parts, then the positions; no key text is made or exchanged.
+
+    ``by_event`` deals readings out by event, so that an event's sensors can be put
+    together where they are; else what a task has of a cell is one reading before it moves.
+    """
+    rows = features.select(*event.parts(), *sensor.parts(), "vector_index", "item", "_ord")
+    rows = rows.where(F.col("item").isNotNull()).repartition(*event.names) if by_event else rows
+    return _first_readings(rows, [*event.names, *sensor.names], positions)
 
 
 def name_columns(wide: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -29,9 +46,10 @@ def name_columns(wide: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def reshape_features(features: DataFrame, names: Sequence[str], event_columns: Sequence[str] = EVENT_COLUMNS, sensor_columns: Sequence[str] = SENSOR_COLUMNS) -> DataFrame:
-    """Long readings (ids, vector_index, item, _ord) to wide named features under string keys."""
-    keyed = with_event_key(with_sensor_key(features, sensor_columns), event_columns)
-    return name_columns(pivot_first(keyed, len(names)), names)
+    """Long readings (ids, vector_index, item, _ord) to wide named features under string keys, made once the features are."""
+    event, sensor = TypedKey.of(features, event_columns, "_e"), TypedKey.of(features, sensor_columns, "_s")
+    wide = pivot_typed(features, len(names), event, sensor)
+    return name_columns(wide.select(event.text().alias("event_id"), sensor.text().alias("dom_id"), *[q(str(k)) for k in range(len(names))]), names)
 
 
 def reshape_truth(truth: DataFrame, event_columns: Sequence[str] = EVENT_COLUMNS) -> DataFrame:

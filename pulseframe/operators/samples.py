@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pulseframe.functions.keys import unpack_ids
+from pulseframe.functions.keys import EVENT_COLUMNS, SENSOR_COLUMNS, TypedKey, unpack_ids
 from pulseframe.functions.naming import q
-from pulseframe.operators.ordering import HOT, over_keys
+from pulseframe.operators.ordering import HOT, over_keys, ranked
+from pulseframe.operators.reshape import pivot_typed
+from pulseframe.operators.splits import PREDICATES, with_matches
 
 
 #: A stored training table.
@@ -94,6 +96,35 @@ def training_table(indexed: DataFrame, truth: DataFrame, features: DataFrame, na
     return indexed.select("split", "idx", "event_id").join(last, "event_id").join(event_matrices(features, names), "event_id").select("split", "idx", "event_id", "dom_ids", "features", "labels")
 
 
+def training_from_ids(
+    truth: DataFrame, readings: DataFrame, names: Sequence[str], labels: Sequence[str], predicates: Mapping[str, str] = PREDICATES,
+    event_columns: Sequence[str] = EVENT_COLUMNS, sensor_columns: Sequence[str] = SENSOR_COLUMNS, strict: bool = False,
+) -> DataFrame:
+    """``training_table`` from truth and long readings by their ids, without key text on the way.
+
+    Truth rows are ranked in their splits, then meet their event's last labels and its
+    matrix where readings of the event were dealt to: rows are exchanged once for the ranks
+    and once for the event, readings once. Rows of equal ``_ord`` are ranked by their ids.
+    """
+    event, sensor = TypedKey.of(truth, event_columns, "_e"), TypedKey.of(readings, sensor_columns, "_s")
+    matched = with_matches(truth.withColumn("event_id", event.text(event.parts())), predicates)
+    vector = F.array(*[q(c).cast("float") for c in labels]).alias("labels")
+    rows = matched.select(*event.parts(), "_ord", vector, F.explode_outer("matched").alias("split"))
+    indexed = ranked(rows, "split", [F.col("_ord"), *[F.col(n) for n in event.names]], "idx", "training-order")
+    last = F.max(F.struct("_ord", "labels")).over(Window.partitionBy(*event.names))["labels"]
+    labelled = indexed.withColumn("labels", last).where("split is not null")
+
+    wide = pivot_typed(readings, len(names), TypedKey.of(readings, event_columns, "_e"), sensor, by_event=True)
+    one = F.struct(*sensor.names, F.array(*[q(str(k)).cast("float") for k in range(len(names))]).alias("f"))
+    # text decides the order of sensors, so it is made where the event's rows are
+    texts = F.array_sort(F.transform("l", lambda x: F.struct(sensor.text([x[n] for n in sensor.names]).alias("dom_id"), x["f"].alias("f"))))
+    matrices = wide.groupBy(*event.names).agg(F.collect_list(one).alias("l")).withColumn("s", texts)
+    matrices = matrices.select(*event.names, F.transform("s", lambda x: _sensor(x["dom_id"])).alias("dom_ids"), F.transform("s", lambda x: x["f"]).alias("features"))
+    if strict and not labelled.join(matrices, event.names, "left_anti").isEmpty():
+        raise EventsWithoutFeaturesError("events without features")
+    return labelled.join(matrices, event.names).select("split", "idx", event.text().alias("event_id"), "dom_ids", "features", "labels")
+
+
 def write_training(training: DataFrame, folder: str) -> None:
     """The hand-off to a trainer: Parquet by split, each split's files in the order of its samples, and a manifest of them."""
     laid = training.repartitionByRange("split", "idx").sortWithinPartitions("split", "idx")

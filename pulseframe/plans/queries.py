@@ -66,8 +66,10 @@ def pivot_named(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pivot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pivot over order lines, the largest table, in its own order by whole rows."""
-    wide = reshape.pivot_first(keys.with_event_key(keys.with_sensor_key(fx.big_readings(spark, sf_dir))), 7)
-    return wide.select("event_id", "dom_id", *[q(str(k)).alias(f"p{k}") for k in range(7)])
+    lines = fx.big_readings(spark, sf_dir)
+    event, sensor = keys.TypedKey.of(lines, EVENT_COLUMNS, "_e"), keys.TypedKey.of(lines, SENSOR_COLUMNS, "_s")
+    wide = reshape.pivot_typed(lines, 7, event, sensor)
+    return wide.select(event.text().alias("event_id"), sensor.text().alias("dom_id"), *[q(str(k)).alias(f"p{k}") for k in range(7)])
 
 
 def truth_reshape(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,9 +158,7 @@ def sample_with_sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    truth = _truth(spark, sf_dir)
-    indexed = splits.sample_index(splits.split_all(truth).select("split", "event_id", "_ord"))
-    return samples.training_table(indexed, truth, _wide(spark, sf_dir), NAMES, fx.LABELS)
+    return samples.training_from_ids(fx.truth(spark, sf_dir), fx.readings(spark, sf_dir), NAMES, fx.LABELS)
 
 
 def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import logging
+import os
 import time
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
@@ -140,6 +141,13 @@ class _Folder:
     def claim(self, name: str) -> bool:
         """Make a file that nobody else has made; False if somebody has."""
         self._fs.mkdirs(self._path(""))
+        if self._fs.getUri().getScheme() == "file":
+            # Hadoop looks and then creates; the operating system does both at once
+            try:
+                os.close(os.open(self._path(name).toUri().getPath(), os.O_CREAT | os.O_EXCL))
+            except FileExistsError:
+                return False
+            return True
         try:
             self._fs.create(self._path(name), False).close()
         except Py4JJavaError as e:
@@ -158,22 +166,21 @@ class _Folder:
 @contextmanager
 def _lease(folder: _Folder, longest: float, ready: Callable[[], str | None], wait: float) -> Iterator[str | None]:
     """Hold the folder's lease, or give what another builder has published meanwhile."""
-    mine = False
-    while not mine:
-        if (found := ready()) is not None:
-            yield found
-            return
-        if not (mine := folder.claim("_lease")):
-            if time.time() - folder.changed("_lease") > longest:
-                # of all who see that it is old one can take it away
-                stale = f"_stale-{uuid.uuid4().hex}"
-                if folder.rename("_lease", stale):
-                    logging.getLogger(__name__).warning("took over the lease of %s", folder.path)
-                    folder.delete(stale)
-            else:
-                time.sleep(wait)
+    while (found := ready()) is None and not folder.claim("_lease"):
+        if time.time() - folder.changed("_lease") > longest:
+            # of all who see that it is old one can take it away
+            stale = f"_stale-{uuid.uuid4().hex}"
+            if folder.rename("_lease", stale):
+                logging.getLogger(__name__).warning("took over the lease of %s", folder.path)
+                folder.delete(stale)
+        else:
+            time.sleep(wait)
+    if found is not None:
+        yield found
+        return
     try:
-        yield None
+        # somebody may have published between the look and the lease
+        yield ready()
     finally:
         folder.delete("_lease")
 
@@ -193,7 +200,7 @@ def reuse_or_write(spark: SparkSession, folder: str, write: Callable[[str], None
     A version is written to a folder of its own attempt and renamed when it is whole, so
     nobody reads half of one, and a version that is being read is never written over: the
     one before the latest stays. One builder at a time holds a lease, which the store
-    grants to the first who asks; others wait for what it publishes. A builder that fails
+    grants to the first who asks (as local file systems and HDFS do); others wait for what it publishes. A builder that fails
     gives the lease back and its attempt goes; a lease older than ``lease`` seconds is
     taken over. Renaming a folder has to be atomic, as in HDFS and local file systems.
     """

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulseframe.functions.naming import q
+from pulseframe.functions.naming import free_names, q
+from pulseframe.operators.ordering import ranked
+from pulseframe.sources.staging import stage
 
 
 #: Bytes of a row group of features: a lookup reads a few of these.
@@ -40,14 +42,26 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*[F.nanvl(q(c), F.lit(None)).alias(c) if kinds[c] in ("double", "float") else q(c) for c in df.columns])
 
 
+def _file_ranks(spark: SparkSession, source: str, suffix: str | None, path: str, rank: str) -> DataFrame:
+    """The files of a folder, by a hash of their path, with their rank by path; they are listed and not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix or ''}").load(source)
+    ranks = ranked(files.select(F.lit(0).alias("all"), F.col("_metadata.file_path").alias("file")), "all", [F.col("file")], rank, "file-order")
+    ranks = stage(ranks.select(F.xxhash64("file").alias(path), rank), "file-ranks")
+    n, distinct, last = ranks.agg(F.count(F.lit(1)), F.countDistinct(path), F.max(rank)).first()
+    if n and (distinct < n or last >= 1 << 24):
+        raise ValueError(f"{source}: {n} files can't be told apart by hash, or are more than 2^24")
+    return ranks
+
+
 def read_table(spark: SparkSession, source: str, format: str = "parquet", schema: T.StructType | str | None = None, order: str | None = None, suffix: str | None = None) -> DataFrame:
     """A whole table by path (parquet, csv, json, orc) or, with format ``table``, by name.
 
     Of a folder only its own files are read, those with ``suffix`` if one is given. Input
     order, which later steps need, becomes ``_ord``: the column ``order`` as a number, or
-    else a struct that sorts as the rows stand, files by name, then place in the file.
-    Nothing about files comes to the driver, and their number has no bound. A table by name
-    has no files to go by, so its rows count by partition. NaN becomes null.
+    else what sorts as the rows stand, files by path, then place in the file. Files are
+    ranked from their listing, and 24 bits of rank and 40 of place make a number; formats
+    without places of rows add one for the row to it. A table by name has no files to go
+    by, so its rows count by partition. NaN becomes null.
     """
     if format == "table":
         df = spark.table(source)
@@ -60,9 +74,15 @@ def read_table(spark: SparkSession, source: str, format: str = "parquet", schema
         return nan_to_null(df).withColumn("_ord", q(order).cast("bigint"))
     if format == "table":
         return nan_to_null(df).withColumn("_ord", F.monotonically_increasing_id())
+    path, rank, place, row = free_names(df, "_path", "_rank", "_place", "_row")
+    ranks = _file_ranks(spark, source, suffix, path, rank)
     # a task reads a piece of a file from front to back, so its own numbers keep the rows' order
-    at = F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
-    return nan_to_null(df.select("*", at.alias("_ord")))
+    at = F.col("_metadata.row_index") if format == "parquet" else F.col("_metadata.file_block_start")
+    rows = nan_to_null(df).select("*", F.xxhash64("_metadata.file_path").alias(path), at.alias(place), F.monotonically_increasing_id().alias(row))
+    number = F.shiftleft(F.col(rank), 40) + F.col(place)
+    order_ = number if format == "parquet" else F.struct(number.alias("place"), F.col(row).alias("row"))
+    # two numbers a file, of at most 2^24 files
+    return rows.join(F.broadcast(ranks), path).select(*[q(c) for c in df.columns], order_.alias("_ord"))
 
 
 def select_streams(df: DataFrame, streams: Sequence[str], column: str = "SubEventStream") -> DataFrame:
