@@ -78,18 +78,20 @@ def _merged(how: str, carried: Column, own: Column) -> Column:
 _AGGREGATES = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], hot: int) -> DataFrame:
-    """The keys of at least ``hot`` rows: at most a row in ``hot``."""
+def hot_keys(rows: DataFrame, keys: Sequence[str], hot: int | None) -> DataFrame | None:
+    """The keys of at least ``hot`` rows, at most a row in ``hot``; none if there are not even so many rows in all."""
+    if hot is None or rows.count() < hot:
+        return None
     return stage(rows.groupBy(*[q(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot).drop("_n"), "hot-keys")
 
 
-def over_keys(rows: DataFrame, keys: Sequence[str], order: Sequence[str], running: Mapping[str, tuple[str, Column]] | None = None, whole: Mapping[str, tuple[str, Column]] | None = None, hot: int = HOT, name: str = "over-keys") -> DataFrame:
+def over_keys(rows: DataFrame, keys: Sequence[str], order: Sequence[str], running: Mapping[str, tuple[str, Column]] | None = None, whole: Mapping[str, tuple[str, Column]] | None = None, hot: int | None = HOT, name: str = "over-keys") -> DataFrame:
     """Add running and whole aggregates of each key's rows: columns by name, each ``sum``, ``min`` or ``max`` of an expression.
 
     Running ones take the key's rows up to and with this one in ``order``, which should tell a
     key's rows apart; whole ones all of them. A null key part is a value like any other.
 
-    Keys of fewer than ``hot`` rows are windows over one exchange by key. A key with more is
+    Keys of fewer than ``hot`` rows (all keys if it is None) are windows over one exchange by key. A key with more is
     laid out by range of key and order, so its rows lie in as many tasks as its size asks
     for; each range adds up its own rows, and what a key's earlier ranges come to is carried
     in from a table with a row for each range and key in it.
@@ -100,7 +102,7 @@ def over_keys(rows: DataFrame, keys: Sequence[str], order: Sequence[str], runnin
     so_far = by_key.orderBy(*[q(o) for o in order]).rowsBetween(Window.unboundedPreceding, 0)
     plain = {**{c: _AGGREGATES[how](e).over(so_far) for c, (how, e) in running.items()}, **{c: _AGGREGATES[how](e).over(by_key) for c, (how, e) in whole.items()}}
     large = hot_keys(rows, keys, hot)
-    if large.isEmpty():
+    if large is None or large.isEmpty():
         return rows.withColumns(plain)
     named = large.select(*[q(k).alias(f"_hot{n}") for n, k in enumerate(keys)])
     is_hot = [q(k).eqNullSafe(F.col(f"_hot{n}")) for n, k in enumerate(keys)]

@@ -29,7 +29,7 @@ def exclude_sensors(pulses: DataFrame, bad: DataFrame, columns: Sequence[str]) -
     return pulses.join(bad.select(*columns).distinct(), list(columns), "left_anti")
 
 
-def exclude_windows(pulses: DataFrame, windows: DataFrame, columns: Sequence[str], partial: bool = True, hot: int = HOT) -> DataFrame:
+def exclude_windows(pulses: DataFrame, windows: DataFrame, columns: Sequence[str], partial: bool = True, hot: int | None = HOT) -> DataFrame:
     """Without the pulses in a window start <= time < end of their event and sensor.
 
     Not ``partial``: without all pulses of such an event and sensor. A window with a missing
@@ -143,7 +143,7 @@ def _finished(kind: Vectorised, feature: Feature, sums: Sequence[Column]) -> Col
     return finish(*sums)
 
 
-def sensor_features(pulses: DataFrame, features: Sequence[Feature], keys: Sequence[str], builders: Mapping[str, Builder] | None = None, hot: int = HOT) -> DataFrame:
+def sensor_features(pulses: DataFrame, features: Sequence[Feature], keys: Sequence[str], builders: Mapping[str, Builder] | None = None, hot: int | None = HOT) -> DataFrame:
     """The configured features of every event and sensor, columns in map order.
 
     Pulses without time or charge are left out. First time, total and running charge
@@ -189,9 +189,14 @@ def attach_labels(events: DataFrame, labels: DataFrame, columns: Sequence[str])
     return events.join(labels, list(columns), "left")
 
 
-def extract(pulses: DataFrame, features: Sequence[Feature], event_columns: Sequence[str], sensor_columns: Sequence[str], series: str | None = None, streams: Sequence[str] | None = None, bad: DataFrame | None = None, windows: DataFrame | None = None, partial: bool = True, modifiers: Sequence[Callable[[DataFrame], DataFrame]] = ()) -> DataFrame:
-    """Pulses to features: select, exclude, modify, summarise, each step if it is configured."""
+def extract(pulses: DataFrame, features: Sequence[Feature], event_columns: Sequence[str], sensor_columns: Sequence[str], series: str | None = None, streams: Sequence[str] | None = None, bad: DataFrame | None = None, windows: DataFrame | None = None, partial: bool = True, modifiers: Sequence[Callable[[DataFrame], DataFrame]] = (), builders: Mapping[str, Builder] | None = None, hot: int = HOT) -> DataFrame:
+    """Pulses to features: select, exclude, modify, summarise, each step if it is configured.
+
+    No step adds pulses, so unless all pulses and windows together come to ``hot`` no key can,
+    and none is looked for.
+    """
     keys = [*event_columns, *sensor_columns]
+    split = hot if pulses.count() + (windows.count() if windows is not None else 0) >= hot else None
     if streams is not None:
         pulses = pulses.where(F.col("SubEventStream").isin(*streams))
     if series is not None:
@@ -199,7 +204,7 @@ def extract(pulses: DataFrame, features: Sequence[Feature], event_columns: Seque
     if bad is not None:
         pulses = exclude_sensors(pulses, bad, sensor_columns)
     if windows is not None:
-        pulses = exclude_windows(pulses, windows, keys, partial)
+        pulses = exclude_windows(pulses, windows, keys, partial, split)
     for modify in modifiers:
         pulses = modify(pulses)
-    return sensor_features(pulses, features, keys)
+    return sensor_features(pulses, features, keys, builders, split)

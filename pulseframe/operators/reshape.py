@@ -12,10 +12,8 @@ from pulseframe.functions.naming import q
 
 
 def _first_readings(rows: DataFrame, keys: Sequence[str], positions: int) -> DataFrame:
-    """A column for each position in one aggregate, so rows are exchanged once, after what a task has of a cell is one reading."""
-    cells = [F.min_by("item", F.when(F.col("vector_index") == k, F.col("_ord"))).alias(str(k)) for k in range(positions)]
     used = rows.where(F.col("item").isNotNull())
-    return used.groupBy(*keys).agg(*cells)
+    return used.groupBy(*keys).pivot("vector_index", list(range(positions))).agg(F.min_by("item", "_ord"))
 
 
 def pivot_first(features: DataFrame, positions: int) -> DataFrame:

@@ -69,7 +69,7 @@ def event_matrices(features: DataFrame, names: Sequence[str]) -> DataFrame:
     return sorted_.select("event_id", F.transform("s", lambda x: _sensor(x["dom_id"])).alias("dom_ids"), F.transform("s", lambda x: x["f"]).alias("features"))
 
 
-def matrix_blocks(features: DataFrame, names: Sequence[str], rows: int = 4096, hot: int = HOT) -> DataFrame:
+def matrix_blocks(features: DataFrame, names: Sequence[str], rows: int = 4096, hot: int | None = HOT) -> DataFrame:
     """event_id, block, first, dom_ids and features: matrices as ``event_matrices`` gives them, in blocks of ``rows`` sensors.
 
     ``first`` is the matrix row that a block begins with. No value holds more than a block,
