@@ -20,6 +20,7 @@ more; in the end each row holds one, so rows never outgrow the blocks' distinct
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -37,9 +38,10 @@ from pulseframe.sources.staging import discard, release, stage
 BLOCK, BUCKET = 6_000_000, 6_000_000
 #: Bytes of text that are hashed at a time.
 STEP = 250_000
-#: Counts up to this are drawn exactly; for larger ones Stirling numbers are scaled from it, and
-#: tables drawn from a grid of so many points.
-EXACT, GRID = 100, 256
+#: Numbers of seatings are tabulated for counts up to this; tables of larger counts are drawn from so many points, found by coarser grids.
+EXACT, GRID, COARSE = 200, 256, 24
+#: Terms of the sum for few tables, and a bound to what counts as few: to where the saddle point serves.
+TERMS, SPARSE = 150, 6.0
 #: Most contexts that are split over all buckets; of a corpus of any size the next one in frequency fits a task.
 HOT = 4096
 #: Draws that settle the words' tables from one each.
@@ -274,27 +276,107 @@ def _weights(c: int, r: np.ndarray, p: np.ndarray, discount: float) -> np.ndarra
     return stirling(discount)[c, 1 : c + 1] + tables * np.log(discount * p)[:, None] + np.cumsum(np.log(r[:, None] + tables - 1), axis=1)
 
 
-def _grid_weights(c: np.ndarray, r: np.ndarray, p: np.ndarray, discount: float) -> tuple[np.ndarray, np.ndarray]:
-    """Table numbers on a grid, and their log weights, for dishes with more than EXACT customers.
+@cache
+def _saddle(discount: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """By log(c / t): that, A, its slope and log B, where log S(c, t) = log(c!) - log(t!) - t log(discount) + t A - log(2 pi t B) / 2.
 
-    S(c, t) t! discount^t / Gamma(c) is taken as the function of t / c^discount that it
-    tends to, read off at EXACT.
+    The saddle point of the numbers' generating function (1 - (1 - x)^discount)^t / (t!
+    discount^t) depends on c / t alone; it is taken at 1 - x = exp(-w) for many w.
     """
-    tables = np.arange(1, EXACT + 1)
-    limit = stirling(discount)[EXACT, 1:] - gammaln(EXACT) + gammaln(tables + 1) + tables * np.log(discount)
-    # without the limit the tables but one are negative binomial, and it only makes them fewer
-    mean = (r + 1) * p / (1 - p)
-    spread = 8 * np.sqrt(mean / (1 - p)) + 8
-    top = np.minimum(c, 1 + mean + spread)
-    bottom = np.where(mean > 0.5 * c**discount, 1, np.maximum(1, mean - spread))
-    points = int(np.clip(np.ceil((top - bottom).max()) + 1, 2, GRID))
-    grid = np.floor(bottom[:, None] + (top - bottom)[:, None] * np.linspace(0, 1, points))
-    fine = np.minimum(bottom[:, None].astype(np.int64) + np.arange(points), top[:, None].astype(np.int64))
-    grid = np.where((top - bottom < points)[:, None], fine, grid)
-    x = np.interp(grid / c[:, None] ** discount, tables / EXACT**discount, limit)
-    weight = x - gammaln(grid + 1) + grid * np.log(p)[:, None] + gammaln(r[:, None] + grid) - gammaln(r)[:, None]
-    weight[:, 1:][grid[:, 1:] == grid[:, :-1]] = -np.inf
-    return grid, weight
+    w = np.geomspace(1e-9, 60 / (1 - discount), 60_000)
+    x = -np.expm1(-w)
+    inner = np.log(-np.expm1(-discount * w))
+    ratio = np.log(discount) + np.log(x) + (1 - discount) * w - inner
+    log_x = np.log1p(-np.exp(-w))
+    a = inner - np.exp(ratio) * log_x
+    curve = ratio + w + np.log(np.maximum((1 - discount) * x + np.exp(-w) - np.exp(ratio - w), 1e-300))
+    kept = np.concatenate([[True], np.diff(ratio) > 0])
+    return ratio[kept], a[kept], (-np.exp(ratio) * log_x)[kept], curve[kept]
+
+
+@cache
+def _series(discount: float) -> np.ndarray:
+    """(-1)^k / (k! Gamma(-k discount)) for k from 1 to TERMS, 0 where Gamma has a pole."""
+    with np.errstate(over="ignore"):
+        # by Gamma(-x) Gamma(1 + x) = -pi / sin(pi x)
+        return np.array([-((-1) ** k) * math.sin(math.pi * k * discount) / math.pi * math.exp(math.lgamma(1 + k * discount) - math.lgamma(k + 1)) for k in range(1, TERMS + 1)])
+
+
+def _summed(c: np.ndarray, i: np.ndarray, t: np.ndarray, discount: float) -> np.ndarray:
+    """log of S(c[i], t) t! discount^t / Gamma(c[i]) by its alternating sum; NaN where too many digits cancel or terms go on."""
+    out, at = np.full(len(t), np.nan), np.arange(len(t))
+    total, largest, term = np.zeros(len(t)), np.zeros(len(t)), np.ones(len(t))
+    for k, factor in enumerate(_series(discount), 1):
+        # log Gamma(low) - log Gamma(high), without losing digits of large ones
+        high = c - (k - 1) * discount
+        low = high - discount
+        fall = (low - 0.5) * np.log1p(-discount / high) - discount * np.log(high) + discount + (1 / low - 1 / high) / 12 - (low**-3 - high**-3) / 360
+        term = term * np.maximum(t - k + 1, 0) * np.exp(fall)[i]
+        part = np.abs(factor * term)
+        total += np.sign(factor) * part
+        largest = np.maximum(largest, part)
+        # one term may be next to nothing where Gamma has a pole
+        recent = part if k % 6 == 1 else np.maximum(recent, part)
+        if k % 6 == 0:
+            over = (recent < 1e-9 * total) & (total > 0)
+            sure = over & (total > 1e-7 * largest)
+            out[at[sure]] = np.log(total[sure])
+            go = ~over
+            i, t, at, total, largest, term = i[go], t[go], at[go], total[go], largest[go], term[go]
+            if not len(at):
+                break
+    return out
+
+
+def _log_weights(c: np.ndarray, t: np.ndarray, r: np.ndarray, p: np.ndarray, discount: float) -> np.ndarray:
+    """log weights of ``t`` tables (a row for each dish) for dishes with more than EXACT customers, up to what t doesn't change."""
+    ratio, a, slope, curve = _saddle(discount)
+    u = np.log(c[:, None] / t)
+    k = np.clip(np.searchsorted(ratio, u) - 1, 0, len(ratio) - 2)
+    step = ratio[k + 1] - ratio[k]
+    y = np.clip((u - ratio[k]) / step, 0, 1)
+    # cubic between values and slopes
+    smooth = a[k] * (1 + 2 * y) * (1 - y) ** 2 + slope[k] * step * y * (1 - y) ** 2 + a[k + 1] * y * y * (3 - 2 * y) + slope[k + 1] * step * y * y * (y - 1)
+    spread = curve[k] * (1 - y) + curve[k + 1] * y
+    number = np.log(c)[:, None] - gammaln(t + 1.0) - t * np.log(discount) + t * smooth - 0.5 * (np.log(2 * np.pi * t) + spread)
+    # few tables for so many customers: the saddle point is no good, and the sum doesn't cancel
+    i, j = np.nonzero(t <= (SPARSE / (1 - discount)) ** (1 - discount) * c[:, None] ** discount)
+    exact = _summed(c, i, t[i, j], discount) - gammaln(t[i, j] + 1.0) - t[i, j] * np.log(discount)
+    number[i, j] = np.where(np.isnan(exact), number[i, j], exact)
+    return number + t * np.log(discount * p)[:, None] + gammaln(r[:, None] + t) - gammaln(r)[:, None]
+
+
+def _draw_large(rng: np.random.Generator, c: np.ndarray, r: np.ndarray, p: np.ndarray, discount: float) -> np.ndarray:
+    """Tables of dishes with more than EXACT customers.
+
+    The weights have one peak. A coarse grid over all numbers of tables closes in on what
+    has weight at all; the last grid has every number, or sixteen or so in a standard
+    deviation, and then any number between two of them alike.
+    """
+    low, high = np.ones(len(c)), c.copy()
+    open_, share = np.arange(len(c)), np.linspace(0, 1, COARSE)
+    for turn in range(12):
+        lo, hi = low[open_][:, None], high[open_][:, None]
+        grid = np.rint(lo * (hi / lo) ** share if turn == 0 else lo + (hi - lo) * share)
+        weight = _log_weights(c[open_], grid, r[open_], p[open_], discount)
+        heavy = weight > weight.max(axis=1)[:, None] - 30
+        rows = np.arange(len(open_))
+        low[open_] = grid[rows, np.maximum(heavy.argmax(axis=1) - 1, 0)]
+        high[open_] = grid[rows, np.minimum(COARSE - heavy[:, ::-1].argmax(axis=1), COARSE - 1)]
+        width = high[open_] - low[open_]
+        open_ = open_[(width > 8) & (width < 0.7 * (hi - lo)[:, 0])]
+        if not len(open_):
+            break
+    t, width = np.empty(len(c)), high - low
+    points = np.minimum(2 ** np.ceil(np.log2(width + 1)), GRID)
+    for n in np.unique(points):
+        rows = np.flatnonzero(points == n)
+        grid = np.minimum(low[rows, None] + np.arange(n), high[rows, None]) if n > width[rows].max() else np.rint(low[rows, None] + width[rows, None] * np.linspace(0, 1, int(n)))
+        weight = _log_weights(c[rows], grid, r[rows], p[rows], discount)
+        weight[:, 1:][grid[:, 1:] == grid[:, :-1]] = -np.inf
+        t[rows] = grid[np.arange(len(rows)), (weight + rng.gumbel(size=weight.shape)).argmax(axis=1)]
+    apart = width / (points - 1).clip(1)
+    return np.clip(np.rint(t + np.where(apart > 1, apart, 0) * (rng.random(len(t)) - 0.5)), 1, c).astype(np.int64)
 
 
 def _draw(rng: np.random.Generator, c: int, r: np.ndarray, p: np.ndarray, discount: float) -> np.ndarray:
@@ -312,7 +394,11 @@ def _draw(rng: np.random.Generator, c: int, r: np.ndarray, p: np.ndarray, discou
 
 
 def draw_tables(rng: np.random.Generator, c: np.ndarray, others: np.ndarray, p: np.ndarray, discount: float, strength: float) -> np.ndarray:
-    """Tables of dishes with ``c`` customers, given the restaurants' other tables and the parent's ``p``; exact up to EXACT customers."""
+    """Tables of dishes with ``c`` customers, given the restaurants' other tables and the parent's ``p``, from their conditional.
+
+    Up to EXACT customers the numbers of seatings are exact, beyond that summed
+    up for few tables and taken at their saddle point for many.
+    """
     t = np.ones(len(c), np.int64)
     r = strength / discount + others
     for k in range(2, EXACT + 1):
@@ -320,10 +406,9 @@ def draw_tables(rng: np.random.Generator, c: np.ndarray, others: np.ndarray, p:
         if len(rows):
             t[rows] = _draw(rng, k, r[rows], p[rows], discount)
     large = np.flatnonzero(c > EXACT)
-    for k in range(0, len(large), 2000):
-        rows = large[k : k + 2000]
-        grid, weight = _grid_weights(c[rows], r[rows], p[rows], discount)
-        t[rows] = grid[np.arange(len(rows)), (weight + rng.gumbel(size=weight.shape)).argmax(axis=1)].astype(np.int64)
+    for k in range(0, len(large), 1000):
+        rows = large[k : k + 1000]
+        t[rows] = _draw_large(rng, c[rows].astype(np.float64), r[rows].astype(np.float64), p[rows], discount)
     return t
 
 
