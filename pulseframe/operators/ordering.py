@@ -19,7 +19,7 @@ def prefix_sums(rows: DataFrame, order: list[Column], value: str, name: str) ->
 
     The rows are laid out by range of ``order`` and staged with their range number, so
     both passes see the same layout. Each range is totalled on its own; the totals (one
-    row a range) become offsets, and the rest is a window within each range. ``order``
+    row a range) become offsets, and the rest is a window within each range, a task each. ``order``
     should end in a unique column, so that no range can outgrow a task; rows equal in all
     of it are ordered arbitrarily, which their own columns can't show. ``value`` must not
     be null. ``rows`` is evaluated twice (ranges are sampled first), so a costly one should
@@ -35,8 +35,9 @@ def prefix_sums(rows: DataFrame, order: list[Column], value: str, name: str) ->
     within = Window.partitionBy("_range").orderBy(*order)
     earlier = within.rowsBetween(Window.unboundedPreceding, -1)
     return (
-        # one row for each range partition, so the broadcast is bounded by their number
-        laid.join(F.broadcast(offsets), "_range")
+        # one range a task, and one row for each in the broadcast, so their number bounds it
+        laid.repartitionById(shuffle_partitions(rows.sparkSession), "_range")
+        .join(F.broadcast(offsets), "_range")
         .withColumn("position", F.col("_n0") + F.row_number().over(within) - 1)
         .withColumn("before", F.col("_v0") + F.coalesce(F.sum(value).over(earlier), F.lit(0)))
         .drop("_range", "_n0", "_v0")

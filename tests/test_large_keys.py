@@ -176,3 +176,16 @@ def test_manifest_names_one_file_for_an_index(spark, tmp_path):
     assert samples.read_training(spark, str(tmp_path)).count() == 2000
     with pytest.raises(AnalysisException):
         samples.read_manifest(spark, str(tmp_path / "none")).count()
+
+
+def test_prefix_sums_have_a_range_a_task(many_tasks):
+    rows_ = many_tasks.range(2000).select((F.col("id") * 7919 % 2003).alias("t"), (F.col("id") % 5).alias("v")).repartition(5)
+    got = ordering.prefix_sums(rows_, [F.col("t")], "v", "sums")
+    assert len([x for x in exchanges(got) if "shufflepartitionid" in x]) == 1 and len(exchanges(got)) == 3
+    tasks = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(tasks) == 4 and max(r["count"] for r in tasks) < 1000
+    at = {r["t"]: (r["position"], r["before"]) for r in got.collect()}
+    before = 0
+    for k, (t, v) in enumerate(sorted((i * 7919 % 2003, i % 5) for i in range(2000))):
+        assert at[t] == (k, before)
+        before += v
