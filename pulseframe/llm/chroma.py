@@ -184,9 +184,11 @@ def best_offsets(own: list[np.ndarray], queries: list[np.ndarray], most_errors:
 
 
 def align(recordings: DataFrame, queries: DataFrame, most_errors: float = 0.22, least_frames: int = LEAST, enough_frames: int = ENOUGH) -> DataFrame:
-    """Recordings of which a stretch is also in a query, both as ``fingerprints`` gives them.
+    """Recordings that agree with a query wherever the two meet, both as ``fingerprints`` gives them.
 
-    The overlap's bits are compared at every offset. Returns query_id, rec_id, offset
+    The overlap's bits are compared at every offset, as a whole: a stretch that lies inside
+    of two recordings which are otherwise different counts only if it makes up so much of
+    their overlap that the error of all of it stays under the bound. Returns query_id, rec_id, offset
     (frames of the recording before the query begins), votes (integers that agree in all
     but their last bits), n_frames (overlap) and bit_error for each pair with an offset
     where the overlap has at least half of the shorter print's frames, but ``least_frames``

@@ -97,7 +97,7 @@ def fit(docs: DataFrame, max_rows: int = 4000, scale: float = 30.0) -> Model | N
 
     Class sizes and inverse document frequencies come from all of these rows. The
     classifier itself is fitted on a bounded sample: about ``max_rows`` rows, as many of
-    each language as far as it has them, chosen by a digest of doc_id and text, repeated
+    each language as far as it has them and one on average at least, chosen by a digest of doc_id and text, repeated
     rows counting once there, so the bound holds whatever repeats; a fifth of them is held
     back for the temperature. A null text has no features. None if no row is labelled.
     """
@@ -123,7 +123,7 @@ def fit(docs: DataFrame, max_rows: int = 4000, scale: float = 30.0) -> Model | N
     df[found["feature"]] = found["n"]
     idf = np.log((1 + total) / (1 + df)) + 1
 
-    share = max_rows // len(languages)
+    share = max(1, max_rows // len(languages))
     rate = F.create_map(*[x for lang in languages for x in (F.lit(lang), F.lit(min(1.0, share / sizes[lang])))])[F.col("lang")]
     draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1_000_000)) / 1_000_000
 
@@ -156,9 +156,9 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     ``und`` and 0 where the text is null or has no letter, or nothing was learned. Of
     equally likely languages the first by code point is predicted; rows with equal texts,
     repeated ones too, get equal predictions, each its own row. All columns of ``docs`` come
-    along; columns named lang_pred or score are replaced.
+    along; columns named lang_pred or score, in whatever case, are replaced.
     """
-    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")])
+    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score")])
     schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     # DIM x languages floats, and no more however large the corpus
     shared = docs.sparkSession.sparkContext.broadcast(model)

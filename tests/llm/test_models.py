@@ -371,3 +371,16 @@ def test_vocabulary_is_checked_where_it_is_used():
     assert token_counts.count_texts(["a b"], good) == [2]
     with pytest.raises(ValueError, match="digest"):
         token_counts.count_texts(["a b"], token_counts.Vocabulary(good.raw + b" ", "0" * 64))
+
+
+def test_columns_of_the_same_name_in_another_case_are_replaced(spark):
+    docs = spark.createDataFrame([("the cat and the dog", "en", 1), ("der Hund und die Katze", "de", 2)] * 20, "text string, lang string, Score int")
+    out = langid.predict(docs, langid.fit(docs.withColumn("doc_id", F.lit(1))))
+    assert [c.lower() for c in out.columns] == ["text", "lang", "lang_pred", "score"]
+    assert out.where("lang = lang_pred and score > 0.5").count() == 40
+
+
+def test_more_languages_than_rows_of_the_sample(spark):
+    docs = spark.createDataFrame([(k, f"{chr(97 + k % 6) * 8} {chr(98 + k % 6) * 7}", f"l{k % 6}") for k in range(60)], "doc_id long, text string, lang string")
+    out = langid.predict(docs, langid.fit(docs, max_rows=3))
+    assert out.where("score > 0").count() == 60
