@@ -224,6 +224,9 @@ def reuse_or_write(spark: SparkSession, folder: str, write: Callable[[str], None
             raise RuntimeError(f"{version} of {place.path} could not be published")
         for name in last[: max(0, len(last) + 1 - KEPT)]:
             place.delete(name)
+        for name in place.named("_attempt-"):  # of builders that were killed
+            if time.time() - place.changed(name) > lease:
+                place.delete(name)
         return f"{place.path}/{version}", False
 
 

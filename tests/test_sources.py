@@ -131,6 +131,8 @@ def test_a_failed_or_dead_builder_is_no_hindrance(spark, tmp_path):
     with pytest.raises(RuntimeError, match="lost"):
         reuse.reuse_or_write(spark, folder, fail)
     assert [f for f in os.listdir(folder) if not f.startswith(".")] == []
+    (tmp_path / "out" / "_attempt-1").mkdir()
+    os.utime(tmp_path / "out" / "_attempt-1", (1, 1))
     (tmp_path / "out" / "_lease").write_text("")
     os.utime(tmp_path / "out" / "_lease", (1, 1))
     path, reused = reuse.reuse_or_write(spark, folder, lambda p: spark.range(3).write.parquet(f"{p}/t"))
