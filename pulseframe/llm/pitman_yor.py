@@ -40,8 +40,8 @@ BLOCK, BUCKET = 6_000_000, 6_000_000
 STEP = 250_000
 #: Numbers of seatings are tabulated for counts up to this; tables of larger counts are drawn from so many points, found by coarser grids.
 EXACT, GRID, COARSE = 200, 256, 24
-#: Terms of the sum for few tables, and a bound to what counts as few: to where the saddle point serves.
-TERMS, SPARSE = 150, 6.0
+#: Terms of the sum for few tables, a bound to what counts as few (to where the saddle point serves), and sums taken at a time.
+TERMS, SPARSE, PART = 150, 6.0, 2000
 #: Most contexts that are split over all buckets; of a corpus of any size the next one in frequency fits a task.
 HOT = 4096
 #: Draws that settle the words' tables from one each.
@@ -303,28 +303,29 @@ def _series(discount: float) -> np.ndarray:
 
 
 def _summed(c: np.ndarray, i: np.ndarray, t: np.ndarray, discount: float) -> np.ndarray:
-    """log of S(c[i], t) t! discount^t / Gamma(c[i]) by its alternating sum; NaN where too many digits cancel or terms go on."""
-    out, at = np.full(len(t), np.nan), np.arange(len(t))
-    total, largest, term = np.zeros(len(t)), np.zeros(len(t)), np.ones(len(t))
-    for k, factor in enumerate(_series(discount), 1):
+    """log of S(c[i], t) t! discount^t / Gamma(c[i]) by its alternating sum; NaN where too many digits cancel or terms go on.
+
+    Most sums are over after a few terms; the others start again with all.
+    """
+    out, left = np.full(len(t), np.nan), np.arange(len(t))
+    factors = _series(discount)
+    for n in (24, TERMS):
+        k = np.arange(n)
         # log Gamma(low) - log Gamma(high), without losing digits of large ones
-        high = c - (k - 1) * discount
+        high = c[:, None] - k * discount
         low = high - discount
-        fall = (low - 0.5) * np.log1p(-discount / high) - discount * np.log(high) + discount + (1 / low - 1 / high) / 12 - (low**-3 - high**-3) / 360
-        term = term * np.maximum(t - k + 1, 0) * np.exp(fall)[i]
-        part = np.abs(factor * term)
-        total += np.sign(factor) * part
-        largest = np.maximum(largest, part)
-        # one term may be next to nothing where Gamma has a pole
-        recent = part if k % 6 == 1 else np.maximum(recent, part)
-        if k % 6 == 0:
-            over = (recent < 1e-9 * total) & (total > 0)
-            sure = over & (total > 1e-7 * largest)
+        fall = np.exp((low - 0.5) * np.log1p(-discount / high) - discount * np.log(high) + discount + (1 / low - 1 / high) / 12 - (low**-3 - high**-3) / 360)
+        unsure = []
+        for at in (left[a : a + PART] for a in range(0, len(left), PART)):
+            with np.errstate(over="ignore", invalid="ignore"):  # sums that go on
+                parts = np.cumprod(np.maximum(t[at, None] - k, 0) * fall[i[at]], axis=1) * factors[:n]
+                total, size = parts.sum(axis=1), np.abs(parts)
+            # one term may be next to nothing where Gamma has a pole
+            over = np.isfinite(total) & (size[:, -6:].max(axis=1) < 1e-9 * total) & (total > 0)
+            sure = over & (total > 1e-7 * size.max(axis=1))
             out[at[sure]] = np.log(total[sure])
-            go = ~over
-            i, t, at, total, largest, term = i[go], t[go], at[go], total[go], largest[go], term[go]
-            if not len(at):
-                break
+            unsure.append(at[~over])
+        left = np.concatenate(unsure) if unsure else left[:0]
     return out
 
 
@@ -401,11 +402,15 @@ def draw_tables(rng: np.random.Generator, c: np.ndarray, others: np.ndarray, p:
     """
     t = np.ones(len(c), np.int64)
     r = strength / discount + others
-    for k in range(2, EXACT + 1):
-        rows = np.flatnonzero(c == k)
-        if len(rows):
-            t[rows] = _draw(rng, k, r[rows], p[rows], discount)
-    large = np.flatnonzero(c > EXACT)
+    # small numbers sort by their digits, so dishes of a count lie together at little cost
+    kind = np.minimum(c, EXACT + 1).astype(np.int16)
+    order = np.argsort(kind, kind="stable")
+    ends = np.searchsorted(kind[order], np.arange(EXACT + 2), side="right")
+    for k in np.flatnonzero(np.diff(ends)) + 1:
+        if 2 <= k <= EXACT:
+            rows = order[ends[k - 1] : ends[k]]
+            t[rows] = _draw(rng, int(k), r[rows], p[rows], discount)
+    large = order[ends[EXACT] :]
     for k in range(0, len(large), 1000):
         rows = large[k : k + 1000]
         t[rows] = _draw_large(rng, c[rows].astype(np.float64), r[rows].astype(np.float64), p[rows], discount)
