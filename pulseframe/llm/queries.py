@@ -356,6 +356,35 @@ SELECT page_id, payload_bytes, sha1(payload) AS payload_digest,
        CASE WHEN payload_bytes < 1000 OR f.r = r THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN payload_bytes >= 1000 AND f.r <> r THEN f.page_id END AS refers_to
 FROM d""",
+    "op13_periodic_runs": r"""
+WITH nibbles AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i] || range(4), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(16) r(i))),
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         xor(4294967295, list_reduce(
+           [4294967295::bigint] || list_transform(range(2 * strlen(k)), lambda i: ('0x' || hex(encode(k))[(i + 1 + 1 - 2 * (i % 2))::int])::bigint),
+           lambda c, b: xor(c >> 4, t[(xor(c, b) & 15) + 1]))) AS h
+  FROM (SELECT *, coalesce(cast(doc_id AS varchar), '') AS k FROM documents), nibbles),
+sized AS (SELECT r, doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS replay, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a, h // 10 AS g FROM docs),
+words AS (
+  SELECT r, n, i, w[1 + CASE WHEN replay AND i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END] AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM sized)),
+numbered AS (SELECT *, dense_rank() OVER (ORDER BY word) AS id FROM words),
+equal AS (
+  SELECT x.r, x.i, y.i - x.i AS q FROM numbered x JOIN numbered y ON x.r = y.r AND x.id = y.id AND y.i > x.i AND y.i - x.i <= x.n // 4),
+stretches AS (
+  SELECT r, q, min(i) AS start, count(*) + q AS length FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM equal)
+  GROUP BY r, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT r, start, length, min(q) AS period FROM stretches GROUP BY r, start, length),
+dropped AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN dropped USING (r, i) GROUP BY r),
+found AS (
+  SELECT r, count(*) AS n_runs, first(struct_pack(start, length, period) ORDER BY length DESC, start, period) AS best,
+         string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM runs GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length, best.period AS period, 1000 * best.length // best.period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM docs LEFT JOIN found USING (r) LEFT JOIN kept USING (r)""",
 }
 
 
