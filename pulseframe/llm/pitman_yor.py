@@ -39,7 +39,7 @@ BLOCK, BUCKET = 6_000_000, 6_000_000
 #: Bytes of text that are hashed at a time.
 STEP = 250_000
 #: Numbers of seatings are tabulated for counts up to this; tables of larger counts are drawn from so many points, found by coarser grids.
-EXACT, GRID, COARSE = 200, 256, 24
+EXACT, GRID, COARSE = 200, 64, 16
 #: Terms of the sum for few tables, a bound to what counts as few (to where the saddle point serves), and sums taken at a time.
 TERMS, SPARSE, PART = 150, 6.0, 2000
 #: Most contexts that are split over all buckets; of a corpus of any size the next one in frequency fits a task.
@@ -351,7 +351,7 @@ def _draw_large(rng: np.random.Generator, c: np.ndarray, r: np.ndarray, p: np.nd
     """Tables of dishes with more than EXACT customers.
 
     The weights have one peak. A coarse grid over all numbers of tables closes in on what
-    has weight at all; the last grid has every number, or sixteen or so in a standard
+    has weight at all; the last grid has every number, or four or so in a standard
     deviation, and then any number between two of them alike.
     """
     low, high = np.ones(len(c)), c.copy()
