@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,8 @@ from pulseframe.sources.staging import stage
 
 #: Bytes of a row group of features: a lookup reads a few of these.
 ROW_GROUP = 16 << 20
+#: A file as Spark names it: the task's number in 5 digits and the number of the task's file in 3, or more where those don't do.
+_SPARKS = r"^(.*/part-)([0-9]{5,})(-[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}[-.]c)([0-9]{3,})([^/]*)$"
 
 
 class GeometryMissingError(ValueError):
@@ -42,10 +44,17 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*[F.nanvl(q(c), F.lit(None)).alias(c) if kinds[c] in ("double", "float") else q(c) for c in df.columns])
 
 
+def _in_order(file: Column) -> Column:
+    """What sorts as files go: the path, but a number of Spark's with more digits than usual comes after all that have fewer."""
+    part = lambda k: F.regexp_extract(file, _SPARKS, k)
+    number = lambda k, digits: F.concat(F.repeat(F.lit("~"), F.length(part(k)) - digits), part(k))
+    return F.when(file.rlike(_SPARKS), F.concat(part(1), number(2, 5), part(3), number(4, 3), part(5))).otherwise(file)
+
+
 def _file_ranks(spark: SparkSession, source: str, suffix: str | None, path: str, rank: str) -> DataFrame:
     """The files of a folder, by a hash of their path, with their rank by path; they are listed and not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix or ''}").load(source)
-    ranks = ranked(files.select(F.lit(0).alias("all"), F.col("_metadata.file_path").alias("file")), "all", [F.col("file")], rank, "file-order")
+    ranks = ranked(files.select(F.lit(0).alias("all"), F.col("_metadata.file_path").alias("file")), "all", [_in_order(F.col("file")), F.col("file")], rank, "file-order")
     ranks = stage(ranks.select(F.xxhash64("file").alias(path), rank), "file-ranks")
     n, distinct, last = ranks.agg(F.count(F.lit(1)), F.countDistinct(path), F.max(rank)).first()
     if n and (distinct < n or last >= 1 << 24):
@@ -58,8 +67,8 @@ def read_table(spark: SparkSession, source: str, format: str = "parquet", schema
 
     Of a folder only its own files are read, those with ``suffix`` if one is given. Input
     order, which later steps need, becomes ``_ord``: the column ``order`` as a number, or
-    else what sorts as the rows stand, files by path, then place in the file. Files are
-    ranked from their listing, and 24 bits of rank and 40 of place make a number; formats
+    else what sorts as the rows stand, files by path (Spark's own by their numbers, so a job's
+    files go as it wrote them), then place in the file. Files are ranked from their listing, and 24 bits of rank and 40 of place make a number; formats
     without places of rows add one for the row to it. A table by name has no files to go
     by, so its rows count by partition. NaN becomes null.
     """

@@ -224,6 +224,22 @@ def test_more_files_than_a_number_of_few_bits_holds(spark, tmp_path):
     assert df.groupBy().agg(F.countDistinct("_ord")).first()[0] == 8300
 
 
+def test_files_of_a_task_with_more_than_a_thousand_keep_their_order(spark, tmp_path):
+    """Spark names the thousand-and-first c1000, which as text comes before c101."""
+    spark.range(1100, numPartitions=1).write.option("maxRecordsPerFile", 1).parquet(f"{tmp_path}/t")
+    df = tables.read_table(spark, f"{tmp_path}/t")
+    assert [r["id"] for r in df.orderBy("_ord").collect()] == list(range(1100))
+
+
+def test_only_sparks_own_files_go_by_number(spark):
+    job = "0a1b2c3d-0123-4567-89ab-0123456789ab"
+    own = [f"/d/part-{n}-{job}{c}.parquet" for n, c in (("00000", "-c000"), ("00000", "-c999"), ("00000", "-c1000"), ("00000", "-c10000"), ("99999", ".c000"), ("100000", ".c000"))]
+    others = ["/d/a10.parquet", "/d/a9.parquet", "/d/part-100000.parquet", "/d/part-99999.parquet", "/d/run-c1000.txt", "/d/run-c101.txt"]
+    order = lambda files: [r[0] for r in spark.createDataFrame([(f,) for f in files], "file string").orderBy(tables._in_order(F.col("file"))).collect()]
+    assert order(own[::-1]) == own
+    assert order(others[::-1]) == sorted(others)
+
+
 def test_rows_of_a_file_read_in_pieces_keep_their_order(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x\n" + "".join(f"{k}\n" for k in range(30_000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
