@@ -356,9 +356,11 @@ def rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def remembered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of text files of a thousand orders each, half of which came after the first look."""
     folder, store = staging.new_folder(spark, "digested"), staging.new_folder(spark, "digests")
-    lines = fx.table(spark, sf_dir, "orders").select(F.expr("o_orderkey div 1000").alias("part"), "o_orderkey", F.format_string("%d %s", "o_orderkey", "o_orderstatus").alias("value"))
+    lines = fx.table(spark, sf_dir, "orders").select(F.expr("o_orderkey div 1000").alias("part"), F.struct("o_orderkey", F.format_string("%d %s", "o_orderkey", "o_orderstatus").alias("line")).alias("l"))
+    # a row and so a file for each part, however many there are; in a folder for each half, which gets none if it has no rows
+    texts = lines.groupBy("part").agg(F.array_sort(F.collect_list("l"))["line"].alias("lines")).select((F.col("part") % 2).alias("half"), F.array_join("lines", "\n").alias("value"))
     for half in (0, 1):
-        lines.where(F.col("part") % 2 == half).repartitionByRange(1000, "part").sortWithinPartitions("o_orderkey").select("value").write.mode("append").text(folder)
+        texts.where(F.col("half") == half).write.mode("append").option("maxRecordsPerFile", 1).partitionBy("half").text(folder)
         found = reuse.remembered_digests(spark, folder, store, ".txt")
     return found.select("digest")
 

@@ -26,6 +26,16 @@ def test_same_rows_as_sql(spark, sf_dir, duck, name):
     assert table(got) == table(want)
 
 
+def test_more_remembered_files_than_tasks(spark, tmp_path):
+    """2,100 files of two orders each, half of them new on the second look."""
+    duckdb.sql(f"copy (select k * 1000 + r as o_orderkey, chr(65 + (k % 7)::int) as o_orderstatus from range(2100) a(k), range(2) b(r)) to '{tmp_path}/orders.parquet'")
+    con = duckdb.connect()
+    con.execute(f"create view orders as select * from '{tmp_path}/orders.parquet'")
+    got = [r["digest"] for r in queries.queries()["remembered_files"](spark, str(tmp_path)).collect()]
+    want = [r[0] for r in con.execute(sql.oracle_sql()["remembered_files"]).fetchall()]
+    assert sorted(got) == sorted(want)
+
+
 def test_every_query_has_sql_but_file_digests():
     assert set(queries.queries()) - set(sql.oracle_sql()) == {"file_fingerprints"}
 
