@@ -12,6 +12,7 @@ from pulseframe.functions.naming import q
 from pulseframe.operators.ordering import HOT, over_keys, ranked
 from pulseframe.operators.reshape import pivot_typed
 from pulseframe.operators.splits import PREDICATES, with_matches
+from pulseframe.sources.staging import scratch, stage
 
 
 #: A stored training table.
@@ -127,8 +128,10 @@ def training_from_ids(
 
 def write_training(training: DataFrame, folder: str) -> None:
     """The hand-off to a trainer: Parquet by split, each split's files in the order of its samples, and a manifest of them."""
-    laid = training.repartitionByRange("split", "idx").sortWithinPartitions("split", "idx")
-    laid.write.mode("overwrite").partitionBy("split").parquet(folder)
+    with scratch(training.sparkSession):
+        # ranges are sampled first, so the samples are made once and read twice
+        laid = stage(training, "training").repartitionByRange("split", "idx").sortWithinPartitions("split", "idx")
+        laid.write.mode("overwrite").partitionBy("split").parquet(folder)
     manifest(read_training(training.sparkSession, folder)).write.mode("overwrite").parquet(f"{folder}/_manifest")
 
 

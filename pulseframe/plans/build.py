@@ -71,10 +71,15 @@ class Built:
 
     spark: SparkSession
     folder: str
-    training_folder: str
+    draw: Callable[[], str]
     reused: bool
     settings: Settings
 
+    @property
+    def training_folder(self) -> str:
+        """Where the training table is, which is drawn now unless somebody has asked for it before."""
+        return self.draw()
+
     def table(self, name: str) -> DataFrame:
         """A stored table by name; of features the mapped columns in map order."""
         path = f"{self.folder}/{name}"
@@ -127,13 +132,14 @@ def build(
     strict: bool = True,
     suffix: str = ".parquet",
 ) -> Built:
-    """Extract and convert, or reuse an earlier conversion of the same input, then draw the splits' samples.
+    """Extract and convert, or reuse an earlier conversion of the same input; the splits' samples are drawn when they are asked for.
 
     ``inputs`` are folders or files by name, all that the extractor may read: their files'
     names and bytes make the fingerprint, with ``settings`` and the source of extractor and
     converter, so tables never go with other input than they were made of. Digests of files
     are kept under ``root``, so a later build reads only new files for it. The training
-    table is stored by split in the order of its samples, with a manifest.
+    table is stored by split in the order of its samples, with a manifest; ``strict`` draws
+    it at once, so events without features are an error of the build.
     """
     steps = [_code(f) for f in (extractor, converter)]
     parts = [f"{name}={fingerprint(spark, path, '', suffix, f'{root}/_digests/{fingerprint_of([path])}')}" for name, path in sorted(inputs.items())]
@@ -146,4 +152,7 @@ def build(
         indexed = sample_index(split_all(truth, settings.predicates).select("split", "event_id", "_ord"))
         write_training(training_table(indexed, truth, read_features(spark, f"{folder}/features", settings.names), settings.names, settings.labels, strict), path)
 
-    return Built(spark, folder, reuse_or_write(spark, f"{folder}/{drawn}", draw)[0], reused, settings)
+    built = Built(spark, folder, lambda: reuse_or_write(spark, f"{folder}/{drawn}", draw)[0], reused, settings)
+    if strict:
+        built.draw()
+    return built

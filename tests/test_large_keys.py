@@ -189,3 +189,18 @@ def test_prefix_sums_have_a_range_a_task(many_tasks):
     for k, (t, v) in enumerate(sorted((i * 7919 % 2003, i % 5) for i in range(2000))):
         assert at[t] == (k, before)
         before += v
+
+
+def test_samples_are_made_once(spark, tmp_path):
+    """Ranges are sampled before samples are laid out, which must not make them twice."""
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            made.add(len(b))
+            yield b
+
+    kind = "idx long, event_id string, dom_ids array<struct<string:int,om:int,pmt:int>>, features array<array<float>>, labels array<float>, split string"
+    one = spark.range(20).selectExpr("id as idx", "string(id) as event_id", "array(named_struct('string', 1, 'om', 2, 'pmt', 3)) as dom_ids", "array(array(float(id))) as features", "array(float(id)) as labels", "'train' as split")
+    samples.write_training(one.mapInPandas(counted, kind), str(tmp_path / "t"))
+    assert made.value == 20 and samples.read_training(spark, str(tmp_path / "t")).count() == 20

@@ -59,6 +59,13 @@ def test_splits(spark):
     assert rows(quality.bad_event_ids(truth), "_ord") == [(20,)]
 
 
+def test_an_event_number_is_worked_out_once(spark):
+    truth = spark.createDataFrame([(f"Run=1|Event={k}", k) for k in range(10)] + [("Run=1", 10)], "event_id string, _ord long")
+    out = splits.split_all(truth, {"odd": "Event % 2 = 1", "large": "Event > 7"})
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract") == 1
+    assert rows(out, "split", "_ord") == [("large", 8), ("large", 9), ("odd", 1), ("odd", 3), ("odd", 5), ("odd", 7), ("odd", 9)]
+
+
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_sample_index_is_rank_in_order(spark, partitions):
     truth = spark.createDataFrame(TRUTH[:20], "event_id string, a double, _ord long").repartition(partitions)

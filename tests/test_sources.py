@@ -215,6 +215,16 @@ def test_stored_lookups_reach_the_scan(spark, sf_dir, tmp_path):
     assert "EqualTo(event_id,e)" in built.event("e")._jdf.queryExecution().executedPlan().toString()
 
 
+def test_lookups_draw_no_samples(spark, sf_dir, tmp_path):
+    """Samples are drawn once, by the first who asks for them."""
+    built = build(spark, fx.inputs(sf_dir), str(tmp_path), Settings(fx.READINGS, fx.LABELS), fx.read_all, strict=False)
+    drawn = lambda: [n for n in os.listdir(built.folder.removeprefix("file:")) if n.startswith("training-")]
+    assert built.events([f"Run=1|Event=1|SubEvent=0|SubEventStream={fx.STREAM}"]).count() > 0
+    assert built.table("truth").count() > 0 and drawn() == []
+    assert built.split("train").count() > 0 and len(drawn()) == 1
+    assert built.training_folder == built.training_folder and built.manifest.count() > 0
+
+
 def test_more_files_than_a_number_of_few_bits_holds(spark, tmp_path):
     for k in range(8300):
         (tmp_path / f"{k:05d}.csv").write_text(f"x\n{k}\n")
